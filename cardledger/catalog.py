@@ -28,7 +28,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 STREAM_STOPPED = "1999-01-01"
 
 # Small pieces, so that the split of a hot card shows at test scale.
-SMALL_HOT_ROWS = 1000
+SMALL_HOT_ROWS = 2500
 SMALL_BLOCK_BITS = 28
 
 

@@ -34,7 +34,7 @@ from cardledger.sources.scratch import saved
 MAX_ROUNDS = 64
 
 _PIECE = "card_id long, chunk long, start long, end long, down long, up long"
-_WALK = "card_id long, chunk long, start long, settled boolean"
+_WALK = "card_id long, chunk long, start long, settled int"
 # Larger than any sum of cents, and small enough to be added to one.
 _FAR = 1 << 61
 
@@ -219,9 +219,14 @@ def chunk_starts(rows: DataFrame, order: list[str], max_rounds: int) -> DataFram
 
     Columns card_id, chunk, start; for a card that did not settle, one row with chunk null.
     """
+    # Stored in folders of 64 chunk numbers: later rounds, with few chunks, read few folders.
     rows = saved(
-        rows.select("card_id", "_chunk", *order, "amount_cents", "_room", "_guard", "_open"),
+        rows.select(
+            "card_id", "_chunk", *order, "amount_cents", "_room", "_guard", "_open",
+            F.floor(F.col("_chunk") / 64).alias("_folder"),
+        ).repartition("card_id", "_chunk"),
         "hot-rows",
+        folders="_folder",
     )
     # The driver sees no rows in this loop, only whether a round left anything open.
     to_fold = rows.select(
@@ -232,7 +237,7 @@ def chunk_starts(rows: DataFrame, order: list[str], max_rounds: int) -> DataFram
         found = saved(_fold_pieces(rows, to_fold, order), "pieces")
         pieces = found if pieces is None else pieces.union(found)
         walked = saved(pieces.groupBy("card_id").applyInPandas(_walk, _WALK), "walk")
-        to_fold = walked.filter(~F.col("settled")).select("card_id", "chunk", "start")
+        to_fold = walked.filter(F.col("settled") == 0).select("card_id", "chunk", "start")
         if to_fold.isEmpty():
             return walked.select("card_id", "chunk", "start")
     still_open = to_fold.select("card_id").distinct()
@@ -251,14 +256,19 @@ def chunk_starts(rows: DataFrame, order: list[str], max_rounds: int) -> DataFram
 
 def _fold_pieces(rows: DataFrame, to_fold: DataFrame, order: list[str]) -> DataFrame:
     wanted = to_fold.select(
-        F.col("card_id").alias("_c"), F.col("chunk").alias("_k"), F.col("start").alias("_start")
+        F.col("card_id").alias("_c"),
+        F.col("chunk").alias("_k"),
+        F.floor(F.col("chunk") / 64).alias("_f"),
+        F.col("start").alias("_start"),
+    )
+    same = (
+        (F.col("_folder") == F.col("_f"))
+        & (F.col("card_id") == F.col("_c"))
+        & (F.col("_chunk") == F.col("_k"))
     )
     return (
-        rows.join(
-            F.broadcast(wanted),
-            (F.col("card_id") == F.col("_c")) & (F.col("_chunk") == F.col("_k")),
-        )
-        .drop("_c", "_k")
+        rows.join(F.broadcast(wanted), same)
+        .drop("_c", "_k", "_f", "_folder")
         .repartition("card_id", "_chunk")
         .sortWithinPartitions("card_id", "_chunk", *order)
         .mapInArrow(_piece_batches, _PIECE)
@@ -271,7 +281,7 @@ def _walk(pieces: pd.DataFrame) -> pd.DataFrame:
     for chunk, known in pieces.sort_values("chunk").groupby("chunk", sort=True):
         shift = pending - known["start"]
         fits = (shift >= known["down"]) & (shift < known["up"])
-        settled = bool(fits.any())
+        settled = int(fits.any())
         nearest = fits.idxmax() if settled else shift.abs().idxmin()
         out.append((int(known["card_id"].iloc[0]), int(chunk), int(pending), settled))
         moved = int(shift[nearest]) if settled else 0

@@ -57,9 +57,9 @@ def lookup(
         .withColumn("_salt", F.when(F.col("_hot"), salt).otherwise(F.lit(0)))
         .join(F.broadcast(few), key, "left")
     )
-    many = dim.select(
-        key, F.lit(0).cast("long").alias("_salt"), F.struct(*values).alias("_many")
-    )
+    # Always zero. A literal would be folded into a filter, and the join key left without the salt.
+    no_salt = F.pmod(F.xxhash64(key), F.lit(1))
+    many = dim.select(key, no_salt.alias("_salt"), F.struct(*values).alias("_many"))
     found = F.coalesce("_few", "_many")
     return salted.join(many, [key, "_salt"], "left").select(
         *rows.columns, *[found[c].alias(c) for c in values]

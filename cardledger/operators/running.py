@@ -10,7 +10,6 @@ day, or the rows of a block.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -61,29 +60,28 @@ def running(
         rows = df.repartition(key)
         return rows.select("*", *_local(measures, [key], order))
 
+    # A null key is a key of its own here, kept apart by `_null`, so that plain equality, on the
+    # columns that rows are shuffled and sorted by, serves for the join as well.
     marks = [f"_level{i}" for i in range(len(levels))]
+    piece = ["_key", "_null", *marks]
     rows = flag_hot(df, key, hot).select(
-        "*", *[F.when(F.col("_hot"), lv).alias(m) for lv, m in zip(levels, marks)]
+        "*",
+        F.coalesce(F.col(key), F.lit("0").cast(df.schema[key].dataType)).alias("_key"),
+        F.col(key).isNull().alias("_null"),
+        *[F.when(F.col("_hot"), level).alias(m) for level, m in zip(levels, marks)],
     )
-    # Where a piece begins, seen from the pieces before it.
+    # What a piece starts from, out of the totals of the pieces before it.
     totals = (
         rows.filter(F.col("_hot"))
-        .groupBy(F.col(key).alias("_key"), *marks)
+        .groupBy(*piece)
         .agg(*[m.total(m.value).alias(name) for name, m in measures.items()])
     )
-    before = _before(totals, marks, measures)
-    before = before.select(
-        "_key",
-        *[F.col(m).alias(f"_b{m}") for m in marks],
-        *[F.col(name).alias(f"_before_{name}") for name in measures],
+    before = _before(totals, piece, 2, measures).select(
+        *piece, *[F.col(name).alias(f"_before_{name}") for name in measures]
     )
-    # Keyed by piece, so that the shuffle spreads the hot key. Rows of other keys have null marks.
-    local = rows.repartition(key, *marks).select(
-        "*", *_local(measures, [key, *marks], order)
-    )
-    same = [F.col(key).eqNullSafe(F.col("_key"))] + [F.col(m) == F.col(f"_b{m}") for m in marks]
-    joined = local.join(before, reduce(lambda a, b: a & b, same), "left")
-    return joined.select(
+    # Shuffled by piece, which spreads a hot key. Rows of other keys have null marks: no match.
+    local = rows.repartition(*piece).select("*", *_local(measures, piece, order))
+    return local.join(before, piece, "left").select(
         *df.columns,
         *[m.merge(F.col(name), F.col(f"_before_{name}")).alias(name) for name, m in measures.items()],
     )
@@ -99,34 +97,26 @@ def _local(measures: dict[str, Measure], keys: list[str], order: list[str]) -> l
     return out
 
 
-def _before(totals: DataFrame, marks: list[str], measures: dict[str, Measure]) -> DataFrame:
-    """For each piece, the totals of all earlier pieces of its key."""
-    parent = ["_key", *marks[:-1]]
+def _before(
+    totals: DataFrame, piece: list[str], n_key: int, measures: dict[str, Measure]
+) -> DataFrame:
+    """For each piece, the totals of all earlier pieces of its key (the first `n_key` columns)."""
+    parent, mark = piece[:-1], piece[-1]
     frame = (
-        Window.partitionBy(*parent)
-        .orderBy(marks[-1])
-        .rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy(*parent).orderBy(mark).rowsBetween(Window.unboundedPreceding, -1)
     )
     siblings = totals.select(
-        *parent,
-        marks[-1],
-        *[m.total(F.col(name)).over(frame).alias(name) for name, m in measures.items()],
+        *piece, *[m.total(F.col(name)).over(frame).alias(name) for name, m in measures.items()]
     )
-    if len(marks) == 1:
+    if len(parent) == n_key:
         return siblings
     upper = totals.groupBy(*parent).agg(
         *[m.total(F.col(name)).alias(name) for name, m in measures.items()]
     )
-    upper = _before(upper, marks[:-1], measures).select(
-        F.col("_key").alias("_up_key"),
-        *[F.col(m).alias(f"_up{m}") for m in marks[:-1]],
-        *[F.col(name).alias(f"_up_{name}") for name in measures],
+    upper = _before(upper, parent, n_key, measures).select(
+        *parent, *[F.col(name).alias(f"_up_{name}") for name in measures]
     )
-    same = [F.col("_key").eqNullSafe(F.col("_up_key"))] + [
-        F.col(m) == F.col(f"_up{m}") for m in marks[:-1]
-    ]
-    return siblings.join(upper, reduce(lambda a, b: a & b, same), "left").select(
-        *parent,
-        marks[-1],
+    return siblings.join(upper, parent, "left").select(
+        *piece,
         *[m.merge(F.col(name), F.col(f"_up_{name}")).alias(name) for name, m in measures.items()],
     )

@@ -293,6 +293,7 @@ ORACLE: dict[str, str] = {
     "running_pending": _with(*_UPDATES, _UPDATES_OUT),
     "running_pending_hot_card": _with(*_HOT, VERDICTS, UPDATES, _UPDATES_OUT),
     "authorize_running": _RUNNING,
+    "authorize_running_hot_card": _with(*_HOT, RUNNING, RUNNING_OUT, recursive=True),
     "overlay_transactions": _with(
         *_BASE, joined(where=f"t.ts < timestamp '{STREAM_STOPPED}'"), RULES, VERDICTS, UPDATES, STREAM,
         "select * from stream",

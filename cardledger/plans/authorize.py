@@ -13,6 +13,7 @@ from cardledger.operators.hot import HOT_ROWS, find_hot, lookup
 from cardledger.operators.ledger import overlay, with_stream_defaults
 from cardledger.operators.lookup import card_profiles
 from cardledger.operators.running import BLOCK_BITS, Measure, id_block, running
+from cardledger.sources.scratch import saved
 
 ARRIVAL = ["arrival_day", "transaction_id"]
 
@@ -101,6 +102,9 @@ def authorize(
             "merchant_zip", "home_zip", "card_known", "customer_id"
         )
         guarded = earlier_smaller_id(known, hot, block_bits)
+        if hot is not None:
+            # Read by every round of the fold and once more for the result.
+            guarded = saved(guarded, "guarded")
         folded = fold_pending(
             guarded,
             ["transaction_id", "card_id", "_before", "_after"],

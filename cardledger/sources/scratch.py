@@ -28,13 +28,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
+def saved(df: DataFrame, name: str, folders: str | None = None) -> DataFrame:
     """Write `df` as a table in the shared scratch space and go on from there.
 
     This cuts the lineage like checkpoint(), but computes `df` once, and readers take only the
-    columns they need.
+    columns they need, and only the folders where the table has them.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    writer = df.write.partitionBy(folders) if folders else df.write
+    writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

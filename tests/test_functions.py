@@ -1,0 +1,99 @@
+import random
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from cardledger.functions import text, times
+from cardledger.functions.credit import adjusted_limit, score_adjustment, utilisation
+from cardledger.functions.money import from_cents, to_cents
+
+
+def values(spark, rows, schema, expression):
+    return [r[0] for r in spark.createDataFrame(rows, schema).select(expression).collect()]
+
+
+def test_cents_are_whole_and_exact(spark):
+    amounts = [0.0, 0.1, 19.99, 1e9 + 0.01, -0.29, 1.005e2]
+    got = values(spark, [(a,) for a in amounts], "a double", to_cents("a"))
+    assert got == [0, 10, 1999, 100000000001, -29, 10050]
+    assert values(spark, [(c,) for c in got], "c long", from_cents("c")) == amounts
+
+
+@pytest.mark.parametrize("ends", [" ", "\t", "\n", "\r\n", " ", "  \x1f", ""])
+def test_zip_is_taken_after_any_white_space(spark, ends):
+    rows = [(f"{ends}Rye, NY 10580{ends}",)]
+    assert values(spark, rows, "a string", text.zip_code(F.col("a"))) == ["10580"]
+
+
+def test_zip_of_short_text_is_the_text(spark):
+    rows = [("NY 1",), ("",), (None,)]
+    assert values(spark, rows, "a string", text.zip_code(F.col("a"))) == ["NY 1", "", None]
+
+
+@pytest.mark.parametrize(
+    "a, b, near",
+    [
+        ("10253", "10999", True),
+        ("10253", "19579", True),
+        ("10253", "20253", False),
+        ("1025", "10253", False),
+        ("10253", "1025", False),
+        ("", "10253", False),
+        (None, "10253", False),
+        ("10253", None, False),
+        ("NY 1x", "N0000", True),
+    ],
+)
+def test_same_region(spark, a, b, near):
+    got = values(spark, [(a, b)], "a string, b string", text.same_region(F.col("a"), F.col("b")))
+    assert got == [near]
+
+
+def test_blank_becomes_null(spark):
+    rows = [("  ",), ("",), ("\t",), (" 7",), (None,)]
+    got = values(spark, rows, "a string", text.blank_to_null(F.col("a")))
+    assert got == [None, None, None, " 7", None]
+
+
+def test_prefixed_ids(spark):
+    rows = [("17",), ("a:17",), ("a:b:18",)]
+    assert values(spark, rows, "a string", text.numeric_id(F.col("a"))) == [17, 17, 18]
+
+
+def test_score_bands(spark):
+    usage = [-5.0, 10.0, 10.01, 20.0, 20.01, 30.0, 30.01, 50.0, 50.01, 70.0, 70.01, None]
+    got = values(spark, [(u,) for u in usage], "u double", score_adjustment(F.col("u")))
+    assert got == [15, 15, 10, 10, 5, 5, -5, -5, -15, -15, -25, None]
+
+
+def test_utilisation_of_no_limit_is_null(spark):
+    rows = [(5.0, 0.0), (5.0, 10.0)]
+    got = values(spark, rows, "b double, l double", utilisation(F.col("b"), F.col("l")))
+    assert got == [None, 50.0]
+
+
+def test_limit_is_cut_to_hundreds_half_to_even(spark):
+    rows = [
+        (1000.0, -25), (1000.0, -5), (3000.0, -5), (1000.0, -20), (1000.0, -10), (1000.0, -19),
+        (1234.56, 5), (1234.56, 0),
+    ]
+    got = values(spark, rows, "l double, c int", adjusted_limit(F.col("l"), F.col("c")))
+    assert got == [800.0, 1000.0, 2800.0, 800.0, 900.0, 900.0, 1234.56, 1234.56]
+
+
+def test_limit_agrees_with_python_rounding(spark):
+    r = random.Random(3)
+    limits = [r.choice([r.randint(1, 2000) * 50.0, r.randint(1, 10**7) / 100]) for _ in range(3000)]
+    for change, factor in [(-25, 0.85), (-15, 0.90), (-5, 0.95)]:
+        rows = [(x, change) for x in limits]
+        got = values(spark, rows, "l double, c int", adjusted_limit(F.col("l"), F.col("c")))
+        assert got == [round(x * factor, -2) for x in limits]
+
+
+def test_time_formats(spark):
+    rows = [(datetime(2024, 3, 9, 7, 5, 1),)]
+    assert values(spark, rows, "t timestamp", times.message_time(F.col("t"))) == ["2024-03-09 07:05:01"]
+    assert values(spark, rows, "t timestamp", times.result_time(F.col("t"))) == ["09-03-2024 07:05:01"]
+    parsed = times.parse_message_time(F.lit("2024-03-09 07:05:01"))
+    assert values(spark, rows, "t timestamp", parsed) == [datetime(2024, 3, 9, 7, 5, 1)]
