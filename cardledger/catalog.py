@@ -14,7 +14,7 @@ from cardledger.functions.money import from_cents
 from cardledger.operators import checks, ledger, settle
 from cardledger.operators.hot import find_hot
 from cardledger.operators.lookup import card_profiles
-from cardledger.operators.running import BLOCK_BITS, Measure, running
+from cardledger.operators.running import Measure, id_block, running
 from cardledger.plans import authorize as plan
 from cardledger.plans.batch import BatchResult, run_batch
 from cardledger.schemas import TRANSACTIONS, duplicate_keys
@@ -73,26 +73,25 @@ def numeric_id(spark, d):
 
 
 def replay_order(spark, d):
+    """Day by day, and by id within the day: the position of each message in its day."""
     rows = roles.transactions(spark, d).select(
         "transaction_id",
-        F.lit(fixed.TOPIC).alias("topic"),
         times.arrival_day(F.col("timestamp")).alias("arrival_day"),
         times.message_time(F.col("timestamp")).alias("message_time"),
     )
     numbered = running(
         rows,
-        "topic",
-        plan.levels(BLOCK_BITS),
-        plan.ARRIVAL,
+        "arrival_day",
+        [id_block(F.col("transaction_id"))],
+        ["transaction_id"],
         {"position": Measure(F.lit(1))},
-        find_hot(rows, "topic"),
+        find_hot(rows, "arrival_day"),
     )
+    parsed = times.arrival_day(times.parse_message_time(F.col("message_time")))
     return numbered.select(
         "transaction_id",
         F.col("arrival_day").cast("string").alias("arrival_day"),
-        times.arrival_day(times.parse_message_time(F.col("message_time")))
-        .cast("string")
-        .alias("parsed_day"),
+        parsed.cast("string").alias("parsed_day"),
         "message_time",
         "position",
     )

@@ -12,6 +12,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import NumericType
 
 from cardledger.operators.hot import flag_hot
 
@@ -62,11 +63,13 @@ def running(
 
     # A null key is a key of its own here, kept apart by `_null`, so that plain equality, on the
     # columns that rows are shuffled and sorted by, serves for the join as well.
+    kind = df.schema[key].dataType
+    stand_in = "0" if isinstance(kind, NumericType) else "1970-01-01"
     marks = [f"_level{i}" for i in range(len(levels))]
     piece = ["_key", "_null", *marks]
     rows = flag_hot(df, key, hot).select(
         "*",
-        F.coalesce(F.col(key), F.lit("0").cast(df.schema[key].dataType)).alias("_key"),
+        F.coalesce(F.col(key), F.lit(stand_in).cast(kind)).alias("_key"),
         F.col(key).isNull().alias("_null"),
         *[F.when(F.col("_hot"), level).alias(m) for level, m in zip(levels, marks)],
     )

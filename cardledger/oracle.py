@@ -229,7 +229,7 @@ ORACLE: dict[str, str] = {
         """select transaction_id, cast(cast(ts as date) as varchar) as arrival_day,
            cast(cast(ts as date) as varchar) as parsed_day,
            strftime(ts, '%Y-%m-%d %H:%M:%S') as message_time,
-           row_number() over (order by cast(ts as date), transaction_id) as position from tx""",
+           row_number() over (partition by cast(ts as date) order by transaction_id) as position from tx""",
     ),
     "json_roundtrip": _with(
         TX,

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from cardledger.functions.text import blank_to_null
 from cardledger.schemas import TABLES, require_primary_key
-from cardledger.sources.scratch import saved
 
 _MALFORMED = "_malformed"
 
@@ -31,13 +30,19 @@ def _read_text_fields(spark: SparkSession, path: str, schema: StructType, multi_
     return reader.schema(text).csv(path)
 
 
+def _is_malformed(fields: DataFrame) -> Column:
+    # Spark reads no CSV for the malformed lines alone, so the test takes in a field as well.
+    field = next(c for c in fields.columns if c != _MALFORMED)
+    return F.concat(F.col(_MALFORMED), F.coalesce(F.col(field), F.lit(""))).isNotNull()
+
+
 def _typed(fields: DataFrame, schema: StructType) -> DataFrame:
     def column(f: StructField):
         if f.name not in fields.columns:
             return F.lit(None)
         return blank_to_null(F.col(f.name)) if f.name == "related_transaction_id" else F.col(f.name)
 
-    return fields.filter(F.col(_MALFORMED).isNull()).select(
+    return fields.filter(~_is_malformed(fields)).select(
         *[column(f).cast(f.dataType).alias(f.name) for f in schema.fields]
     )
 
@@ -56,10 +61,9 @@ def read_csv(
 def skipped_lines(
     spark: SparkSession, path: str, schema: StructType, multi_line: bool = False
 ) -> DataFrame:
-    """The lines with too many or too few fields. Saved, as Spark asks for malformed lines."""
+    """The lines with too many or too few fields."""
     fields = _read_text_fields(spark, path, schema, multi_line)
-    skipped = saved(fields.filter(F.col(_MALFORMED).isNotNull()), "skipped")
-    return skipped.select(F.col(_MALFORMED).alias("line"))
+    return fields.filter(_is_malformed(fields)).select(F.col(_MALFORMED).alias("line"))
 
 
 def read_typed_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:

@@ -1,0 +1,67 @@
+"""Every query against its SQL in DuckDB, over the smallest test tables."""
+
+import os
+
+import pytest
+
+from __spark_entry__ import entry, oracle_sql, queries
+from check import database, rows_of
+
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
+
+
+@pytest.fixture(scope="module")
+def con():
+    return database(SF_DIR)
+
+
+def test_every_query_has_sql():
+    assert set(oracle_sql()) == set(queries())
+
+
+@pytest.mark.parametrize("name", sorted(queries()))
+def test_query(spark, con, name):
+    df = queries()[name](spark, SF_DIR)
+    res = con.execute(oracle_sql()[name])
+    columns = [c[0] for c in res.description]
+    assert sorted(columns) == sorted(df.columns)
+    assert rows_of(df.columns, df.collect()) == rows_of(columns, res.fetchall())
+
+
+def test_entry(spark):
+    assert entry(spark).count() > 0
+
+
+# Number of rows and sum of the pending balance after each row, in cents, per verdict.
+VERDICTS = {
+    False: {
+        "Card not found": (116, 0),
+        "Transaction exceeds 50% of credit limit": (894, -597908542),
+        "Total balance exceeds credit limit": (461, -521007642),
+        "Customer address not found": (138, 0),
+        "Merchant location too far": (3025, 1461105434),
+        None: (1366, 712436306),
+    },
+    True: {
+        "Card not found": (116, 0),
+        "Transaction exceeds 50% of credit limit": (894, -603741547),
+        "Total balance exceeds credit limit": (507, 696443841),
+        "Customer address not found": (138, 0),
+        "Merchant location too far": (2994, 589425217),
+        None: (1351, 113447619),
+    },
+}
+
+
+@pytest.mark.parametrize("running_limit", [False, True])
+def test_known_verdicts(spark, running_limit):
+    if not SF_DIR.endswith("sf0.001"):
+        pytest.skip("figures are for sf0.001")
+    query = "authorize_running" if running_limit else "running_pending"
+    got = {}
+    for r in queries()[query](spark, SF_DIR).collect():
+        n, total = got.get(r["decline_reason"], (0, 0))
+        got[r["decline_reason"]] = (n + 1, total + round(r["pending_balance"] * 100))
+    assert got == VERDICTS[running_limit]

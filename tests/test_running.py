@@ -56,6 +56,19 @@ def test_hot_key_is_spread_over_tasks(spark, conf):
     assert got.agg(F.max("n"), F.countDistinct("n")).first()[:] == (20000, 20000)
 
 
+def test_key_of_dates_with_nulls(spark):
+    df = spark.range(400).selectExpr(
+        "case when id % 4 > 0 then date_add(date'2024-01-01', int(id % 2)) end as k", "id as i"
+    )
+    got = running(
+        df, "k", [id_block(F.col("i"), 4)], ["i"], {"n": Measure(F.lit(1))}, find_hot(df, "k", 90)
+    )
+    by_key = {}
+    for r in sorted(got.collect(), key=lambda r: r["i"]):
+        by_key[r["k"]] = by_key.get(r["k"], 0) + 1
+        assert r["n"] == by_key[r["k"]]
+
+
 @pytest.mark.parametrize("hot_rows", [100, 10**6])
 def test_lookup(spark, hot_rows):
     rows = spark.range(3000).select(
