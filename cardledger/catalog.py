@@ -171,19 +171,22 @@ def unprocessable(spark, d):
 
 
 def validate(spark, d):
-    tx = roles.transactions(spark, d)
-    profiles = card_profiles(roles.cards(spark, d), roles.customers(spark, d))
-    return plan.validate(tx, profiles, find_hot(tx, "card_id")).select(
+    return plan.verdicts(_joined(spark, d)).select(
         "transaction_id", "card_id", "decline_reason", "status"
     )
 
 
 def earlier_smaller_id(spark, d):
     tx = roles.transactions(spark, d)
-    rows = checks.prepare(tx)
-    return plan.earlier_smaller_id(rows, find_hot(tx, "card_id")).select(
-        "transaction_id", "card_id", "has_earlier"
+    rows = running(
+        checks.prepare(tx),
+        "card_id",
+        plan.levels(),
+        plan.ARRIVAL,
+        {"_smallest": plan.smallest_measure()},
+        find_hot(tx, "card_id"),
     )
+    return rows.select("transaction_id", "card_id", plan.has_earlier().alias("has_earlier"))
 
 
 def running_pending(spark, d):

@@ -25,10 +25,10 @@ from collections.abc import Iterable, Iterator
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
-from cardledger.operators.hot import HOT_ROWS, flag_hot
+from cardledger.operators.hot import HOT_ROWS
 from cardledger.sources.scratch import saved
 
 MAX_ROUNDS = 64
@@ -68,89 +68,73 @@ def fold_rows(
     return after, failed, down, up
 
 
-def fold_pending(
+# What the fold reads, besides the columns it passes on.
+_FOLDED = ["card_id", "_chunk", "amount_cents", "_room", "_guard", "_open"]
+
+
+def fold_by_card(df: DataFrame, keep: list[str], order: list[str]) -> DataFrame:
+    """The columns `keep` of `df` with `pending_cents` (after the row) and `total_fails`.
+
+    `df` is partitioned by card_id, as `running_by_key` leaves it, and has amount_cents, `_room`
+    (limit less balance), `_guard` and `_open` (see `fold_rows`).
+    """
+    no_chunk = F.when(F.col("card_id").isNull(), -1).otherwise(0).cast("long")
+    rows = df.sortWithinPartitions("card_id", *order).withColumns(
+        {"_chunk": no_chunk, "_start": F.lit(0).cast("long")}
+    )
+    return _fold(rows, keep)
+
+
+def fold_by_chunk(
     df: DataFrame,
     keep: list[str],
     order: list[str],
-    is_open: Column,
-    guard: Column,
-    hot: DataFrame | None,
-    position: str = "position",
     chunk_rows: int = HOT_ROWS,
     max_rounds: int = MAX_ROUNDS,
 ) -> DataFrame:
-    """The columns `keep` of `df` with `pending_cents` (after the row) and `total_fails`.
+    """As `fold_by_card`, for hot cards, with many tasks per card.
 
-    `df` has card_id, amount_cents, limit_cents and balance_cents. Without hot cards it must be
-    partitioned by card_id already, as `running` leaves it. With hot cards, the column `position`
-    holds the number of the row within its card, counted from one.
+    `df` may be in any order; its column `position` numbers the rows of a card, from one.
     """
-    folded = ["card_id", "amount_cents", "_room", "_guard", "_open", "_chunk", "_start"]
-    rows = df.withColumns(
-        {
-            # Unknown cards have no limit; their rows are never open.
-            "_room": F.coalesce(F.col("limit_cents") - F.col("balance_cents"), F.lit(0)),
-            "_guard": guard,
-            "_open": is_open,
-            "_chunk": F.when(F.col("card_id").isNull(), -1).otherwise(0).cast("long"),
-            "_start": F.lit(0).cast("long"),
-        }
-    )
-    if hot is None:
-        rows = rows.sortWithinPartitions("card_id", *order)
-    else:
-        rows = _place_chunks(rows, order, hot, position, chunk_rows, max_rounds)
-        rows = rows.repartition("card_id", "_chunk")
-        rows = rows.sortWithinPartitions("card_id", "_chunk", *order)
-    # Arrow carries no more than the fold reads and the caller keeps.
-    rows = rows.select(*folded, *[c for c in keep if c not in folded])
+    number = F.floor((F.col("position") - 1) / F.lit(chunk_rows)).cast("long")
+    # Rows without a card change nothing; negative chunks keep them apart from card 0.
+    chunk = F.when(F.col("card_id").isNull(), -1 - number).otherwise(number)
+    # Every round reads some of these rows. They are stored in folders of 64 chunk numbers, as
+    # later rounds need few chunks.
+    rows = df.withColumn("_chunk", chunk).withColumn("_folder", F.floor(F.col("_chunk") / 64))
+    columns = dict.fromkeys([*_FOLDED, *order, *keep, "_folder"])
+    rows = saved(rows.select(*columns).repartition("card_id", "_chunk"), "chunks", "_folder")
 
-    schema = StructType(
-        [df.schema[c] for c in keep]
-        + [StructField("pending_cents", LongType()), StructField("total_fails", BooleanType())]
-    )
-    return rows.mapInArrow(lambda batches: _fold_batches(batches, keep), schema)
-
-
-def _place_chunks(
-    rows: DataFrame,
-    order: list[str],
-    hot: DataFrame,
-    position: str,
-    chunk_rows: int,
-    max_rounds: int,
-) -> DataFrame:
-    """Number the chunks of hot cards and look up the balance at the start of each."""
-    number = F.floor((F.col(position) - 1) / F.lit(chunk_rows)).cast("long")
-    rows = (
-        flag_hot(rows, "card_id", hot)
-        .withColumn(
-            "_chunk",
-            # Rows without a card change nothing; negative chunks keep them apart from card 0.
-            F.when(F.col("_hot") & F.col("card_id").isNull(), -1 - number)
-            .when(F.col("_hot"), number)
-            .otherwise(F.col("_chunk")),
-        )
-    )
-    starts = chunk_starts(
-        rows.filter(F.col("_hot") & F.col("card_id").isNotNull()), order, max_rounds
-    )
     # Broadcast: at most one start per chunk_rows rows of the table.
-    starts = starts.select(
+    starts = chunk_starts(rows, order, max_rounds).select(
         F.col("card_id").alias("_c"), F.col("chunk").alias("_k"), F.col("start").alias("_s")
     )
     unsettled = starts.filter(F.col("_k").isNull()).select("_c", F.lit(True).alias("_one"))
-    return (
+    settled = starts.filter(F.col("_k").isNotNull())
+    rows = (
         rows.join(F.broadcast(unsettled), F.col("card_id") == F.col("_c"), "left")
         .withColumn("_chunk", F.when(F.col("_one"), 0).otherwise(F.col("_chunk")))
         .drop("_c")
         .join(
-            F.broadcast(starts.filter(F.col("_k").isNotNull())),
+            F.broadcast(settled),
             (F.col("card_id") == F.col("_c")) & (F.col("_chunk") == F.col("_k")),
             "left",
         )
         .withColumn("_start", F.coalesce("_s", F.lit(0)))
+        .repartition("card_id", "_chunk")
+        .sortWithinPartitions("card_id", "_chunk", *order)
     )
+    return _fold(rows, keep)
+
+
+def _fold(rows: DataFrame, keep: list[str]) -> DataFrame:
+    # Arrow carries no more than the fold reads and the caller keeps.
+    rows = rows.select(*dict.fromkeys([*_FOLDED, "_start", *keep]))
+    schema = StructType(
+        [rows.schema[c] for c in keep]
+        + [StructField("pending_cents", LongType()), StructField("total_fails", BooleanType())]
+    )
+    return rows.mapInArrow(lambda batches: _fold_batches(batches, keep), schema)
 
 
 def _runs(batch: pa.RecordBatch) -> Iterator[tuple[tuple[int, int], int, int]]:
@@ -215,23 +199,14 @@ def _piece_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def chunk_starts(rows: DataFrame, order: list[str], max_rounds: int) -> DataFrame:
-    """The pending balance at the start of every chunk of the given (hot) cards.
+    """The pending balance at the start of every chunk: card_id, chunk, start.
 
-    Columns card_id, chunk, start; for a card that did not settle, one row with chunk null.
+    For a card that did not settle there is one row, with chunk null and start zero.
     """
-    # Stored in folders of 64 chunk numbers: later rounds, with few chunks, read few folders.
-    rows = saved(
-        rows.select(
-            "card_id", "_chunk", *order, "amount_cents", "_room", "_guard", "_open",
-            F.floor(F.col("_chunk") / 64).alias("_folder"),
-        ).repartition("card_id", "_chunk"),
-        "hot-rows",
-        folders="_folder",
-    )
+    rows = rows.filter(F.col("card_id").isNotNull())
+    zero = F.lit(0).cast("long")
+    to_fold = rows.select("card_id", F.col("_chunk").alias("chunk"), zero.alias("start")).distinct()
     # The driver sees no rows in this loop, only whether a round left anything open.
-    to_fold = rows.select(
-        "card_id", F.col("_chunk").alias("chunk"), F.lit(0).cast("long").alias("start")
-    ).distinct()
     pieces = None
     for _ in range(max_rounds):
         found = saved(_fold_pieces(rows, to_fold, order), "pieces")
@@ -241,16 +216,11 @@ def chunk_starts(rows: DataFrame, order: list[str], max_rounds: int) -> DataFram
         if to_fold.isEmpty():
             return walked.select("card_id", "chunk", "start")
     still_open = to_fold.select("card_id").distinct()
+    no_chunk = F.lit(None).cast("long")
     return (
         walked.join(still_open, "card_id", "left_anti")
         .select("card_id", "chunk", "start")
-        .unionByName(
-            still_open.select(
-                "card_id",
-                F.lit(None).cast("long").alias("chunk"),
-                F.lit(0).cast("long").alias("start"),
-            )
-        )
+        .unionByName(still_open.select("card_id", no_chunk.alias("chunk"), zero.alias("start")))
     )
 
 
@@ -268,7 +238,7 @@ def _fold_pieces(rows: DataFrame, to_fold: DataFrame, order: list[str]) -> DataF
     )
     return (
         rows.join(F.broadcast(wanted), same)
-        .drop("_c", "_k", "_f", "_folder")
+        .select(*_FOLDED, "_start", *order)
         .repartition("card_id", "_chunk")
         .sortWithinPartitions("card_id", "_chunk", *order)
         .mapInArrow(_piece_batches, _PIECE)

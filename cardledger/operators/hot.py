@@ -1,4 +1,9 @@
-"""Keys that hold very many rows: finding them, and a lookup join that spreads their rows."""
+"""Keys that hold very many rows: finding them, and taking their rows another way.
+
+Rows of ordinary keys are joined and put in order with one shuffle by key. Rows of hot keys would
+all go to one task in that shuffle, so they are split off: what they are joined with is small (one
+row per hot key) and is broadcast, and `running` cuts them into pieces.
+"""
 
 from __future__ import annotations
 
@@ -6,13 +11,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from cardledger.sources.scratch import saved
 
-# A key with more rows than this is split over several tasks. A table of N rows has fewer than
-# N / HOT_ROWS such keys (10^12 rows: 500,000 keys, 4 MB), which bounds what is broadcast below.
+# A key with more rows than this is hot. A table of N rows has fewer than N / HOT_ROWS such keys
+# (10^12 rows: 500,000 keys, 4 MB), which bounds what is broadcast below.
 HOT_ROWS = 2_000_000
 
-# Tasks that the rows of hot keys are spread over in a lookup join.
-SALTS = 512
-
 
 def find_hot(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame | None:
     """The keys (null counts as one) with more than `hot_rows` rows, or None if there are none.
@@ -29,38 +31,22 @@ def find_hot(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame | N
     return None if hot.isEmpty() else saved(hot, "hot")
 
 
-def flag_hot(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
-    """Add the column `_hot`: true for rows of a hot key, else null."""
-    flags = F.broadcast(hot.select("_hot_key", F.lit(True).alias("_hot")))
-    return df.join(flags, F.col(key).eqNullSafe(F.col("_hot_key")), "left").drop("_hot_key")
+def split(df: DataFrame, key: str, hot: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of ordinary keys, and those of hot keys."""
+    same = F.col(key).eqNullSafe(F.col("_hot_key"))
+    return df.join(F.broadcast(hot), same, "left_anti"), df.join(F.broadcast(hot), same, "left_semi")
 
 
-def lookup(
-    rows: DataFrame, dim: DataFrame, key: str, hot: DataFrame | None, spread: str
-) -> DataFrame:
-    """Left join `rows` to `dim`, which has one row per `key`.
+def of_hot_keys(dim: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+    """The rows of `dim` (one per key) that rows of hot keys are joined with, to be broadcast."""
+    few = dim.join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left_semi")
+    return F.broadcast(few)
 
-    Rows of hot keys get their match from a broadcast of just those rows of `dim` (at most one per
-    hot key), and go to the shuffle join under a salt made from the column `spread`, where they
-    match nothing.
-    """
+
+def lookup(rows: DataFrame, dim: DataFrame, key: str, hot: DataFrame | None) -> DataFrame:
+    """Left join `rows` to `dim`, which has one row per `key`."""
     if hot is None:
         return rows.join(dim, key, "left")
-
-    values = [c for c in dim.columns if c != key]
-    few = dim.join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left_semi").select(
-        key, F.struct(*values).alias("_few")
-    )
-    salt = 1 + F.pmod(F.xxhash64(spread), F.lit(SALTS))
-    salted = (
-        flag_hot(rows, key, hot)
-        .withColumn("_salt", F.when(F.col("_hot"), salt).otherwise(F.lit(0)))
-        .join(F.broadcast(few), key, "left")
-    )
-    # Always zero. A literal would be folded into a filter, and the join key left without the salt.
-    no_salt = F.pmod(F.xxhash64(key), F.lit(1))
-    many = dim.select(key, no_salt.alias("_salt"), F.struct(*values).alias("_many"))
-    found = F.coalesce("_few", "_many")
-    return salted.join(many, [key, "_salt"], "left").select(
-        *rows.columns, *[found[c].alias(c) for c in values]
-    )
+    ordinary, busy = split(rows, key, hot)
+    few = of_hot_keys(dim, key, hot)
+    return ordinary.join(dim, key, "left").unionByName(busy.join(few, key, "left"))

@@ -26,7 +26,7 @@ def card_profiles(cards: DataFrame, customers: DataFrame, hot_rows: int = HOT_RO
         to_cents("current_balance").alias("balance_cents"),
     )
     hot = find_hot(narrow, "customer_id", hot_rows)
-    return lookup(narrow, homes, "customer_id", hot, spread="card_id").select(
+    return lookup(narrow, homes, "customer_id", hot).select(
         "card_id",
         "customer_id",
         "limit_cents",

@@ -1,10 +1,10 @@
 """Running aggregates per key that split a hot key over many tasks.
 
-A plain window puts all rows of a key into one task. Here the rows of a hot key are cut into
-pieces that follow each other in order: first by day, within a day by blocks of ids. Each piece is
-a window of its own; what came before it is known from the totals of the pieces, which are
-combined before they are shuffled. No window sees more than the days of a key, the blocks of a
-day, or the rows of a block.
+A plain window puts all rows of a key into one task. The rows of a hot key are cut into pieces that
+follow each other in order: first by day, within a day by blocks of ids. Each piece is a window of
+its own; what came before it is known from the totals of the pieces, which are combined before they
+are shuffled. No window sees more than the days of a key, the blocks of a day, or the rows of a
+block.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import NumericType
 
-from cardledger.operators.hot import flag_hot
+from cardledger.operators.hot import split
 
 # A block is a span of 2^BLOCK_BITS ids. Ids are unique, so that is also the most rows it can have.
 BLOCK_BITS = 20
@@ -40,6 +40,9 @@ class Measure:
         return F.coalesce(a, F.lit(0)) if self.kind == "sum" else a
 
 
+Measures = dict[str, Measure]
+
+
 def id_block(transaction_id: Column, bits: int = BLOCK_BITS) -> Column:
     return F.shiftright(transaction_id, bits)
 
@@ -49,40 +52,49 @@ def running(
     key: str,
     levels: list[Column],
     order: list[str],
-    measures: dict[str, Measure],
+    measures: Measures,
     hot: DataFrame | None,
 ) -> DataFrame:
     """Add one running column per measure, in the given order within each key.
 
     `levels` cut the rows of a hot key into pieces, coarse to fine. They must follow the order and
-    not be null. `hot` comes from `find_hot`; without hot keys this is one window.
+    not be null. `hot` comes from `find_hot`.
     """
     if hot is None:
-        rows = df.repartition(key)
-        return rows.select("*", *_local(measures, [key], order))
+        return running_by_key(df, key, order, measures)
+    ordinary, busy = split(df, key, hot)
+    return running_by_key(ordinary, key, order, measures).unionByName(
+        running_by_piece(busy, key, levels, order, measures)
+    )
+
 
+def running_by_key(df: DataFrame, key: str, order: list[str], measures: Measures) -> DataFrame:
+    """One window per key. The result is partitioned by `key` and sorted by key and `order`."""
+    return df.repartition(key).select("*", *_local(measures, [key], order))
+
+
+def running_by_piece(
+    df: DataFrame, key: str, levels: list[Column], order: list[str], measures: Measures
+) -> DataFrame:
+    """One window per piece, and the totals of the pieces before it."""
     # A null key is a key of its own here, kept apart by `_null`, so that plain equality, on the
     # columns that rows are shuffled and sorted by, serves for the join as well.
     kind = df.schema[key].dataType
     stand_in = "0" if isinstance(kind, NumericType) else "1970-01-01"
     marks = [f"_level{i}" for i in range(len(levels))]
     piece = ["_key", "_null", *marks]
-    rows = flag_hot(df, key, hot).select(
+    rows = df.select(
         "*",
         F.coalesce(F.col(key), F.lit(stand_in).cast(kind)).alias("_key"),
         F.col(key).isNull().alias("_null"),
-        *[F.when(F.col("_hot"), level).alias(m) for level, m in zip(levels, marks)],
+        *[level.alias(m) for level, m in zip(levels, marks)],
     )
-    # What a piece starts from, out of the totals of the pieces before it.
-    totals = (
-        rows.filter(F.col("_hot"))
-        .groupBy(*piece)
-        .agg(*[m.total(m.value).alias(name) for name, m in measures.items()])
+    totals = rows.groupBy(*piece).agg(
+        *[m.total(m.value).alias(name) for name, m in measures.items()]
     )
     before = _before(totals, piece, 2, measures).select(
         *piece, *[F.col(name).alias(f"_before_{name}") for name in measures]
     )
-    # Shuffled by piece, which spreads a hot key. Rows of other keys have null marks: no match.
     local = rows.repartition(*piece).select("*", *_local(measures, piece, order))
     return local.join(before, piece, "left").select(
         *df.columns,
@@ -90,7 +102,7 @@ def running(
     )
 
 
-def _local(measures: dict[str, Measure], keys: list[str], order: list[str]) -> list[Column]:
+def _local(measures: Measures, keys: list[str], order: list[str]) -> list[Column]:
     w = Window.partitionBy(*keys).orderBy(*order)
     out = []
     for name, m in measures.items():
@@ -100,9 +112,7 @@ def _local(measures: dict[str, Measure], keys: list[str], order: list[str]) -> l
     return out
 
 
-def _before(
-    totals: DataFrame, piece: list[str], n_key: int, measures: dict[str, Measure]
-) -> DataFrame:
+def _before(totals: DataFrame, piece: list[str], n_key: int, measures: Measures) -> DataFrame:
     """For each piece, the totals of all earlier pieces of its key (the first `n_key` columns)."""
     parent, mark = piece[:-1], piece[-1]
     frame = (

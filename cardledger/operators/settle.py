@@ -67,7 +67,7 @@ def adjust_limits(
     hot = find_hot(cards, "customer_id", hot_rows)
     change = F.coalesce("credit_score_change", F.lit(0))
     return (
-        lookup(cards, changes, "customer_id", hot, spread="card_id")
+        lookup(cards, changes, "customer_id", hot)
         .withColumn("credit_limit", adjusted_limit(F.col("credit_limit"), change))
         .select(*cards.columns)
     )

@@ -8,73 +8,59 @@ from cardledger.functions import fixed
 from cardledger.functions.money import from_cents
 from cardledger.functions.times import result_time
 from cardledger.operators import checks
-from cardledger.operators.fold import MAX_ROUNDS, fold_pending
-from cardledger.operators.hot import HOT_ROWS, find_hot, lookup
+from cardledger.operators.fold import MAX_ROUNDS, fold_by_card, fold_by_chunk
+from cardledger.operators.hot import HOT_ROWS, find_hot, lookup, of_hot_keys, split
 from cardledger.operators.ledger import overlay, with_stream_defaults
 from cardledger.operators.lookup import card_profiles
-from cardledger.operators.running import BLOCK_BITS, Measure, id_block, running
-from cardledger.sources.scratch import saved
+from cardledger.operators.running import (
+    BLOCK_BITS,
+    Measure,
+    id_block,
+    running_by_key,
+    running_by_piece,
+)
 
 ARRIVAL = ["arrival_day", "transaction_id"]
 
+# What the fold passes on: the reasons found by the rules before and after the total rule.
+FOLD_KEEPS = ["transaction_id", "card_id", "_before", "_after"]
+
 
 def enrich(
     transactions: DataFrame, profiles: DataFrame, hot: DataFrame | None = None
 ) -> DataFrame:
     """Transactions, narrow, with the data of their card. Leaves out what cannot be checked."""
     rows = checks.prepare(checks.processable(transactions))
-    joined = lookup(rows, profiles, "card_id", hot, spread="transaction_id")
+    joined = lookup(rows, profiles, "card_id", hot)
     whole_card = F.col("limit_cents").isNotNull() & F.col("balance_cents").isNotNull()
     return joined.filter(F.col("card_known").isNull() | whole_card)
 
 
-def validate(
-    transactions: DataFrame, profiles: DataFrame, hot: DataFrame | None = None
-) -> DataFrame:
+def verdicts(enriched: DataFrame) -> DataFrame:
     """Verdict per transaction, each on its own: the pending balance does not count."""
     reason = checks.decline_reason(checks.over_total())
-    return enrich(transactions, profiles, hot).select(
-        "transaction_id",
-        "card_id",
-        "arrival_day",
-        "amount_cents",
-        reason.alias("decline_reason"),
-        checks.status(reason).alias("status"),
+    return enriched.select(
+        *checks.NARROW, reason.alias("decline_reason"), checks.status(reason).alias("status")
     )
 
 
-def levels(block_bits: int) -> list[Column]:
+def levels(block_bits: int = BLOCK_BITS) -> list[Column]:
     return [F.col("arrival_day"), id_block(F.col("transaction_id"), block_bits)]
 
 
-def running_pending(
-    verdicts: DataFrame, hot: DataFrame | None, block_bits: int = BLOCK_BITS
-) -> DataFrame:
-    """Add `pending_cents`: the approved amounts of the card up to and with this row."""
-    approved = F.when(F.col("decline_reason").isNull(), F.col("amount_cents")).otherwise(0)
-    return running(
-        verdicts,
-        "card_id",
-        levels(block_bits),
-        ARRIVAL,
-        {"pending_cents": Measure(approved)},
-        hot,
-    )
+def pending_measure() -> Measure:
+    """The approved amounts up to and with the row."""
+    return Measure(F.when(F.col("decline_reason").isNull(), F.col("amount_cents")).otherwise(0))
 
 
-def earlier_smaller_id(
-    rows: DataFrame, hot: DataFrame | None, block_bits: int = BLOCK_BITS
-) -> DataFrame:
-    """Add `has_earlier`: an earlier transaction of the card has a smaller id; and `position`."""
-    measures = {"_smallest": Measure(F.col("transaction_id"), "min", inclusive=False)}
-    if hot is not None:
-        measures["position"] = Measure(F.lit(1))
-    out = running(
-        rows, "card_id", levels(block_bits), ARRIVAL, measures, hot
-    ).withColumn(
-        "has_earlier", F.coalesce(F.col("_smallest") < F.col("transaction_id"), F.lit(False))
-    )
-    return out.drop("_smallest")
+def smallest_measure() -> Measure:
+    """The smallest id before the row."""
+    return Measure(F.col("transaction_id"), "min", inclusive=False)
+
+
+def has_earlier() -> Column:
+    """Whether an earlier transaction of the card has a smaller id."""
+    return F.coalesce(F.col("_smallest") < F.col("transaction_id"), F.lit(False))
 
 
 def authorize(
@@ -89,36 +75,61 @@ def authorize(
     """One update per transaction: status, decline reason, pending balance of the card after it.
 
     Transaction ids must be unique (see `dedupe_first`). With `running_limit` the pending balance
-    counts towards the limit; without it each verdict stands on its own.
+    counts towards the limit; without it each verdict stands on its own. Each row is shuffled once,
+    by card; the rows of cards with more than `hot_rows` rows by day and block of ids.
     """
-    hot = find_hot(transactions, "card_id", hot_rows)
     profiles = card_profiles(cards, customers, hot_rows)
-    if not running_limit:
-        out = running_pending(validate(transactions, profiles, hot), hot, block_bits)
+    hot = find_hot(transactions, "card_id", hot_rows)
+    if hot is None:
+        return as_updates(_by_card(enrich(transactions, profiles), running_limit))
+
+    ordinary, busy = split(transactions, "card_id", hot)
+    done = _by_card(enrich(ordinary, profiles), running_limit)
+    rows = enrich(busy, of_hot_keys(profiles, "card_id", hot))
+    if running_limit:
+        measures = {"_smallest": smallest_measure(), "position": Measure(F.lit(1))}
+        guarded = running_by_piece(
+            for_fold(rows), "card_id", levels(block_bits), ARRIVAL, measures
+        ).withColumn("_guard", has_earlier())
+        split_done = fold_by_chunk(guarded, FOLD_KEEPS, ARRIVAL, hot_rows, max_rounds)
     else:
-        rows = enrich(transactions, profiles, hot)
-        before, after = checks.reason_before_total(), checks.reason_after_total()
-        known = rows.withColumns({"_before": before, "_after": after}).drop(
-            "merchant_zip", "home_zip", "card_known", "customer_id"
+        split_done = running_by_piece(
+            verdicts(rows), "card_id", levels(block_bits), ARRIVAL,
+            {"pending_cents": pending_measure()},
         )
-        guarded = earlier_smaller_id(known, hot, block_bits)
-        if hot is not None:
-            # Read by every round of the fold and once more for the result.
-            guarded = saved(guarded, "guarded")
-        folded = fold_pending(
-            guarded,
-            ["transaction_id", "card_id", "_before", "_after"],
-            ARRIVAL,
-            is_open=F.col("_before").isNull() & F.col("_after").isNull(),
-            guard=F.col("has_earlier"),
-            hot=hot,
-            chunk_rows=hot_rows,
-            max_rounds=max_rounds,
+    return as_updates(done).unionByName(as_updates(split_done))
+
+
+def for_fold(enriched: DataFrame, *more: Column) -> DataFrame:
+    before, after = checks.reason_before_total(), checks.reason_after_total()
+    return enriched.select(
+        *checks.NARROW,
+        # Unknown cards have no limit; their rows are never open.
+        F.coalesce(F.col("limit_cents") - F.col("balance_cents"), F.lit(0)).alias("_room"),
+        before.alias("_before"),
+        after.alias("_after"),
+        (before.isNull() & after.isNull()).alias("_open"),
+        *more,
+    )
+
+
+def _by_card(enriched: DataFrame, running_limit: bool) -> DataFrame:
+    if not running_limit:
+        return running_by_key(
+            verdicts(enriched), "card_id", ARRIVAL, {"pending_cents": pending_measure()}
         )
+    guarded = running_by_key(
+        for_fold(enriched), "card_id", ARRIVAL, {"_smallest": smallest_measure()}
+    ).withColumn("_guard", has_earlier())
+    return fold_by_card(guarded, FOLD_KEEPS, ARRIVAL)
+
+
+def as_updates(done: DataFrame) -> DataFrame:
+    if "total_fails" in done.columns:
         total = F.when(F.col("total_fails"), fixed.OVER_TOTAL_LIMIT)
         reason = F.coalesce("_before", total, "_after")
-        out = folded.withColumns({"decline_reason": reason, "status": checks.status(reason)})
-    return out.select(
+        done = done.withColumns({"decline_reason": reason, "status": checks.status(reason)})
+    return done.select(
         "transaction_id",
         "card_id",
         "status",

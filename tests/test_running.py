@@ -77,20 +77,21 @@ def test_lookup(spark, hot_rows):
         F.col("id"),
     )
     dim = spark.range(30).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
-    got = lookup(rows, dim, "k", find_hot(rows, "k", hot_rows), spread="id")
+    got = lookup(rows, dim, "k", find_hot(rows, "k", hot_rows))
     assert sorted(got.columns) == ["id", "k", "v"]
     for r in got.collect():
         assert r["v"] == (None if r["k"] is None or r["k"] >= 30 else r["k"] * 10)
     assert got.count() == 3000
 
 
-def test_lookup_spreads_the_hot_key(spark, conf):
-    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+def test_lookup_does_not_shuffle_rows_of_hot_keys(spark, conf):
     conf("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
-    rows = spark.range(9000).select(F.lit(5).cast("long").alias("k"), "id")
+    rows = spark.range(9000, numPartitions=8).select(
+        F.when(F.col("id") % 9 > 0, 5).otherwise(F.col("id") % 30).cast("long").alias("k"), "id"
+    )
     dim = spark.range(30).select(F.col("id").alias("k"), F.lit(1).alias("v"))
-    got = lookup(rows, dim, "k", find_hot(rows, "k", 100), spread="id")
-    parts = got.groupBy(F.spark_partition_id().alias("p")).count().collect()
-    assert len(parts) == 8 and max(r["count"] for r in parts) < 3000
-    assert got.filter("v = 1").count() == 9000
+    got = lookup(rows, dim, "k", find_hot(rows, "k", 1000)).filter("v = 1")
+    busy = got.filter("k = 5").groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert len(busy) == 8 and max(r["count"] for r in busy) == 1000
+    assert got.count() == 9000
