@@ -300,12 +300,11 @@ def batch_customers(spark, d):
 
 
 def _streamed(spark, d, running_limit):
-    """Replay all transactions, refunds sent twice, as files of messages; read them as a stream."""
+    """Replay all transactions, then the refunds again, as files of messages; read them as a stream."""
     work = scratch_path(spark, "stream")
-    tx = roles.transactions(spark, d)
-    messages.publish_files(tx, f"{work}/messages", slices=2)
-    again = tx.filter(F.col("transaction_type") == "refund")
-    messages.publish_files(again, f"{work}/messages")
+    tx = saved(roles.transactions(spark, d), "transactions")
+    messages.publish_files(tx, f"{work}/messages")
+    messages.publish_files(tx.filter(F.col("transaction_type") == "refund"), f"{work}/messages")
     profiles = saved(card_profiles(roles.cards(spark, d), roles.customers(spark, d)), "profiles")
     stream = messages.read_files(spark, f"{work}/messages", per_trigger=8)
     updates = authorize_stream(stream, profiles, running_limit)

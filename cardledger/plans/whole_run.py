@@ -26,7 +26,8 @@ def speed_layer(
     work = scratch_path(spark, "stream")
     publish_files(tables["transactions"], f"{work}/messages")
     profiles = saved(card_profiles(cards, customers), "profiles")
-    updates = authorize_stream(read_files(spark, f"{work}/messages"), profiles, running_limit)
+    stream = read_files(spark, f"{work}/messages", per_trigger=8)
+    updates = authorize_stream(stream, profiles, running_limit)
     return run_available(updates, f"{work}/updates", f"{work}/checkpoint")
 
 

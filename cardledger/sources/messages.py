@@ -75,21 +75,32 @@ def read_files(spark: SparkSession, path: str, per_trigger: int | None = None) -
     return from_messages(stream.load(path))
 
 
-def publish_files(transactions: DataFrame, path: str, slices: int = 1, files: int = 8) -> None:
-    """Replay a table into text files: one write per slice of days, in order.
-
-    Within a slice all messages of a card are in one file, so the stream may stop between any two
-    files and still sees each card in replay order.
+def publish_files(
+    transactions: DataFrame, path: str, slice_rows: int = 5_000_000, files: int = 8
+) -> None:
+    """Replay a table into text files: slices of about `slice_rows` rows, written one by one.
+
+    Later slices have later files, and within a slice all messages of a card are in one file. So a
+    stream that takes `files` files at a time sees each card in replay order, and never more than
+    about a slice. Each slice reads the table: for tables of many slices, use Kafka.
     """
     day = F.unix_date(F.to_date("timestamp"))
+    first, last, n = transactions.agg(
+        F.min("transaction_id"), F.max("transaction_id"), F.count(F.lit(1))
+    ).first()
+    # Day and, as its fraction, the place of the id: one number in replay order.
+    place = day + (F.col("transaction_id") - F.lit(first)) / F.lit((last or 0) - (first or 0) + 1)
+    slices = -(-n // slice_rows)
     cuts = [i / slices for i in range(1, slices)]
-    bounds = transactions.agg(F.percentile_approx(day, cuts)).first()[0] if cuts else []
-    edges = [None, *sorted(set(bounds or [])), None]
+    bounds = transactions.agg(F.percentile_approx(place, cuts)).first()[0] if cuts else []
+    edges = [None, *sorted(set(bounds)), None]
     for low, high in zip(edges, edges[1:]):
         part = transactions
         if low is not None:
-            part = part.filter(day > low)
-        if high is not None:
-            part = part.filter(day <= high)
+            part = part.filter(place > low)
+        elif high is not None:
+            part = part.filter((place <= high) | place.isNull())
+        if low is not None and high is not None:
+            part = part.filter(place <= high)
         placed = part.repartition(files, "card_id").sortWithinPartitions(*replay_order())
         to_messages(placed).select("value").write.mode("append").text(path)

@@ -110,11 +110,11 @@ def test_jdbc_options():
 
 
 def test_replay_files_are_in_order(spark, tmp_path):
-    rows = t.transactions(spark, [t.tx(i, 1.0, card_id=i % 3, day=i % 7) for i in range(200)])
-    messages.publish_files(rows, str(tmp_path / "m"), slices=3, files=2)
+    rows = t.transactions(spark, [t.tx(i, 1.0, card_id=i % 3, day=i % 7) for i in range(200)] + [t.tx(None, 1.0)])
+    messages.publish_files(rows, str(tmp_path / "m"), slice_rows=70, files=2)
     files = sorted((tmp_path / "m").glob("part-*"), key=lambda f: f.stat().st_mtime_ns)
     days = [[json.loads(s)["timestamp"][:10] for s in f.read_text().splitlines()] for f in files]
-    assert sum(map(len, days)) == 200 and len(files) > 2
+    assert sum(map(len, days)) == 201 and len(files) == 6
     assert all(d == sorted(d) for d in days)
     assert days[0][0] < days[-1][0]
 

@@ -28,11 +28,11 @@ class Run:
 
 
 @pytest.mark.parametrize("running_limit", [False, True])
-@pytest.mark.parametrize("slices, per_trigger", [(1, None), (3, 2)])
-def test_stream_equals_batch(spark, tmp_path, running_limit, slices, per_trigger):
+@pytest.mark.parametrize("slice_rows, per_trigger", [(10**6, None), (40, 2)])
+def test_stream_equals_batch(spark, tmp_path, running_limit, slice_rows, per_trigger):
     c, u, x = t.random_tables(21, 250)
     run = Run(spark, tmp_path, c, u, running_limit)
-    run.send(x, slices=slices)
+    run.send(x, slice_rows=slice_rows)
     got = run.process(per_trigger)
     batch = authorize(
         t.transactions(spark, x), t.cards(spark, c), t.customers(spark, u), running_limit
