@@ -307,7 +307,8 @@ def _streamed(spark, d, running_limit):
     messages.publish_files(tx.filter(F.col("transaction_type") == "refund"), f"{work}/messages")
     profiles = saved(card_profiles(roles.cards(spark, d), roles.customers(spark, d)), "profiles")
     stream = messages.read_files(spark, f"{work}/messages", per_trigger=8)
-    updates = authorize_stream(stream, profiles, running_limit)
+    buckets = max(64, profiles.count() // 1000)
+    updates = authorize_stream(stream, profiles, running_limit, buckets=buckets)
     return run_available(updates, f"{work}/updates", f"{work}/checkpoint")
 
 

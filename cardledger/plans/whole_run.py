@@ -12,7 +12,13 @@ from cardledger.plans.batch import BatchResult, run_batch, sorted_for_output
 from cardledger.schemas import STREAM_TRANSACTIONS
 from cardledger.sources.messages import publish_files, read_files
 from cardledger.sources.scratch import saved, scratch_path
-from cardledger.sources.tables import load_all, publish_serving, read_typed_csv, save_csv
+from cardledger.sources.tables import (
+    Store,
+    load_all,
+    publish_serving,
+    read_typed_csv,
+    save_csv,
+)
 from cardledger.streaming.speed import authorize_stream, run_available
 
 
@@ -32,15 +38,14 @@ def speed_layer(
 
 
 def run_all(
-    spark: SparkSession,
-    root: str,
+    store: Store,
     results: str,
     running_limit: bool = False,
     streaming: bool = False,
     single_file: bool = False,
 ) -> BatchResult:
-    """Read the tables under `root`, write the result files, put the new tables in place."""
-    tables = load_all(spark, root)
+    """Read the tables, write the result files, put the new tables in place."""
+    spark, tables = store.spark, load_all(store)
     updates = speed_layer(spark, tables, running_limit, streaming)
     stream = stream_transactions(tables["transactions"], updates).orderBy("transaction_id")
     save_csv(stream, f"{results}/stream_transactions", single_file)
@@ -52,5 +57,5 @@ def run_all(
     save_csv(batch.transactions, f"{results}/batch_transactions", single_file)
     save_csv(batch.cards, f"{results}/cards_updated", single_file)
     save_csv(batch.customers, f"{results}/customers_updated", single_file)
-    publish_serving(spark, results, root)
+    publish_serving(store, results)
     return batch

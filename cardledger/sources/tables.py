@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass, field
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -32,8 +34,8 @@ def _read_text_fields(spark: SparkSession, path: str, schema: StructType, multi_
 
 def _is_malformed(fields: DataFrame) -> Column:
     # Spark reads no CSV for the malformed lines alone, so the test takes in a field as well.
-    field = next(c for c in fields.columns if c != _MALFORMED)
-    return F.concat(F.col(_MALFORMED), F.coalesce(F.col(field), F.lit(""))).isNotNull()
+    other = next(c for c in fields.columns if c != _MALFORMED)
+    return F.concat(F.col(_MALFORMED), F.coalesce(F.col(other), F.lit(""))).isNotNull()
 
 
 def _typed(fields: DataFrame, schema: StructType) -> DataFrame:
@@ -79,26 +81,13 @@ def save_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     ).csv(path)
 
 
-def read_jdbc(
-    spark: SparkSession,
-    url: str,
-    table: str,
-    schema: StructType,
-    properties: dict[str, str] | None = None,
-    split: tuple[str, int, int, int] | None = None,
-) -> DataFrame:
-    """Read a JDBC table. `split`: (column, lower bound, upper bound, partitions)."""
-    options = jdbc_options(url, table, properties, split)
-    df = spark.read.format("jdbc").options(**options).load()
-    return df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
-
-
 def jdbc_options(
     url: str,
     table: str,
     properties: dict[str, str] | None = None,
     split: tuple[str, int, int, int] | None = None,
 ) -> dict[str, str]:
+    """`split` reads in parallel: (column, lower bound, upper bound, partitions)."""
     options = {"url": url, "dbtable": table, **(properties or {})}
     if split:
         column, lower, upper, partitions = split
@@ -111,45 +100,67 @@ def jdbc_options(
     return options
 
 
-def write_jdbc(
-    df: DataFrame, url: str, table: str, properties: dict[str, str] | None = None
-) -> None:
-    """Empty the table, then insert. The table's own definition stays."""
-    df.write.format("jdbc").mode("overwrite").options(
-        **jdbc_options(url, table, properties), truncate=True
-    ).save()
+@dataclass(frozen=True)
+class ParquetStore:
+    """The tables as parquet folders under `root`."""
+
+    spark: SparkSession
+    root: str
+
+    def read(self, name: str) -> DataFrame:
+        return self.spark.read.schema(TABLES[name][0]).parquet(f"{self.root}/{name}")
+
+    def write(self, df: DataFrame, name: str) -> None:
+        df.write.mode("overwrite").parquet(f"{self.root}/{name}")
+
+
+@dataclass(frozen=True)
+class JdbcStore:
+    """The tables in a database. `splits`: by table, how to read it in parallel."""
+
+    spark: SparkSession
+    url: str
+    properties: dict[str, str] = field(default_factory=dict)
+    splits: dict[str, tuple[str, int, int, int]] = field(default_factory=dict)
+
+    def read(self, name: str) -> DataFrame:
+        options = jdbc_options(self.url, name, self.properties, self.splits.get(name))
+        df = self.spark.read.format("jdbc").options(**options).load()
+        return df.select(*[F.col(f.name).cast(f.dataType) for f in TABLES[name][0].fields])
+
+    def write(self, df: DataFrame, name: str) -> None:
+        """Empty the table, then insert. The table's own definition stays."""
+        options = jdbc_options(self.url, name, self.properties)
+        df.write.format("jdbc").mode("overwrite").options(**options, truncate=True).save()
+
+
+Store = ParquetStore | JdbcStore
 
 
-def load_table(spark: SparkSession, csv_path: str, name: str, target: str) -> tuple[DataFrame, int]:
-    """Load a CSV file over the parquet table `name` at `target`: (the table, lines skipped).
+def load_table(store: Store, csv_path: str, name: str) -> tuple[DataFrame, int]:
+    """Load a CSV file over the table `name`: (the table, lines skipped).
 
     The skipped lines are counted in the pass that writes the table.
     """
     schema, key = TABLES[name]
     seen = Observation()
-    fields = _read_text_fields(spark, csv_path, schema, multi_line=False).observe(
+    fields = _read_text_fields(store.spark, csv_path, schema, multi_line=False).observe(
         seen, F.count(_MALFORMED).alias("skipped")
     )
-    _typed(fields, schema).write.mode("overwrite").parquet(target)
-    table = spark.read.schema(schema).parquet(target)
-    return require_primary_key(table, key), seen.get["skipped"]
+    store.write(_typed(fields, schema), name)
+    return require_primary_key(store.read(name), key), seen.get["skipped"]
 
 
-def load_all(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """The four tables, as parquet under `root`."""
-    return {
-        name: spark.read.schema(schema).parquet(f"{root}/{name}")
-        for name, (schema, _) in TABLES.items()
-    }
+def load_all(store: Store) -> dict[str, DataFrame]:
+    """The four tables."""
+    return {name: store.read(name) for name in TABLES}
 
 
-def publish_serving(spark: SparkSession, results: str, root: str) -> None:
+def publish_serving(store: Store, results: str) -> None:
     """Put the batch results in place of the cards and customers tables.
 
     The results are read back from their files, so no plan reads a table while it is overwritten.
     """
     for name in ("cards", "customers"):
         schema, _ = TABLES[name]
-        read_typed_csv(spark, f"{results}/{name}_updated", schema).write.mode("overwrite").parquet(
-            f"{root}/{name}"
-        )
+        store.write(read_typed_csv(store.spark, f"{results}/{name}_updated", schema), name)

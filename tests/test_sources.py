@@ -52,17 +52,17 @@ def test_csv_with_unknown_column(spark, tmp_path):
 
 
 def test_load_table_replaces_and_counts(spark, tmp_path):
-    target = str(tmp_path / "transactions")
+    store = tables.ParquetStore(spark, str(tmp_path / "tables"))
     path = write(tmp_path / "t.csv", TX_CSV)
     for _ in range(2):
-        table, skipped = tables.load_table(spark, path, "transactions", target)
+        table, skipped = tables.load_table(store, path, "transactions")
         assert (table.count(), skipped) == (2, 2)
 
 
 def test_load_table_wants_a_primary_key(spark, tmp_path):
     path = write(tmp_path / "c.csv", "customer_id,name\n1,a\n1,b\n")
     with pytest.raises(ValueError, match="customer_id"):
-        tables.load_table(spark, path, "customers", str(tmp_path / "customers"))
+        tables.load_table(tables.ParquetStore(spark, str(tmp_path)), path, "customers")
 
 
 def test_empty_status_survives_csv(spark, tmp_path):
@@ -146,7 +146,8 @@ def test_whole_run(spark, tmp_path, streaming, running_limit):
     t.make(spark, schemas.CREDIT_CARD_TYPES, [{"card_type_id": 1}]).write.parquet(
         f"{root}/credit_card_types"
     )
-    run_all(spark, root, results, running_limit, streaming)
+    store = tables.ParquetStore(spark, root)
+    run_all(store, results, running_limit, streaming)
 
     model = t.model(c, u, x, running_limit)
     stream = tables.read_typed_csv(spark, f"{results}/stream_transactions", schemas.STREAM_TRANSACTIONS)
@@ -156,7 +157,7 @@ def test_whole_run(spark, tmp_path, streaming, running_limit):
     latest = {}
     for r in sorted(x, key=lambda r: r["transaction_id"]):
         latest[r["card_id"]] = model[r["transaction_id"]][2]
-    published = tables.load_all(spark, root)["cards"]
+    published = tables.load_all(store)["cards"]
     balances = {r["card_id"]: t.cents(r["current_balance"]) for r in published.collect()}
     assert balances == {
         k["card_id"]: t.cents(k["current_balance"]) + latest.get(k["card_id"], 0) for k in c
