@@ -8,7 +8,7 @@ from cardledger.functions import fixed
 from cardledger.functions.money import from_cents
 from cardledger.functions.times import result_time
 from cardledger.operators import checks
-from cardledger.operators.fold import MAX_ROUNDS, fold_by_card, fold_by_chunk
+from cardledger.operators.fold import fold_by_card, fold_by_chunk
 from cardledger.operators.hot import HOT_ROWS, find_hot, lookup, of_hot_keys, split
 from cardledger.operators.ledger import overlay, with_stream_defaults
 from cardledger.operators.lookup import card_profiles
@@ -70,7 +70,6 @@ def authorize(
     running_limit: bool = False,
     hot_rows: int = HOT_ROWS,
     block_bits: int = BLOCK_BITS,
-    max_rounds: int = MAX_ROUNDS,
 ) -> DataFrame:
     """One update per transaction: status, decline reason, pending balance of the card after it.
 
@@ -91,7 +90,7 @@ def authorize(
         guarded = running_by_piece(
             for_fold(rows), "card_id", levels(block_bits), ARRIVAL, measures
         ).withColumn("_guard", has_earlier())
-        split_done = fold_by_chunk(guarded, FOLD_KEEPS, ARRIVAL, hot_rows, max_rounds)
+        split_done = fold_by_chunk(guarded, FOLD_KEEPS, ARRIVAL, hot_rows)
     else:
         split_done = running_by_piece(
             verdicts(rows), "card_id", levels(block_bits), ARRIVAL,

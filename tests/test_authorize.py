@@ -104,12 +104,10 @@ def test_against_model(spark, seed, running_limit):
 
 # hot_rows so small that several cards, and the unknown ones, are split into many pieces.
 @pytest.mark.parametrize("running_limit", [False, True])
-@pytest.mark.parametrize("seed, bits, max_rounds", [(3, 6, 64), (4, 3, 64), (5, 20, 1), (6, 8, 2)])
-def test_split_cards_against_model(spark, seed, bits, max_rounds, running_limit):
+@pytest.mark.parametrize("seed, bits, hot_rows", [(3, 6, 40), (4, 3, 40), (5, 20, 15), (6, 8, 100)])
+def test_split_cards_against_model(spark, seed, bits, hot_rows, running_limit):
     c, u, x = t.random_tables(seed, 500)
-    got = run(
-        spark, c, u, x, running_limit, hot_rows=40, block_bits=bits, max_rounds=max_rounds
-    )
+    got = run(spark, c, u, x, running_limit, hot_rows=hot_rows, block_bits=bits)
     assert got == t.model(c, u, x, running_limit)
 
 
