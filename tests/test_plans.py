@@ -4,11 +4,14 @@ import os
 import re
 
 import pytest
+import tables as t
 from pyspark.sql import functions as F
 
 from cardledger import catalog, roles
 from cardledger.operators import ledger
+from cardledger.operators.fold import _fold_pieces
 from cardledger.plans.authorize import authorize
+from cardledger.sources.scratch import saved
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -67,3 +70,32 @@ def test_batch_aggregates_the_transactions_once(spark):
     df.collect()
     final = plan(df).split("Initial Plan")[0]
     assert "ReusedExchange" in final
+
+
+@pytest.mark.parametrize("running_limit", [False, True])
+def test_hot_cards_take_their_own_branch(spark, running_limit):
+    c, u, x = t.random_tables(31, 200)
+    updates = authorize(
+        t.transactions(spark, x), t.cards(spark, c), t.customers(spark, u), running_limit, hot_rows=60
+    )
+    text = plan(updates)
+    assert "NestedLoop" not in text and "Cartesian" not in text
+    assert re.search(r"BroadcastHashJoin .*LeftAnti", text)
+    if not running_limit:
+        busy = text[re.search(r"Join \[_key", text).start() :]
+        assert "LeftSemi" in busy and "hashpartitioning(card_id" not in busy
+        assert re.search(r"hashpartitioning\(_key\S+, _null\S+, _level0\S+, _level1\S+, 8\)", busy)
+
+
+def test_later_rounds_read_few_folders(spark):
+    rows = spark.range(400).selectExpr(
+        "1L as card_id", "id as _chunk", "floor(id / 64) as _folder", "id as arrival_day",
+        "1L as amount_cents", "9L as _room", "true as _guard", "true as _open",
+    )
+    rows = saved(rows, "chunks", "_folder")
+    walked = saved(
+        spark.sql("select 1L as card_id, 70L as chunk, 0L as start, 0 as settled"), "walk"
+    )
+    to_fold = walked.filter(F.col("settled") == 0).select("card_id", "chunk", "start")
+    text = plan(_fold_pieces(rows, to_fold, ["arrival_day"]))
+    assert "dynamicpruning" in text
