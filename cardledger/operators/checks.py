@@ -42,11 +42,6 @@ def _can_process() -> Column:
     )
 
 
-def usable_cards(cards: DataFrame) -> DataFrame:
-    """Cards with a limit and a balance."""
-    return cards.filter(F.col("credit_limit").isNotNull() & F.col("current_balance").isNotNull())
-
-
 def card_missing() -> Column:
     return F.col("card_known").isNull()
 
@@ -56,9 +51,9 @@ def over_half_limit() -> Column:
     return F.col("amount_cents") >= fixed.SINGLE_AMOUNT_SHARE * F.col("limit_cents")
 
 
-def over_total(pending_cents: Column | int = 0) -> Column:
-    pending = F.lit(pending_cents) if isinstance(pending_cents, int) else pending_cents
-    return F.col("amount_cents") + F.col("balance_cents") + pending >= F.col("limit_cents")
+def over_total() -> Column:
+    """The total rule without the pending balance."""
+    return F.col("amount_cents") + F.col("balance_cents") >= F.col("limit_cents")
 
 
 def address_missing() -> Column:
