@@ -2,9 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-
-from cardledger.llm import decontamination, packing, quality_rules
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from cardledger.llm import (
+    decontamination,
+    html_extraction,
+    license_scans,
+    line_dedup,
+    ngram_jaccard_join,
+    packing,
+    quality_rules,
+    sharding,
+    suffix_array_dedup,
+    url_filters,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,21 +32,117 @@ def vocabulary() -> packing.Vocabulary:
     )
 
 
+def op1_ngram_jaccard_join(spark, d):
+    return ngram_jaccard_join.join(table(spark, d, "documents"))
+
+
+# The rules that the query judges by, as given.
+URL_RULES = [
+    ("com/", "allow"),
+    ("example.com/en/", "block"),
+    ("www.example.com/en/", "allow"),
+    ("net/es/", "block"),
+    ("net/fr/", "block"),
+]
+
+
+def op2_url_filters(spark, d):
+    pages = table(spark, d, "pages")
+    rules = spark.createDataFrame(URL_RULES, "rule string, verdict string")
+    return url_filters.judge(pages, rules, url_filters.mirrored(pages))
+
+
 def op3_packing(spark, d):
     return packing.pack_documents(table(spark, d, "documents"), vocabulary())
 
 
+def op4_license_scans(spark, d):
+    return license_scans.scan(table(spark, d, "documents"))
+
+
 def op5_decontamination(spark, d):
     scanned = decontamination.scan(table(spark, d, "documents"), table(spark, d, "benchmark"))
     return decontamination.digest(scanned)
 
 
+def op6_html_extraction(spark, d):
+    pages = table(spark, d, "pages")
+    weights = html_extraction.train(html_extraction.labelled_pages(pages))
+    return html_extraction.main_text(pages, weights)
+
+
+def op7_sharding(spark, d):
+    return sharding.shard_documents(table(spark, d, "documents"))
+
+
+def op8_line_dedup(spark, d):
+    """Per document: its lines, the lines removed, and the digest of the text that is left."""
+    return line_dedup.dedup_lines(table(spark, d, "documents")).select(
+        "doc_id",
+        F.col("_n_lines").alias("n_lines"),
+        F.col("_n_removed").alias("n_removed"),
+        F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"),
+    )
+
+
 def op9_quality_rules(spark, d):
     docs = table(spark, d, "documents")
     models = quality_rules.train(*quality_rules.labelled_rows(docs, table(spark, d, "labels")))
     return quality_rules.score(docs, models)
 
 
-QUERIES = {f.__name__: f for f in (op3_packing, op5_decontamination, op9_quality_rules)}
+def op10_suffix_array_dedup(spark, d):
+    return suffix_array_dedup.without_repeats(table(spark, d, "documents"), digest=True)
 
-ORACLE: dict[str, str] = {}
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_ngram_jaccard_join,
+        op2_url_filters,
+        op3_packing,
+        op4_license_scans,
+        op5_decontamination,
+        op6_html_extraction,
+        op7_sharding,
+        op8_line_dedup,
+        op9_quality_rules,
+        op10_suffix_array_dedup,
+    )
+}
+
+_RULE_ROWS = ", ".join(f"('{rule}', '{verdict}')" for rule, verdict in URL_RULES)
+
+OP2_SQL = f"""
+with parsed as (
+  select page_id, url, html,
+    case when url is null or instr(url, '://') = 0 then '' else substr(url, instr(url, '://') + 3) end rest
+  from pages),
+hosts as (select *, regexp_extract(rest, '^[^/?#]*') raw from parsed),
+split as (
+  select page_id, html,
+    translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') host,
+    regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') path
+  from hosts),
+rules as (
+  select rule, verdict, regexp_extract(rule, '^[^/]*') rule_host,
+    substr(rule, length(regexp_extract(rule, '^[^/]*')) + 1) rule_path
+  from (values {_RULE_ROWS}) r(rule, verdict)),
+fitting as (
+  select s.page_id, s.host, s.path, r.rule, r.verdict,
+    row_number() over (partition by s.page_id, s.host, s.path
+      order by length(r.rule) desc, length(r.rule_host) desc) place
+  from (select distinct page_id, host, path from split) s
+  join rules r on (s.host = r.rule_host or ends_with(s.host, '.' || r.rule_host)) and starts_with(s.path, r.rule_path)),
+served as (select distinct host || path address, html from split where html is not null and host || path <> ''),
+mirrors as (
+  select distinct s.address from served s
+  join (select html, min(address) first_one from served group by html) f on s.html = f.html and s.address > f.first_one)
+select s.page_id, s.host, s.path, f.rule,
+  coalesce(f.verdict, case when m.address is not null then 'block' else 'allow' end) verdict
+from split s
+left join fitting f on f.page_id = s.page_id and f.host = s.host and f.path = s.path and f.place = 1
+left join mirrors m on m.address = s.host || s.path
+"""
+
+ORACLE: dict[str, str] = {"op2_url_filters": OP2_SQL}
