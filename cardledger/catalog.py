@@ -10,17 +10,18 @@ from pyspark.sql.types import DoubleType, LongType, StringType, StructField, Str
 from cardledger import roles
 from cardledger.functions import text, times
 from cardledger.functions.credit import adjusted_limit, score_adjustment
-from cardledger.functions.money import from_cents
+from cardledger.functions.money import from_micros
 from cardledger.operators import checks, ledger, settle
 from cardledger.operators.hot import find_hot
 from cardledger.operators.lookup import card_profiles
-from cardledger.operators.running import Measure, id_block, running
+from cardledger.operators.running import Measure, running
 from cardledger.plans import authorize as plan
 from cardledger.plans.batch import BatchResult, run_batch
-from cardledger.schemas import TRANSACTIONS, duplicate_keys
+from cardledger.plans.whole_run import run_all
+from cardledger.schemas import TABLES, TRANSACTIONS, duplicate_keys
 from cardledger.sources import messages, tables
 from cardledger.sources.scratch import saved, scratch_path
-from cardledger.streaming.speed import authorize_stream, run_available
+from cardledger.streaming.speed import authorize_stream, run_available, stream_aside
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,13 +30,16 @@ STREAM_STOPPED = "1999-01-01"
 
 # Small pieces, so that the split of a hot card shows at test scale.
 SMALL_HOT_ROWS = 2500
-SMALL_BLOCK_BITS = 28
+
+# Buckets of cards that a stream keeps its state in.
+STREAM_BUCKETS = 256
 
 
 def _joined(spark: SparkSession, d: str) -> DataFrame:
     tx = roles.transactions(spark, d)
     profiles = card_profiles(roles.cards(spark, d), roles.customers(spark, d))
-    return plan.enrich(tx, profiles, find_hot(tx, "card_id"))
+    rows = plan.enrich(tx, profiles, find_hot(tx, "card_id"))
+    return rows.filter(F.col("aside").isNull())
 
 
 def _updates(spark: SparkSession, d: str, running_limit: bool = False) -> DataFrame:
@@ -46,13 +50,15 @@ def _updates(spark: SparkSession, d: str, running_limit: bool = False) -> DataFr
 
 def _stream(spark: SparkSession, d: str) -> DataFrame:
     """All transactions with the stream results."""
-    tx = roles.transactions(spark, d)
-    updates = plan.authorize(tx, roles.cards(spark, d), roles.customers(spark, d))
-    return plan.stream_transactions(tx, updates)
+    return plan.stream_table(
+        roles.transactions(spark, d), roles.cards(spark, d), roles.customers(spark, d)
+    )
 
 
-def _batch(spark: SparkSession, d: str) -> BatchResult:
-    return run_batch(_stream(spark, d), roles.cards(spark, d), roles.customers(spark, d))
+def _batch(spark: SparkSession, d: str, save_balances: bool = True) -> BatchResult:
+    return run_batch(
+        _stream(spark, d), roles.cards(spark, d), roles.customers(spark, d), save_balances=save_balances
+    )
 
 
 def blank_to_null(spark, d):
@@ -82,7 +88,6 @@ def replay_order(spark, d):
     numbered = running(
         rows,
         "arrival_day",
-        [id_block(F.col("transaction_id"))],
         ["transaction_id"],
         {"position": Measure(F.lit(1))},
         find_hot(rows, "arrival_day"),
@@ -125,8 +130,8 @@ def lookup_join(spark, d):
         "transaction_id",
         "card_id",
         "customer_id",
-        from_cents("limit_cents").alias("credit_limit"),
-        from_cents("balance_cents").alias("current_balance"),
+        from_micros("limit_micros").alias("credit_limit"),
+        from_micros("balance_micros").alias("current_balance"),
         "home_zip",
     )
 
@@ -181,7 +186,6 @@ def earlier_smaller_id(spark, d):
     rows = running(
         checks.prepare(tx),
         "card_id",
-        plan.levels(),
         plan.ARRIVAL,
         {"_smallest": plan.smallest_measure()},
         find_hot(tx, "card_id"),
@@ -204,7 +208,6 @@ def _corporate(spark, d, running_limit):
         roles.customers(spark, d),
         running_limit,
         hot_rows=SMALL_HOT_ROWS,
-        block_bits=SMALL_BLOCK_BITS,
     )
 
 
@@ -286,7 +289,7 @@ def adjust_limits(spark, d):
 
 
 def batch_transactions(spark, d):
-    return _batch(spark, d).transactions.select(
+    return _batch(spark, d, save_balances=False).transactions.select(
         "transaction_id", "card_id", "timestamp", "amount", "status", "pending_balance"
     )
 
@@ -299,16 +302,42 @@ def batch_customers(spark, d):
     return _batch(spark, d).customers
 
 
-def _streamed(spark, d, running_limit):
-    """Replay all transactions, then the refunds again, as files of messages; read them as a stream."""
-    work = scratch_path(spark, "stream")
-    tx = saved(roles.transactions(spark, d), "transactions")
-    messages.publish_files(tx, f"{work}/messages")
-    messages.publish_files(tx.filter(F.col("transaction_type") == "refund"), f"{work}/messages")
+def quarantine(spark, d):
+    """Transactions and cards damaged in every way: what is set aside, with the cause."""
+    tx, kind = roles.transactions(spark, d), F.col("transaction_id") % 13
+    damaged = tx.select(
+        F.when(kind != 1, F.col("transaction_id")).alias("transaction_id"),
+        "card_id",
+        "merchant_name",
+        F.when(kind != 2, F.col("timestamp")).alias("timestamp"),
+        F.when(kind == 4, F.lit(float("nan")))
+        .when(kind == 5, F.lit(float("inf")))
+        .when(kind == 6, F.lit(1e18))
+        .when(kind != 3, F.col("amount"))
+        .alias("amount"),
+        "location",
+    )
+    limit = F.when(F.col("card_id") % 7 != 0, F.col("credit_limit"))
+    cards = roles.cards(spark, d).withColumn("credit_limit", limit)
+    aside = plan.set_aside(damaged, cards, roles.customers(spark, d))
+    return aside.select("card_id", "merchant_name", "cause")
+
+
+def _sent(spark, d, order=None):
+    """All transactions as messages, then the refunds again with another amount."""
+    path = scratch_path(spark, "messages")
+    tx = roles.transactions(spark, d)
+    again = tx.filter(F.col("transaction_type") == "refund").withColumn("amount", F.col("amount") - 1)
+    messages.save_messages(tx, path, order=order)
+    messages.save_messages(again, path, wave=1, order=order)
+    return messages.read_files(spark, path)
+
+
+def _streamed(spark, d, running_limit, order=None):
+    """The updates that a stream of the messages gives: the first copy of each transaction counts."""
     profiles = saved(card_profiles(roles.cards(spark, d), roles.customers(spark, d)), "profiles")
-    stream = messages.read_files(spark, f"{work}/messages", per_trigger=8)
-    buckets = max(64, profiles.count() // 1000)
-    updates = authorize_stream(stream, profiles, running_limit, buckets=buckets)
+    updates = authorize_stream(_sent(spark, d, order), profiles, running_limit, buckets=STREAM_BUCKETS)
+    work = scratch_path(spark, "stream")
     return run_available(updates, f"{work}/updates", f"{work}/checkpoint")
 
 
@@ -320,6 +349,89 @@ def stream_authorize_running(spark, d):
     return _streamed(spark, d, running_limit=True)
 
 
+def stream_out_of_order(spark, d):
+    """Messages that come in another order than that of days and ids: verdicts go by arrival."""
+    mixed = [F.col("transaction_id") % 7, F.col("transaction_id")]
+    return _streamed(spark, d, running_limit=True, order=mixed)
+
+
+def stream_merged(spark, d):
+    """All transactions with the results of the stream over them."""
+    merged = plan.stream_transactions(roles.transactions(spark, d), _streamed(spark, d, False))
+    return merged.select(
+        "transaction_id", "card_id", "timestamp", "amount", "location", "pending_balance", "status"
+    )
+
+
+def stream_quarantine(spark, d):
+    """Messages with ids and amounts as text, some of which make no sense: what the stream sets aside."""
+    path = scratch_path(spark, "messages")
+    kind, quoted = F.col("transaction_id") % 5, F.col("amount").cast("string")
+    sent = roles.transactions(spark, d).select(
+        F.when(kind == 0, "none").otherwise(F.concat(F.lit("batch:"), "transaction_id")).alias("transaction_id"),
+        F.col("card_id").cast("string").alias("card_id"),
+        "merchant_name",
+        "timestamp",
+        F.when(kind == 1, "a lot").when(kind == 2, "Infinity").otherwise(quoted).alias("amount"),
+        "location",
+        F.lit(1).cast("long").alias(messages.ARRIVAL),
+    )
+    messages.to_messages(sent, messages.ARRIVAL).write.parquet(path)
+    profiles = saved(card_profiles(roles.cards(spark, d), roles.customers(spark, d)), "profiles")
+    aside = stream_aside(messages.read_files(spark, path), profiles)
+    work = scratch_path(spark, "stream")
+    return run_available(aside, f"{work}/aside", f"{work}/checkpoint").select(
+        "transaction_id", "card_id", "amount", "cause"
+    )
+
+
+def _store(spark, d):
+    """The four tables in a parquet store; columns that the roles lack are null."""
+    store = tables.ParquetStore(spark, scratch_path(spark, "store"))
+    types = roles.table(spark, d, "region").select(
+        F.col("r_regionkey").cast("int").alias("card_type_id"), F.col("r_name").alias("name")
+    )
+    found = {
+        "credit_card_types": types,
+        "customers": roles.customers(spark, d),
+        "cards": roles.cards(spark, d),
+        "transactions": roles.transactions(spark, d),
+    }
+    for name, df in found.items():
+        columns = [
+            (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in TABLES[name][0].fields
+        ]
+        store.write(df.select(*columns), name)
+    return store
+
+
+def whole_run_cards(spark, d):
+    """From stored tables to published ones: the cards as published."""
+    store = _store(spark, d)
+    run_all(store, scratch_path(spark, "results"))
+    return store.read("cards").select("card_id", "customer_id", "credit_limit", "current_balance")
+
+
+def whole_run_customers(spark, d):
+    """The customers as published, after a run with the float cast and copies of transactions."""
+    store = _store(spark, d)
+    copies = saved(roles.with_resent_refunds(store.read("transactions")), "copies")
+    store.write(copies, "transactions")
+    run_all(store, scratch_path(spark, "results"), compat_float=True, dedupe=True)
+    return store.read("customers").select("customer_id", "name", "address", "credit_score")
+
+
+def load_and_publish(spark, d):
+    """Customers with line breaks and empty text, from a CSV file into a store and published again."""
+    store, path = _store(spark, d), scratch_path(spark, "csv")
+    named = F.concat("name", F.when(F.col("customer_id") % 3 == 0, '\n"second", line').otherwise(""))
+    tables.save_csv(roles.customers(spark, d).withColumn("name", named), path)
+    loaded, _ = tables.load_table(store, path, "customers")
+    tables.publish_serving(store, store.read("cards"), loaded)
+    return store.read("customers").select("customer_id", "name", "address", "credit_score")
+
+
 def csv_roundtrip(spark, d):
     path = scratch_path(spark, "csv")
     tables.save_csv(roles.customers(spark, d), path)
@@ -332,7 +444,7 @@ def csv_roundtrip(spark, d):
             StructField("annual_income", DoubleType()),
         ]
     )
-    return tables.read_csv(spark, path, schema).withColumn("address", F.coalesce("address", F.lit("")))
+    return tables.read_csv(spark, path, schema)
 
 
 def _damaged_csv(spark, d):
@@ -400,6 +512,13 @@ QUERIES: dict[str, Query] = {
         batch_customers,
         stream_authorize,
         stream_authorize_running,
+        stream_out_of_order,
+        stream_merged,
+        stream_quarantine,
+        quarantine,
+        whole_run_cards,
+        whole_run_customers,
+        load_and_publish,
         csv_roundtrip,
         csv_skip_bad_rows,
         csv_skipped_lines,

@@ -8,6 +8,13 @@ ADDRESS_NOT_FOUND = "Customer address not found"
 TOO_FAR = "Merchant location too far"
 NO_LOCATION = "Error extracting zip codes: 'NoneType' object has no attribute 'strip'"
 
+# Why a row is set aside unchecked.
+NO_ID = "no transaction id"
+NO_TIME = "no time"
+NO_AMOUNT = "no amount"
+AMOUNT_UNFIT = "amount is not a number that fits"
+CARD_WITHOUT_LIMIT = "card without limit or balance"
+
 # Transaction status.
 NEVER_STREAMED = ""
 PENDING = "pending"

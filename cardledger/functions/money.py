@@ -1,14 +1,30 @@
-"""Money is summed as whole cents (BIGINT): exact, and the same in any order."""
+"""Money is summed as whole millionths (BIGINT): exact, and the same in any order.
+
+Six decimal places hold what amount columns hold, so comparisons come out as on the amounts
+themselves and nothing is rounded to cents.
+"""
 
 from pyspark.sql import Column, functions as F
 
+MICROS = 1_000_000
+
+# Larger amounts are kept aside: with it, the sum of nine billion rows fits into a BIGINT.
+LARGEST_AMOUNT = 1e9
+
+
+def fits(amount) -> Column:
+    """Whether an amount is a number that can be summed; false for null, NaN and infinity."""
+    number = F.coalesce(_col(amount).cast("double"), F.lit(float("nan")))
+    return ~F.isnan(number) & (F.abs(number) <= LARGEST_AMOUNT)
+
 
-def to_cents(amount) -> Column:
-    return F.rint(_col(amount) * 100).cast("long")
+def to_micros(amount) -> Column:
+    """Null where the amount does not fit."""
+    return F.when(fits(amount), F.rint(_col(amount).cast("double") * MICROS).cast("long"))
 
 
-def from_cents(cents) -> Column:
-    return _col(cents).cast("double") / 100
+def from_micros(micros) -> Column:
+    return _col(micros).cast("double") / MICROS
 
 
 def _col(c) -> Column:

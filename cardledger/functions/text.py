@@ -26,4 +26,4 @@ def blank_to_null(c: Column) -> Column:
 
 def numeric_id(c: Column) -> Column:
     """The number of an id that may carry a prefix, as in ``batch:17``."""
-    return F.substring_index(c.cast("string"), ":", -1).cast("long")
+    return strip_white_space(F.substring_index(c.cast("string"), ":", -1)).try_cast("long")

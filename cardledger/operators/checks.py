@@ -2,44 +2,43 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cardledger.functions import fixed
-from cardledger.functions.money import to_cents
+from cardledger.functions.money import fits, to_micros
 from cardledger.functions.text import same_region, zip_code
 
-NARROW = ["transaction_id", "card_id", "arrival_day", "amount_cents"]
+NARROW = ["transaction_id", "card_id", "arrival_day", "amount_micros"]
 
 
-def prepare(transactions: DataFrame) -> DataFrame:
-    """The columns that checking needs: ids, arrival day, cents and the merchant's zip code."""
+def prepare(transactions: DataFrame, payload: Sequence[str] = ()) -> DataFrame:
+    """`payload` as it is, why the row cannot be checked (null if it can), and the columns that checking needs: ids, arrival day, amount in millionths and the merchant's zip code."""
     return transactions.select(
         "transaction_id",
         "card_id",
         F.to_date("timestamp").alias("arrival_day"),
-        to_cents("amount").alias("amount_cents"),
+        to_micros("amount").alias("amount_micros"),
         zip_code(F.col("location")).alias("merchant_zip"),
+        unfit_cause().alias("aside"),
+        *payload,
     )
 
 
-def processable(transactions: DataFrame) -> DataFrame:
-    """Rows that can be checked: with an id, a time and an amount that is a number."""
-    return transactions.filter(_can_process())
+def unfit_cause() -> Column:
+    """Why a row cannot be checked by itself; null if it can."""
+    return (
+        F.when(F.col("transaction_id").isNull(), fixed.NO_ID)
+        .when(F.col("timestamp").isNull(), fixed.NO_TIME)
+        .when(F.col("amount").isNull(), fixed.NO_AMOUNT)
+        .when(~fits("amount"), fixed.AMOUNT_UNFIT)
+    )
 
 
 def unprocessable(transactions: DataFrame) -> DataFrame:
-    """The other rows, to be kept aside and counted."""
-    return transactions.filter(~_can_process())
-
-
-def _can_process() -> Column:
-    # The comparison with null gives null, so the null tests come first.
-    return (
-        F.col("transaction_id").isNotNull()
-        & F.col("timestamp").isNotNull()
-        & F.col("amount").isNotNull()
-        & ~F.isnan(F.coalesce(F.col("amount"), F.lit(0.0)))
-    )
+    """Rows that cannot be checked whatever their card: no id, time or amount that fits."""
+    return transactions.filter(unfit_cause().isNotNull())
 
 
 def card_missing() -> Column:
@@ -47,13 +46,13 @@ def card_missing() -> Column:
 
 
 def over_half_limit() -> Column:
-    # amount >= 0.5 * limit, in whole cents.
-    return F.col("amount_cents") >= fixed.SINGLE_AMOUNT_SHARE * F.col("limit_cents")
+    # amount >= 0.5 * limit.
+    return F.col("amount_micros") >= fixed.SINGLE_AMOUNT_SHARE * F.col("limit_micros")
 
 
 def over_total() -> Column:
     """The total rule without the pending balance."""
-    return F.col("amount_cents") + F.col("balance_cents") >= F.col("limit_cents")
+    return F.col("amount_micros") + F.col("balance_micros") >= F.col("limit_micros")
 
 
 def address_missing() -> Column:
@@ -76,14 +75,13 @@ def reason_after_total() -> Column:
     )
 
 
-def decline_reason(total_fails: Column) -> Column:
-    """The cascade; null means approved."""
-    return F.coalesce(
-        reason_before_total(),
-        F.when(total_fails, fixed.OVER_TOTAL_LIMIT),
-        reason_after_total(),
-    )
+def decline_reason(before: Column, total_fails: Column, after: Column) -> Column:
+    """The cascade; null means approved, or set aside."""
+    reason = F.coalesce(before, F.when(total_fails, fixed.OVER_TOTAL_LIMIT), after)
+    return F.when(F.col("aside").isNull(), reason)
 
 
 def status(reason: Column) -> Column:
-    return F.when(reason.isNull(), fixed.PENDING).otherwise(fixed.DECLINED)
+    """Null for rows set aside."""
+    verdict = F.when(reason.isNull(), fixed.PENDING).otherwise(fixed.DECLINED)
+    return F.when(F.col("aside").isNull(), verdict)

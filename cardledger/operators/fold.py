@@ -36,7 +36,7 @@ from cardledger.sources.scratch import saved, scratch_path
 
 _PIECE = "card_id long, chunk long, start long, end long, down long, up long"
 _WALK = "card_id long, chunk long, start long, settled int"
-# Larger than any sum of cents, and small enough to be added to one.
+# Larger than any sum of millionths, and small enough to be added to one.
 _FAR = 1 << 61
 
 
@@ -70,13 +70,13 @@ def fold_rows(
 
 
 # What the fold reads, besides the columns it passes on.
-_FOLDED = ["card_id", "_chunk", "amount_cents", "_room", "_guard", "_open"]
+_FOLDED = ["card_id", "_chunk", "amount_micros", "_room", "_guard", "_open"]
 
 
 def fold_by_card(df: DataFrame, keep: list[str], order: list[str]) -> DataFrame:
-    """The columns `keep` of `df` with `pending_cents` (after the row) and `total_fails`.
+    """The columns `keep` of `df` with `pending_micros` (after the row) and `total_fails`.
 
-    `df` is partitioned by card_id, as `running_by_key` leaves it, and has amount_cents, `_room`
+    `df` is partitioned by card_id, as `running_by_key` leaves it, and has amount_micros, `_room`
     (limit less balance), `_guard` and `_open` (see `fold_rows`).
     """
     no_chunk = F.when(F.col("card_id").isNull(), -1).otherwise(0).cast("long")
@@ -124,7 +124,7 @@ def _fold(rows: DataFrame, keep: list[str]) -> DataFrame:
     rows = rows.select(*dict.fromkeys([*_FOLDED, "_start", *keep]))
     schema = StructType(
         [rows.schema[c] for c in keep]
-        + [StructField("pending_cents", LongType()), StructField("total_fails", BooleanType())]
+        + [StructField("pending_micros", LongType()), StructField("total_fails", BooleanType())]
     )
     return rows.mapInArrow(lambda batches: _fold_batches(batches, keep), schema)
 
@@ -142,7 +142,7 @@ def _runs(batch: pa.RecordBatch) -> Iterator[tuple[tuple[int, int], int, int]]:
 
 
 def _lists(batch: pa.RecordBatch) -> list[list]:
-    return [batch.column(c).to_pylist() for c in ("amount_cents", "_room", "_guard", "_open")]
+    return [batch.column(c).to_pylist() for c in ("amount_micros", "_room", "_guard", "_open")]
 
 
 def _fold_batches(batches: Iterable[pa.RecordBatch], keep: list[str]) -> Iterator[pa.RecordBatch]:
@@ -161,7 +161,7 @@ def _fold_batches(batches: Iterable[pa.RecordBatch], keep: list[str]) -> Iterato
         yield pa.RecordBatch.from_arrays(
             [batch.column(c) for c in keep]
             + [pa.array(after, pa.int64()), pa.array(failed, pa.bool_())],
-            names=[*keep, "pending_cents", "total_fails"],
+            names=[*keep, "pending_micros", "total_fails"],
         )
 
 

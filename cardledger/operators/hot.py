@@ -2,7 +2,7 @@
 
 Rows of ordinary keys are joined and put in order with one shuffle by key. Rows of hot keys would
 all go to one task in that shuffle, so they are split off: what they are joined with is small (one
-row per hot key) and is broadcast, and `running` cuts them into pieces.
+row per hot key) and is broadcast, and `running` deals them by ranges.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ def find_hot(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame | N
         df.groupBy(F.col(key).alias("_hot_key"))
         .agg(F.count(F.lit(1)).alias("_n"))
         .filter(F.col("_n") > hot_rows)
-        .select("_hot_key")
+        .select("_hot_key", "_n", F.lit(hot_rows).cast("long").alias("_over"))
     )
     return None if hot.isEmpty() else saved(hot, "hot")
 

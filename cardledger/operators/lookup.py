@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from cardledger.functions.money import to_cents
+from cardledger.functions.money import to_micros
 from cardledger.functions.text import zip_code
-from cardledger.operators.hot import HOT_ROWS, find_hot, lookup
 
 
-def card_profiles(cards: DataFrame, customers: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """One row per card: limit and balance in cents, and the zip code of its customer.
+def card_profiles(cards: DataFrame, customers: DataFrame) -> DataFrame:
+    """One row per card: limit and balance in millionths, and the zip code of its customer.
 
     `home_zip` is null when there is no customer or no address. Cards are joined to customers here,
     once per card and not once per transaction.
@@ -22,15 +21,15 @@ def card_profiles(cards: DataFrame, customers: DataFrame, hot_rows: int = HOT_RO
     narrow = cards.select(
         "card_id",
         "customer_id",
-        to_cents("credit_limit").alias("limit_cents"),
-        to_cents("current_balance").alias("balance_cents"),
+        to_micros("credit_limit").alias("limit_micros"),
+        to_micros("current_balance").alias("balance_micros"),
     )
-    hot = find_hot(narrow, "customer_id", hot_rows)
-    return lookup(narrow, homes, "customer_id", hot).select(
+    # One row per customer on the right: a customer with very many cards is a skew that the join splits.
+    return narrow.join(homes, "customer_id", "left").select(
         "card_id",
         "customer_id",
-        "limit_cents",
-        "balance_cents",
+        "limit_micros",
+        "balance_micros",
         "home_zip",
         F.lit(True).alias("card_known"),
     )

@@ -1,10 +1,9 @@
 """Running aggregates per key that split a hot key over many tasks.
 
-A plain window puts all rows of a key into one task. The rows of a hot key are cut into pieces that
-follow each other in order: first by day, within a day by blocks of ids. Each piece is a window of
-its own; what came before it is known from the totals of the pieces, which are combined before they
-are shuffled. No window sees more than the days of a key, the blocks of a day, or the rows of a
-block.
+A plain window puts all rows of a key into one task. The rows of hot keys are dealt by ranges of
+(key, order), with bounds that Spark samples, and written once with the number of their range. Each
+range of a key is a window of its own; what came before it is the sum of the totals of the key's
+earlier ranges, of which there are few whatever the ids look like.
 """
 
 from __future__ import annotations
@@ -12,12 +11,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql.types import NumericType
 
 from cardledger.operators.hot import split
+from cardledger.sources.scratch import saved
 
-# A block is a span of 2^BLOCK_BITS ids. Ids are unique, so that is also the most rows it can have.
-BLOCK_BITS = 20
 
 
 @dataclass(frozen=True)
@@ -43,28 +40,19 @@ class Measure:
 Measures = dict[str, Measure]
 
 
-def id_block(transaction_id: Column, bits: int = BLOCK_BITS) -> Column:
-    return F.shiftright(transaction_id, bits)
-
-
 def running(
-    df: DataFrame,
-    key: str,
-    levels: list[Column],
-    order: list[str],
-    measures: Measures,
-    hot: DataFrame | None,
+    df: DataFrame, key: str, order: list[str], measures: Measures, hot: DataFrame | None
 ) -> DataFrame:
     """Add one running column per measure, in the given order within each key.
 
-    `levels` cut the rows of a hot key into pieces, coarse to fine. They must follow the order and
-    not be null. `hot` comes from `find_hot`.
+    Nulls come first, in `order` as in the key, which has a group for null. `hot` comes from
+    `find_hot`.
     """
     if hot is None:
         return running_by_key(df, key, order, measures)
     ordinary, busy = split(df, key, hot)
     return running_by_key(ordinary, key, order, measures).unionByName(
-        running_by_piece(busy, key, levels, order, measures)
+        running_by_range(busy, key, order, measures, n_ranges(hot))
     )
 
 
@@ -73,30 +61,28 @@ def running_by_key(df: DataFrame, key: str, order: list[str], measures: Measures
     return df.repartition(key).select("*", *_local(measures, [key], order))
 
 
-def running_by_piece(
-    df: DataFrame, key: str, levels: list[Column], order: list[str], measures: Measures
+def n_ranges(hot: DataFrame) -> int:
+    """As many ranges as the rows of all hot keys fill twice: a range has about half of `hot_rows`."""
+    n_rows, smallest = hot.agg(F.sum("_n"), F.min("_over")).first()
+    return max(2, 2 * -(-n_rows // max(1, smallest)))
+
+
+def running_by_range(
+    df: DataFrame, key: str, order: list[str], measures: Measures, ranges: int
 ) -> DataFrame:
-    """One window per piece, and the totals of the pieces before it."""
-    # A null key is a key of its own here, kept apart by `_null`, so that plain equality, on the
-    # columns that rows are shuffled and sorted by, serves for the join as well.
-    kind = df.schema[key].dataType
-    stand_in = "0" if isinstance(kind, NumericType) else "1970-01-01"
-    marks = [f"_level{i}" for i in range(len(levels))]
-    piece = ["_key", "_null", *marks]
-    rows = df.select(
-        "*",
-        F.coalesce(F.col(key), F.lit(stand_in).cast(kind)).alias("_key"),
-        F.col(key).isNull().alias("_null"),
-        *[level.alias(m) for level, m in zip(levels, marks)],
-    )
-    totals = rows.groupBy(*piece).agg(
+    """One window per key and range, and the totals of the key's ranges before it."""
+    dealt = df.repartitionByRange(ranges, key, *order).withColumn("_range", F.spark_partition_id())
+    rows = saved(dealt, "ranges")
+    totals = rows.groupBy(F.col(key).alias("_key"), F.col("_range").alias("_of")).agg(
         *[m.total(m.value).alias(name) for name, m in measures.items()]
     )
-    before = _before(totals, piece, 2, measures).select(
-        *piece, *[F.col(name).alias(f"_before_{name}") for name in measures]
+    frame = Window.partitionBy("_key").orderBy("_of").rowsBetween(Window.unboundedPreceding, -1)
+    before = totals.select(
+        "_key", "_of", *[m.total(F.col(name)).over(frame).alias(f"_before_{name}") for name, m in measures.items()]
     )
-    local = rows.repartition(*piece).select("*", *_local(measures, piece, order))
-    return local.join(before, piece, "left").select(
+    local = rows.repartition(key, "_range").select("*", *_local(measures, [key, "_range"], order))
+    same = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_range") == F.col("_of"))
+    return local.join(before, same, "left").select(
         *df.columns,
         *[m.merge(F.col(name), F.col(f"_before_{name}")).alias(name) for name, m in measures.items()],
     )
@@ -110,26 +96,3 @@ def _local(measures: Measures, keys: list[str], order: list[str]) -> list[Column
         frame = w.rowsBetween(Window.unboundedPreceding, last)
         out.append(m.alone(m.total(m.value).over(frame)).alias(name))
     return out
-
-
-def _before(totals: DataFrame, piece: list[str], n_key: int, measures: Measures) -> DataFrame:
-    """For each piece, the totals of all earlier pieces of its key (the first `n_key` columns)."""
-    parent, mark = piece[:-1], piece[-1]
-    frame = (
-        Window.partitionBy(*parent).orderBy(mark).rowsBetween(Window.unboundedPreceding, -1)
-    )
-    siblings = totals.select(
-        *piece, *[m.total(F.col(name)).over(frame).alias(name) for name, m in measures.items()]
-    )
-    if len(parent) == n_key:
-        return siblings
-    upper = totals.groupBy(*parent).agg(
-        *[m.total(F.col(name)).alias(name) for name, m in measures.items()]
-    )
-    upper = _before(upper, parent, n_key, measures).select(
-        *parent, *[F.col(name).alias(f"_up_{name}") for name in measures]
-    )
-    return siblings.join(upper, parent, "left").select(
-        *piece,
-        *[m.merge(F.col(name), F.col(f"_up_{name}")).alias(name) for name, m in measures.items()],
-    )

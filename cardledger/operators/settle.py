@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from cardledger.functions.credit import adjusted_limit, score_adjustment, utilisation
-from cardledger.functions.money import from_cents, to_cents
-from cardledger.operators.hot import HOT_ROWS, find_hot, lookup
+from cardledger.functions.money import from_micros, to_micros
 from cardledger.operators.ledger import latest_by_key, overlay
 
 
@@ -23,8 +22,10 @@ def roll_forward_balances(
         pending = F.coalesce("pending_balance", F.lit(0.0))
         balance = F.col("current_balance").cast("float").cast("double") + pending
     else:
-        pending = F.coalesce(to_cents("pending_balance"), F.lit(0))
-        balance = from_cents(to_cents("current_balance") + pending)
+        # A card without pending amounts keeps its balance as it is.
+        pending = to_micros("pending_balance")
+        balance = F.when(pending != 0, from_micros(to_micros("current_balance") + pending))
+        balance = F.coalesce(balance, F.col("current_balance"))
     return joined.withColumn("current_balance", balance).select(*cards.columns)
 
 
@@ -32,7 +33,7 @@ def credit_usage(cards: DataFrame) -> DataFrame:
     """Percent of all limits in use per customer; null where the limits sum to zero."""
     return cards.groupBy("customer_id").agg(
         utilisation(
-            F.sum(to_cents("current_balance")), F.sum(to_cents("credit_limit"))
+            F.sum(to_micros("current_balance")), F.sum(to_micros("credit_limit"))
         ).alias("usage_percent")
     )
 
@@ -59,15 +60,12 @@ def rescore_customers(cards: DataFrame, customers: DataFrame) -> DataFrame:
     return overlay(base, changes, "customer_id", ["credit_score", "credit_score_change"])
 
 
-def adjust_limits(
-    cards: DataFrame, customers: DataFrame, hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def adjust_limits(cards: DataFrame, customers: DataFrame) -> DataFrame:
     """Cards with the limit cut where the score of the customer fell."""
     changes = customers.select("customer_id", "credit_score_change")
-    hot = find_hot(cards, "customer_id", hot_rows)
     change = F.coalesce("credit_score_change", F.lit(0))
     return (
-        lookup(cards, changes, "customer_id", hot)
+        cards.join(changes, "customer_id", "left")
         .withColumn("credit_limit", adjusted_limit(F.col("credit_limit"), change))
         .select(*cards.columns)
     )

@@ -9,7 +9,7 @@ cards as (
   select o_orderkey as card_id, o_custkey as customer_id,
          cast(floor(o_totalprice / 100) * 100 as double) as credit_limit,
          cast(floor(o_totalprice * 0.05 * (o_custkey % 20)) as double) as current_balance
-  from orders where o_orderkey % 50 <> 0)"""
+  from orders)"""
 
 CUSTOMERS = """
 customers as (
@@ -25,12 +25,13 @@ tx as (
            partition by l_orderkey
            order by l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate, l_quantity,
                     l_discount, l_tax, l_returnflag, l_linestatus) as transaction_id,
-         l_orderkey as card_id, s_name as merchant_name, l_shipdate as ts,
+         case when l_orderkey % 50 = 0 then -l_orderkey else l_orderkey end as card_id,
+         s_name as merchant_name, l_shipdate as ts,
          case when l_returnflag = 'R' then -l_extendedprice else l_extendedprice end as amount,
          s_name || ' ' || lpad(cast(s_nationkey % 3 * 10000 + s_suppkey % 10000 as varchar), 5, '0')
            as location,
          case when l_returnflag = 'R' then 'refund' else 'purchase' end as transaction_type
-  from lineitem join supplier on l_suppkey = s_suppkey)"""
+  from lineitem left join supplier on l_suppkey = s_suppkey)"""
 
 # One card holds a third of the transactions.
 CORPORATE_TX = """
@@ -44,11 +45,13 @@ corporate_cards as (
   from cards)"""
 
 
-def joined(tx: str = "tx", cards: str = "cards", where: str = "true") -> str:
+def joined(
+    tx: str = "tx", cards: str = "cards", where: str = "true", arrival: str = "cast(t.ts as date)"
+) -> str:
     """Each transaction with its card's data in cents and both zip codes."""
     return f"""
 j as (
-  select t.transaction_id, t.card_id, cast(t.ts as date) as arrival_day,
+  select t.transaction_id, t.card_id, {arrival} as arrival_day,
          cast(round(t.amount * 100) as bigint) as amount_cents,
          c.card_id is not null as card_known, c.customer_id,
          cast(round(c.credit_limit * 100) as bigint) as limit_cents,
@@ -152,6 +155,14 @@ rolled as (
   from cards c left join latest l on c.card_id = l.card_id)"""
 
 
+# The old balance goes through a 32-bit float.
+ROLLED_FLOAT = """
+rolled as (
+  select c.card_id, c.customer_id, c.credit_limit,
+         cast(cast(c.current_balance as float) as double) + coalesce(l.pending_balance, 0.0) as current_balance
+  from cards c left join latest l on c.card_id = l.card_id)"""
+
+
 def usage(cards: str) -> str:
     return f"""
 usage as (
@@ -347,6 +358,42 @@ ORACLE: dict[str, str] = {
     ),
     "stream_authorize": _with(*_UPDATES, _UPDATES_OUT),
     "stream_authorize_running": _RUNNING,
+    "stream_out_of_order": _with(
+        *_BASE, joined(arrival="t.transaction_id % 7"), RULES, RUNNING, RUNNING_OUT, recursive=True
+    ),
+    "stream_merged": _with(*_UPDATES, STREAM, "select * from stream"),
+    "stream_quarantine": _with(
+        TX,
+        """select case when transaction_id % 5 <> 0 then transaction_id end as transaction_id, card_id,
+           case transaction_id % 5 when 1 then null when 2 then cast('infinity' as double)
+             else amount end as amount,
+           case transaction_id % 5 when 0 then 'no transaction id' when 1 then 'no amount'
+             else 'amount is not a number that fits' end as cause
+           from tx where transaction_id % 5 < 3""",
+    ),
+    "quarantine": _with(
+        CARDS,
+        TX,
+        """select * from (
+             select t.card_id, t.merchant_name,
+               case when t.transaction_id % 13 = 1 then 'no transaction id'
+                    when t.transaction_id % 13 = 2 then 'no time'
+                    when t.transaction_id % 13 = 3 then 'no amount'
+                    when t.transaction_id % 13 between 4 and 6 then 'amount is not a number that fits'
+                    when c.card_id % 7 = 0 then 'card without limit or balance' end as cause
+             from tx t left join cards c on t.card_id = c.card_id) where cause is not null""",
+    ),
+    "whole_run_cards": _with(*_BATCH, limited("rolled")),
+    "whole_run_customers": _with(
+        *_UPDATES, LATEST, ROLLED_FLOAT, usage("rolled"), CHANGES,
+        "select customer_id, name, address, credit_score from rescored",
+    ),
+    "load_and_publish": _with(
+        CUSTOMERS,
+        """select customer_id, address, credit_score,
+           name || case when customer_id % 3 = 0 then chr(10) || '"second", line' else '' end as name
+           from customers""",
+    ),
     "csv_roundtrip": _with(CUSTOMERS, "select *, cast(null as double) as annual_income from customers"),
     "csv_skip_bad_rows": _with(
         TX,

@@ -2,60 +2,70 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
-from cardledger.operators.lookup import card_profiles
-from cardledger.plans.authorize import authorize, stream_transactions
+from cardledger.operators.ledger import dedupe_first
+from cardledger.plans.authorize import set_aside, stream_table, stream_transactions
 from cardledger.plans.batch import BatchResult, run_batch, sorted_for_output
-from cardledger.schemas import STREAM_TRANSACTIONS
-from cardledger.sources.messages import publish_files, read_files
-from cardledger.sources.scratch import saved, scratch_path
-from cardledger.sources.tables import (
-    Store,
-    load_all,
-    publish_serving,
-    read_typed_csv,
-    save_csv,
-)
-from cardledger.streaming.speed import authorize_stream, run_available
-
-
-def speed_layer(
-    spark: SparkSession, tables: dict[str, DataFrame], running_limit: bool, streaming: bool
-) -> DataFrame:
-    """Updates for all transactions: from a table, or by replaying it as a stream of messages."""
-    cards, customers = tables["cards"], tables["customers"]
-    if not streaming:
-        return authorize(tables["transactions"], cards, customers, running_limit)
-    work = scratch_path(spark, "stream")
-    publish_files(tables["transactions"], f"{work}/messages")
-    profiles = saved(card_profiles(cards, customers), "profiles")
-    stream = read_files(spark, f"{work}/messages", per_trigger=8)
-    updates = authorize_stream(stream, profiles, running_limit)
-    return run_available(updates, f"{work}/updates", f"{work}/checkpoint")
+from cardledger.sources.messages import replay_order
+from cardledger.sources.scratch import saved
+from cardledger.sources.tables import Store, load_all, publish_serving, save_csv
+
+
+@dataclass(frozen=True)
+class WholeRun:
+    """`aside`: transactions not checked, with the cause; `n_aside`: how many."""
+
+    stream: DataFrame
+    batch: BatchResult
+    aside: DataFrame
+    n_aside: int
+
+
+def run_tables(
+    tables: dict[str, DataFrame],
+    running_limit: bool = False,
+    compat_float: bool = False,
+    dedupe: bool = False,
+    updates: DataFrame | None = None,
+) -> WholeRun:
+    """From the loaded tables to the results. Each step goes on from a parquet table.
+
+    `updates` are results that a stream has given; without them the transactions are checked here.
+    `dedupe` keeps the first copy of each transaction.
+    """
+    transactions, cards, customers = (tables[n] for n in ("transactions", "cards", "customers"))
+    if dedupe:
+        transactions = saved(dedupe_first(transactions, "transaction_id", replay_order()), "transactions")
+    if updates is None:
+        stream = stream_table(transactions, cards, customers, running_limit)
+    else:
+        stream = stream_transactions(transactions, updates)
+    stream = saved(stream, "stream")
+    aside = saved(set_aside(transactions, cards, customers), "aside")
+    batch = run_batch(stream, cards, customers, compat_float, save_balances=True)
+    return WholeRun(stream, batch, aside, aside.count())
 
 
 def run_all(
     store: Store,
     results: str,
     running_limit: bool = False,
-    streaming: bool = False,
+    compat_float: bool = False,
+    dedupe: bool = False,
+    updates: DataFrame | None = None,
     single_file: bool = False,
-) -> BatchResult:
-    """Read the tables, write the result files, put the new tables in place."""
-    spark, tables = store.spark, load_all(store)
-    updates = speed_layer(spark, tables, running_limit, streaming)
-    stream = stream_transactions(tables["transactions"], updates).orderBy("transaction_id")
-    save_csv(stream, f"{results}/stream_transactions", single_file)
-
-    # From the file on, so that the checks are not run again for each result.
-    stream = read_typed_csv(spark, f"{results}/stream_transactions", STREAM_TRANSACTIONS)
-    batch = run_batch(stream, tables["cards"], tables["customers"], save_balances=True)
-    batch = replace(sorted_for_output(batch), transactions=batch.transactions)
+) -> WholeRun:
+    """Read the tables, check their keys, write the result files, put the new tables in place."""
+    tables = load_all(store, unchecked=("transactions",) if dedupe else ())
+    run = run_tables(tables, running_limit, compat_float, dedupe, updates)
+    batch = sorted_for_output(run.batch)
+    save_csv(run.stream.orderBy("transaction_id"), f"{results}/stream_transactions", single_file)
     save_csv(batch.transactions, f"{results}/batch_transactions", single_file)
     save_csv(batch.cards, f"{results}/cards_updated", single_file)
     save_csv(batch.customers, f"{results}/customers_updated", single_file)
-    publish_serving(store, results)
-    return batch
+    save_csv(run.aside, f"{results}/transactions_aside", single_file)
+    publish_serving(store, run.batch.cards, run.batch.customers)
+    return run

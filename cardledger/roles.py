@@ -13,11 +13,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def cards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A card per order; every 50th order has none. Balances depend on the customer."""
+    """A card per order. Balances depend on the customer."""
     price, share = F.col("o_totalprice"), F.col("o_custkey") % 20
     return (
         table(spark, sf_dir, "orders")
-        .filter(F.col("o_orderkey") % 50 != 0)
         .select(
             F.col("o_orderkey").alias("card_id"),
             F.col("o_custkey").alias("customer_id"),
@@ -45,7 +44,10 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A transaction per line item. Ids number the lines of an order; returns are refunds."""
+    """A transaction per line item. Ids number the lines of an order; returns are refunds.
+
+    The transactions of every 50th order are made with a card that nobody has.
+    """
     order = [
         "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate", "l_quantity",
         "l_discount", "l_tax", "l_returnflag", "l_linestatus",
@@ -54,7 +56,6 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     numbered = running(
         items,
         "l_orderkey",
-        [F.col("l_linenumber"), F.col("l_partkey")],
         order,
         {"line": Measure(F.lit(1))},
         find_hot(items, "l_orderkey"),
@@ -63,13 +64,14 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("s_suppkey").alias("l_suppkey"), "s_name", _zip("s_nationkey", "s_suppkey").alias("zip")
     )
     price = F.col("l_extendedprice")
-    return numbered.join(merchants, "l_suppkey").select(
+    order_key = F.col("l_orderkey")
+    return numbered.join(merchants, "l_suppkey", "left").select(
         (F.col("l_orderkey") * 1000000 + F.col("line")).alias("transaction_id"),
-        F.col("l_orderkey").alias("card_id"),
+        F.when(order_key % 50 == 0, -order_key).otherwise(order_key).alias("card_id"),
         F.col("s_name").alias("merchant_name"),
         F.col("l_shipdate").cast("timestamp").alias("timestamp"),
         F.when(F.col("l_returnflag") == "R", -price).otherwise(price).alias("amount"),
-        F.concat_ws(" ", "s_name", "zip").alias("location"),
+        F.concat("s_name", F.lit(" "), "zip").alias("location"),
         F.when(F.col("l_returnflag") == "R", "refund").otherwise("purchase").alias("transaction_type"),
     )
 

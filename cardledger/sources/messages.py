@@ -1,27 +1,49 @@
-"""Transactions as JSON messages, one object per message, in Kafka or in text files."""
+"""Transactions as JSON messages, one object per message, in Kafka or in files."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
 from cardledger.functions import fixed
+from cardledger.functions.text import numeric_id, strip_white_space
+from cardledger.operators.hot import find_hot
+from cardledger.operators.running import Measure, running
 from cardledger.schemas import TRANSACTIONS
 
+# The order in which a card's messages came: the offset in Kafka, a number in files.
+ARRIVAL = "arrival"
+
 _JSON = {"timestampFormat": fixed.MESSAGE_TIME, "ignoreNullFields": "false"}
 
 
-def to_messages(transactions: DataFrame) -> DataFrame:
+def to_messages(transactions: DataFrame, *more: str) -> DataFrame:
     """Key and value per transaction. Keyed by card, as order matters within a card only."""
-    value = F.to_json(F.struct(*transactions.columns), _JSON)
-    return transactions.select(F.col("card_id").cast("string").alias("key"), value.alias("value"))
+    fields = [c for c in transactions.columns if c not in more]
+    value = F.to_json(F.struct(*fields), _JSON)
+    return transactions.select(F.col("card_id").cast("string").alias("key"), value.alias("value"), *more)
 
 
-def from_messages(messages: DataFrame) -> DataFrame:
-    """Decode the column `value`; fields that a message lacks are null."""
-    decoded = F.from_json(
-        F.col("value").cast("string"), TRANSACTIONS, {"timestampFormat": fixed.MESSAGE_TIME}
-    )
-    return messages.select(decoded.alias("t")).select("t.*")
+def from_messages(messages: DataFrame, *more: str) -> DataFrame:
+    """Decode the column `value`; fields that a message lacks, or that make no sense, are null.
+
+    Fields are read as text first, so that ids and amounts may come as numbers, in quotes, or (ids)
+    with a prefix, as in "batch:17".
+    """
+    text = StructType([StructField(f.name, StringType()) for f in TRANSACTIONS.fields])
+    decoded = messages.select(F.from_json(F.col("value").cast("string"), text).alias("t"), *more)
+    return decoded.select(*[_decoded(f).alias(f.name) for f in TRANSACTIONS.fields], *more)
+
+
+def _decoded(f: StructField) -> Column:
+    raw = F.col(f"t.{f.name}")
+    if isinstance(f.dataType, LongType):
+        return numeric_id(raw)
+    if isinstance(f.dataType, TimestampType):
+        return F.try_to_timestamp(raw, F.lit(fixed.MESSAGE_TIME))
+    return raw if isinstance(f.dataType, StringType) else strip_white_space(raw).try_cast(f.dataType)
 
 
 def transaction_info(transactions: DataFrame) -> DataFrame:
@@ -54,9 +76,12 @@ def kafka_options(servers: str, topic: str = fixed.TOPIC, per_trigger: int | Non
 def read_kafka(
     spark: SparkSession, servers: str, topic: str = fixed.TOPIC, per_trigger: int | None = 10_000_000
 ) -> DataFrame:
-    """A stream of transactions. Needs the Kafka connector on the class path."""
+    """A stream of transactions with their `arrival`. Needs the Kafka connector on the class path.
+
+    All messages of a card are in one partition, whose offsets are their order of arrival.
+    """
     stream = spark.readStream.format("kafka").options(**kafka_options(servers, topic, per_trigger))
-    return from_messages(stream.load())
+    return from_messages(stream.load().select("value", F.col("offset").alias(ARRIVAL)), ARRIVAL)
 
 
 def publish_kafka(transactions: DataFrame, servers: str, topic: str = fixed.TOPIC) -> None:
@@ -68,39 +93,27 @@ def publish_kafka(transactions: DataFrame, servers: str, topic: str = fixed.TOPI
 
 
 def read_files(spark: SparkSession, path: str, per_trigger: int | None = None) -> DataFrame:
-    """A stream of transactions from text files of messages, oldest file first."""
-    stream = spark.readStream.format("text")
+    """A stream of transactions with their `arrival`, from files of messages, oldest file first."""
+    stream = spark.readStream.schema(f"key string, value string, {ARRIVAL} long")
     if per_trigger:
         stream = stream.option("maxFilesPerTrigger", per_trigger)
-    return from_messages(stream.load(path))
+    return from_messages(stream.parquet(path), ARRIVAL)
 
 
-def publish_files(
-    transactions: DataFrame, path: str, slice_rows: int = 5_000_000, files: int = 8
+def save_messages(
+    transactions: DataFrame, path: str, wave: int = 0, order: Sequence[Column] | None = None
 ) -> None:
-    """Replay a table into text files: slices of about `slice_rows` rows, written one by one.
+    """Append all transactions as messages, in one pass, numbered per card in replay order (or `order`).
 
-    Later slices have later files, and within a slice all messages of a card are in one file. So a
-    stream that takes `files` files at a time sees each card in replay order, and never more than
-    about a slice. Each slice reads the table: for tables of many slices, use Kafka.
+    A later call has a higher `wave`, so its messages arrive after the earlier ones of the card.
     """
-    day = F.unix_date(F.to_date("timestamp"))
-    first, last, n = transactions.agg(
-        F.min("transaction_id"), F.max("transaction_id"), F.count(F.lit(1))
-    ).first()
-    # Day and, as its fraction, the place of the id: one number in replay order.
-    place = day + (F.col("transaction_id") - F.lit(first)) / F.lit((last or 0) - (first or 0) + 1)
-    slices = -(-n // slice_rows)
-    cuts = [i / slices for i in range(1, slices)]
-    bounds = transactions.agg(F.percentile_approx(place, cuts)).first()[0] if cuts else []
-    edges = [None, *sorted(set(bounds)), None]
-    for low, high in zip(edges, edges[1:]):
-        part = transactions
-        if low is not None:
-            part = part.filter(place > low)
-        elif high is not None:
-            part = part.filter((place <= high) | place.isNull())
-        if low is not None and high is not None:
-            part = part.filter(place <= high)
-        placed = part.repartition(files, "card_id").sortWithinPartitions(*replay_order())
-        to_messages(placed).select("value").write.mode("append").text(path)
+    by = {f"_by{i}": c for i, c in enumerate(order or replay_order())}
+    numbered = running(
+        transactions.withColumns(by),
+        "card_id",
+        list(by),
+        {"_number": Measure(F.lit(1))},
+        find_hot(transactions, "card_id"),
+    )
+    sent = numbered.withColumn(ARRIVAL, F.lit(wave << 40) + F.col("_number")).drop("_number", *by)
+    to_messages(sent, ARRIVAL).write.mode("append").parquet(path)

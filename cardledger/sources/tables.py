@@ -9,6 +9,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from cardledger.functions.text import blank_to_null
 from cardledger.schemas import TABLES, require_primary_key
+from cardledger.sources.scratch import saved
 
 _MALFORMED = "_malformed"
 
@@ -42,7 +43,11 @@ def _typed(fields: DataFrame, schema: StructType) -> DataFrame:
     def column(f: StructField):
         if f.name not in fields.columns:
             return F.lit(None)
-        return blank_to_null(F.col(f.name)) if f.name == "related_transaction_id" else F.col(f.name)
+        if f.name == "related_transaction_id":
+            return blank_to_null(F.col(f.name))
+        # An empty field of a text column is empty text.
+        c = F.col(f.name)
+        return F.when(c.isNull(), F.lit("")).otherwise(c) if isinstance(f.dataType, StringType) else c
 
     return fields.filter(~_is_malformed(fields)).select(
         *[column(f).cast(f.dataType).alias(f.name) for f in schema.fields]
@@ -54,7 +59,7 @@ def read_csv(
 ) -> DataFrame:
     """Read CSV with a header into `schema`, without the lines `skipped_lines` gives.
 
-    Columns are matched by name; those the file lacks are null. `multi_line` allows line breaks in
+    Columns are matched by name; those the file lacks are null. Empty text is empty, not null. `multi_line` allows line breaks in
     quotes, at the price of one task per file.
     """
     return _typed(_read_text_fields(spark, path, schema, multi_line), schema)
@@ -69,8 +74,14 @@ def skipped_lines(
 
 
 def read_typed_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Read result files back with their types. An empty status comes back as null: put it right."""
-    df = spark.read.options(header=True, quote='"', escape='"').schema(schema).csv(path)
+    """Read result files back with their types; a value of another type is an error.
+
+    Line breaks in quotes are kept, so a file is read by one task. CSV has one sign for empty text and
+    for null: it comes back as null, but as empty text in a status. Jobs go on from parquet, not from
+    these files.
+    """
+    options = {"header": True, "quote": '"', "escape": '"', "multiLine": True, "mode": "FAILFAST"}
+    df = spark.read.options(**options).schema(schema).csv(path)
     return df.fillna("", ["status"]) if "status" in df.columns else df
 
 
@@ -137,30 +148,39 @@ class JdbcStore:
 Store = ParquetStore | JdbcStore
 
 
-def load_table(store: Store, csv_path: str, name: str) -> tuple[DataFrame, int]:
+def load_table(store: Store, csv_path: str, name: str, multi_line: bool = True) -> tuple[DataFrame, int]:
     """Load a CSV file over the table `name`: (the table, lines skipped).
 
-    The skipped lines are counted in the pass that writes the table.
+    The new rows are written aside and their key is checked before the old table is replaced. The
+    skipped lines are counted in the same pass. Quoted text may hold line breaks, at the price of
+    one task per file; without `multi_line` files are split, and a line break ends a row.
     """
     schema, key = TABLES[name]
     seen = Observation()
-    fields = _read_text_fields(store.spark, csv_path, schema, multi_line=False).observe(
+    fields = _read_text_fields(store.spark, csv_path, schema, multi_line).observe(
         seen, F.count(_MALFORMED).alias("skipped")
     )
-    store.write(_typed(fields, schema), name)
-    return require_primary_key(store.read(name), key), seen.get["skipped"]
+    store.write(require_primary_key(saved(_typed(fields, schema), name), key), name)
+    return store.read(name), seen.get["skipped"]
 
 
-def load_all(store: Store) -> dict[str, DataFrame]:
-    """The four tables."""
-    return {name: store.read(name) for name in TABLES}
+def load_all(store: Store, unchecked: tuple[str, ...] = ()) -> dict[str, DataFrame]:
+    """The four tables, with unique keys: a key listed twice would multiply rows in joins."""
+    tables = {name: store.read(name) for name in TABLES}
+    for name, (_, key) in TABLES.items():
+        if name not in unchecked:
+            require_primary_key(tables[name], key)
+    return tables
 
 
-def publish_serving(store: Store, results: str) -> None:
+def publish_serving(store: Store, cards: DataFrame, customers: DataFrame) -> None:
     """Put the batch results in place of the cards and customers tables.
 
-    The results are read back from their files, so no plan reads a table while it is overwritten.
+    Both are saved first, so no plan reads a table while it is overwritten.
     """
-    for name in ("cards", "customers"):
-        schema, _ = TABLES[name]
-        store.write(read_typed_csv(store.spark, f"{results}/{name}_updated", schema), name)
+    new = {
+        name: saved(df.select(*TABLES[name][0].names), name)
+        for name, df in (("cards", cards), ("customers", customers))
+    }
+    for name, df in new.items():
+        store.write(require_primary_key(df, TABLES[name][1]), name)

@@ -6,18 +6,20 @@ from pyspark.sql import functions as F
 
 from cardledger.functions import text, times
 from cardledger.functions.credit import adjusted_limit, score_adjustment, utilisation
-from cardledger.functions.money import from_cents, to_cents
+from cardledger.functions.money import from_micros, to_micros
 
 
 def values(spark, rows, schema, expression):
     return [r[0] for r in spark.createDataFrame(rows, schema).select(expression).collect()]
 
 
-def test_cents_are_whole_and_exact(spark):
-    amounts = [0.0, 0.1, 19.99, 1e9 + 0.01, -0.29, 1.005e2]
-    got = values(spark, [(a,) for a in amounts], "a double", to_cents("a"))
-    assert got == [0, 10, 1999, 100000000001, -29, 10050]
-    assert values(spark, [(c,) for c in got], "c long", from_cents("c")) == amounts
+def test_micros_are_whole_and_exact(spark):
+    amounts = [0.0, 0.1, 19.99, 1e9, -0.29, 499.999996]
+    got = values(spark, [(a,) for a in amounts], "a double", to_micros("a"))
+    assert got == [0, 100_000, 19_990_000, 10**15, -290_000, 499_999_996]
+    assert values(spark, [(c,) for c in got], "c long", from_micros("c")) == amounts
+    unfit = [None, float("nan"), float("inf"), -float("inf"), 1e18, 1e9 + 0.01]
+    assert values(spark, [(a,) for a in unfit], "a double", to_micros("a")) == [None] * 6
 
 
 @pytest.mark.parametrize("ends", [" ", "\t", "\n", "\r\n", " ", "  \x1f", ""])

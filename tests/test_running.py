@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cardledger.operators.hot import find_hot, lookup
-from cardledger.operators.running import Measure, id_block, running
+from cardledger.operators.running import Measure, n_ranges, running
 
 
 def data(spark, n=600):
@@ -27,18 +27,16 @@ def expected(rows):
 
 
 @pytest.mark.parametrize("hot_rows", [1, 50, 10**6])
-@pytest.mark.parametrize("bits", [0, 5, 30])
-def test_running_values(spark, hot_rows, bits):
+def test_running_values(spark, hot_rows):
     rows, df = data(spark)
     measures = {
         "total": Measure(F.col("v")),
         "before": Measure(F.col("v"), inclusive=False),
         "smallest": Measure(F.col("i"), "min", inclusive=False),
     }
-    levels = [F.col("d"), id_block(F.col("i"), bits)]
     hot = find_hot(df, "k", hot_rows)
     assert (hot is None) == (hot_rows > 10**3)
-    got = running(df, "k", levels, ["d", "i"], measures, hot).collect()
+    got = running(df, "k", ["d", "i"], measures, hot).collect()
     assert {r["i"]: (r["total"], r["before"], r["smallest"]) for r in got} == expected(rows)
 
 
@@ -48,7 +46,7 @@ def test_hot_key_is_spread_over_tasks(spark, conf):
         F.lit(1).cast("long").alias("k"), (F.col("id") % 50).alias("d"), F.col("id").alias("i")
     )
     got = running(
-        df, "k", [F.col("d"), id_block(F.col("i"), 8)], ["d", "i"], {"n": Measure(F.lit(1))},
+        df, "k", ["d", "i"], {"n": Measure(F.lit(1))},
         find_hot(df, "k", 100),
     )
     parts = got.groupBy(F.spark_partition_id().alias("p")).count().collect()
@@ -56,12 +54,24 @@ def test_hot_key_is_spread_over_tasks(spark, conf):
     assert got.agg(F.max("n"), F.countDistinct("n")).first()[:] == (20000, 20000)
 
 
+def test_few_ranges_for_sparse_ids_and_null_levels(spark):
+    """Ids far apart and rows without a day: as many ranges as the rows fill, one result."""
+    df = spark.range(6000).selectExpr(
+        "1L as k", "case when id % 5 > 0 then int(id % 3) end as d", "id * 1000000007 as i"
+    )
+    hot = find_hot(df, "k", 1000)
+    assert n_ranges(hot) == 12
+    split = running(df, "k", ["d", "i"], {"n": Measure(F.lit(1))}, hot)
+    whole = running(df, "k", ["d", "i"], {"n": Measure(F.lit(1))}, None)
+    assert {r["i"]: r["n"] for r in split.collect()} == {r["i"]: r["n"] for r in whole.collect()}
+
+
 def test_key_of_dates_with_nulls(spark):
     df = spark.range(400).selectExpr(
         "case when id % 4 > 0 then date_add(date'2024-01-01', int(id % 2)) end as k", "id as i"
     )
     got = running(
-        df, "k", [id_block(F.col("i"), 4)], ["i"], {"n": Measure(F.lit(1))}, find_hot(df, "k", 90)
+        df, "k", ["i"], {"n": Measure(F.lit(1))}, find_hot(df, "k", 90)
     )
     by_key = {}
     for r in sorted(got.collect(), key=lambda r: r["i"]):
