@@ -30,7 +30,7 @@ from cardledger.llm.texts import Prefix, Words, as_bytes, groups
 
 GRAM = 3
 WINDOW = 2
-BAND = 8  # words that may be put in or left out before the alignment loses the template
+BAND = 8  # words that may be put in or left out at a time; a quarter of a short template's words
 MIN_COVERAGE = 0.8
 MOST_TEMPLATE_BYTES = 32 << 20
 
@@ -171,14 +171,15 @@ def scan_words(index: Index, words: np.ndarray, band: int, least: float) -> list
     found = []
     for template, seen in diagonals.items():
         mine = index.words[template]
+        near = min(band, max(1, len(mine) // 4))  # copies of a short notice stand close to each other
         reports = []
         ordered = sorted(seen)
         group = [ordered[0]]
         for d in [*ordered[1:], None]:
-            if d is not None and d - group[-1] <= band and d - group[0] <= 4 * band:
+            if d is not None and d - group[-1] <= near and d - group[0] <= 4 * near:
                 group.append(d)
                 continue
-            matched, first, last = align(mine, words, group[0] - band, group[-1] + band)
+            matched, first, last = align(mine, words, group[0] - near, group[-1] + near)
             if matched >= least * len(mine):
                 reports.append((matched, first, last))
             group = [d]
