@@ -240,9 +240,9 @@ def train(texts: list[bytes], good: np.ndarray, toxic: np.ndarray) -> tuple[Mode
     parts = [(first, measure(group)) for first, group in groups(texts)]
     out = []
     held = np.arange(len(texts)) % 5 == 4
-    for make, y, most, width, l1, rate in (
-        (quality_features, good, MAX_QUALITY, 2 << BITS, 2e-6, 0.05),
-        (toxic_features, toxic, len(texts), 1 << BITS, 5e-4, 0.05),
+    for make, y, most, width, penalties, rate in (
+        (quality_features, good, MAX_QUALITY, 2 << BITS, (2e-6,), 0.05),
+        (toxic_features, toxic, len(texts), 1 << BITS, (5e-4, 5e-3, 2e-2), 0.05),
     ):
         made = [(first, make(m)) for first, m in parts if first < most]
         row = np.concatenate([f[0] + first for first, f in made]).astype(np.int32) if made else np.zeros(0, int)
@@ -258,9 +258,14 @@ def train(texts: list[bytes], good: np.ndarray, toxic: np.ndarray) -> tuple[Mode
             continue
         place = np.cumsum(fitting) - 1
         mine = fitting[row]
-        model = fit((place[row[mine]], col[mine], value[mine]), y[fitting], width, l1, rate)
-        every = scores(model, (row, col, value), len(y))
-        out.append(calibrate(model, every[checking], y[checking]))
+        tried = []
+        for l1 in penalties:  # the one that says most about the rows held out
+            model = fit((place[row[mine]], col[mine], value[mine]), y[fitting], width, l1, rate)
+            held_scores = scores(model, (row, col, value), len(y))[checking]
+            model = calibrate(model, held_scores, y[checking])
+            p = np.clip(model.probability(held_scores), 1e-6, 1 - 1e-6)
+            tried.append((-np.log(np.where(y[checking] == 1, p, 1 - p)).mean(), model))
+        out.append(min(tried, key=lambda t: t[0])[1])
     return out[0], out[1]
 
 
