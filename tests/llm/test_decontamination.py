@@ -1,0 +1,76 @@
+import hashlib
+import random
+import re
+
+import pytest
+
+from cardledger.llm import decontamination as op
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def words(text):
+    return WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
+def brute(doc, items, width):
+    mine, hit, found = words(doc), set(), set()
+    for item, text in items:
+        w = words(text)
+        for k in range(max(len(w) - width, 0) + 1 if w else 0):
+            window = w[k : k + width]
+            for at in range(len(mine) - len(window) + 1):
+                if mine[at : at + len(window)] == window:
+                    hit.update(range(at, at + len(window)))
+                    found.add(str(item))
+    digest = hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
+    return len(mine), len(hit), len(found), digest, bool(hit)
+
+
+def corpus(seed):
+    rng = random.Random(seed)
+    word = lambda: rng.choice("a b c d é ß Ü x1 yy zz".split())
+    prose = lambda n: [word() for _ in range(n)]
+    items = [(i, " ".join(prose(rng.choice([1, 2, 9, 10, 11, 25])))) for i in range(2, 14)]
+    items += [(100, None), (101, "..."), (None, "a b"), (2, items[0][1])]
+    docs = [None, "", "?!", "a", "A\nb"]
+    for _ in range(40):
+        parts = prose(rng.randint(0, 20))
+        for _ in range(rng.randint(0, 2)):
+            taken = words(rng.choice(items[:12])[1])
+            cut = rng.randrange(len(taken))
+            parts += taken[cut:] if rng.random() < 0.5 else [w.upper() if w.isascii() else w for w in taken]
+        docs.append("".join(w + rng.choice([" ", ", ", "\n", "--"]) for w in parts))
+    return items, docs
+
+
+@pytest.mark.parametrize("seed, limit", [(1, op.AUTOMATON_BYTES), (2, 60)])
+def test_against_all_windows(frame, seed, limit):
+    """The small limit makes several automata, each over all documents."""
+    items, texts = corpus(seed)
+    docs = frame([(i, t, 7, "n") for i, t in enumerate(texts)], "doc_id long, text string, n_words int, items string")
+    listed = frame(items, "item_id long, text string")
+    for width in (3, 10):
+        got = op.digest(op.scan(docs, listed, width=width, limit=limit))
+        rows = {r.doc_id: tuple(r)[1:] for r in got.collect()}
+        assert [rows[i] for i in range(len(texts))] == [brute(t, [x for x in items if x[0]], width) for t in texts]
+
+
+def test_spans_lie_in_the_original(frame):
+    text = "Über — the QUICK, brown fox; jumps!"
+    scanned = op.scan(frame([(1, text)], "doc_id long, text string"), frame([("q", "quick brown fox")], "item_id string, text string"))
+    (start, end), = op.spans(scanned).first().spans
+    assert text.encode()[start:end].decode() == "QUICK, brown fox"
+
+
+def test_clean_keeps_columns(frame):
+    docs = frame([(1, "x quick brown fox", "a"), (1, "other", "b"), (None, None, None)], "doc_id long, text string, items string")
+    kept = op.clean(docs, frame([("q", "quick brown fox")], "item_id string, text string"))
+    assert kept.columns == docs.columns
+    assert sorted(r["items"] or "" for r in kept.collect()) == ["", "b"]
+
+
+def test_empty_tables(frame):
+    docs, items = frame([], "doc_id long, text string"), frame([], "item_id string, text string")
+    assert op.digest(op.scan(docs, items)).count() == 0
+    assert op.digest(op.scan(frame([(1, "a")], "doc_id long, text string"), items)).first().contaminated is False

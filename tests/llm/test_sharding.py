@@ -1,0 +1,66 @@
+import random
+import zlib
+from collections import Counter
+
+import pytest
+
+from cardledger.llm import sharding as op
+
+SCHEMA = "doc_id long, text string, shard string, size string"
+
+
+def rows_of(frame, texts, ids=None, shards=24):
+    ids = range(len(texts)) if ids is None else ids
+    docs = frame([(i, t, "s", "z") for i, t in zip(ids, texts)], SCHEMA)
+    rows = op.shard_documents(docs, shards).collect()
+    assert len(rows) == len(texts)
+    counts = Counter(r.shard for r in rows)
+    full = [counts.get(s, 0) for s in range(shards)]
+    assert max(full) - min(full) <= 1 and set(counts) <= set(range(shards))
+    for s, n in counts.items():
+        assert sorted(r.slot for r in rows if r.shard == s) == list(range(n))
+    return rows
+
+
+def test_law_and_columns(frame):
+    rng = random.Random(1)
+    texts = [None, "", "é"] + ["t%d" % rng.randrange(90) for _ in range(300)]
+    rows = rows_of(frame, texts)
+    for r in rows:
+        body = (texts[r.doc_id] or "").encode()
+        assert (r.size, r.text_crc32) == (len(body) + 8, zlib.crc32(body))
+        assert (r.law, r.grown_shard) == ("rows", None)
+
+
+def test_groups_stay_together(frame):
+    texts = ["single %d" % i for i in range(600)] + ["group %d" % (i % 40) for i in range(120)]
+    spread = {}
+    for r in rows_of(frame, texts):
+        if r.doc_id >= 600:
+            spread.setdefault((r.doc_id - 600) % 40, set()).add(r.shard)
+    assert sum(len(s) == 1 for s in spread.values()) >= 38
+
+
+def test_a_group_larger_than_a_shard(frame):
+    texts = ["same"] * 100 + ["single %d" % i for i in range(200)]
+    shards = {r.shard for r in rows_of(frame, texts, shards=10) if r.doc_id < 100}
+    assert len(shards) == 4  # 30 rows fit into a shard
+
+
+@pytest.mark.parametrize("n", [0, 1, 5])
+def test_few_and_repeated_rows(frame, n):
+    rows_of(frame, ["x"] * n, [None, 1, 1, 2, 2][:n])
+
+
+def test_rounds_reduce_cut_links(frame):
+    texts = ["g%d" % (i % 50) for i in range(400)]
+    spread = [
+        op.cut_links(op.shard_documents(frame([(i, t, "", "") for i, t in enumerate(texts)], SCHEMA), 8, rounds)).first().spread
+        for rounds in (0, 1, 12)
+    ]
+    assert spread[0] > spread[1] >= spread[2]
+
+
+def test_no_python_on_the_way(frame):
+    plan = op.shard_documents(frame([(1, "a", "", "")], SCHEMA))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
