@@ -132,8 +132,13 @@ def patterns(histogram: dict[int, int], size: int) -> list[tuple[tuple[tuple[int
                 put(room, pattern, count - used)
             put(room - length, pattern + ((length, 1),), used)
             left -= used
-        if left:  # no pack has room: open new ones, each with one piece
-            put(size - length, ((length, 1),), left)
+        if left:  # no pack has room: open new ones, each filled before the next is opened
+            most = size // length
+            packs, rest = divmod(left, most)
+            if packs:
+                put(size - most * length, ((length, most),), packs)
+            if rest:
+                put(size - rest * length, ((length, rest),), 1)
     out: dict[tuple, int] = {}
     for packs in by_room:
         for pattern, count in packs.items():
