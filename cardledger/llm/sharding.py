@@ -1,8 +1,8 @@
 """Sharding by balanced label propagation, in DataFrame operations only.
 
 Documents with equal texts are linked. Shards are labels; each round the documents of a group move
-to the shard that holds most of their neighbours, as far as that shard's quota has room, so that
-fewer links are cut while no shard outgrows its quota. Documents of one group in one shard are
+to the shard that holds most of their neighbours, as far as documents of that shard want to go the
+other way or its quota has room, so that fewer links are cut while no shard outgrows its quota. Documents of one group in one shard are
 interchangeable, so a round works on counts per (group, shard), one row each, however many copies
 there are. Documents without links have nothing to gain anywhere; they fill the shards up at the
 end, which makes the law exact: row counts at most one apart.
@@ -34,19 +34,34 @@ def _of_shard(values: list[int], shard: Column) -> Column:
     return F.element_at(F.array(*[F.lit(v).cast("long") for v in values]), shard + 1)
 
 
+def limits(demand: dict[tuple[int, int], int], room: list[int]) -> list[list[int]]:
+    """How many documents may go from shard a to shard b: as many as want to go the other way, which
+    leaves both sizes as they are, and what room b has besides."""
+    shards = len(room)
+    out = [[0] * shards for _ in range(shards)]
+    left = list(room)
+    for (a, b), n in sorted(demand.items(), key=lambda d: (-d[1], d[0])):
+        swapped = min(n, demand.get((b, a), 0))
+        more = min(n - swapped, max(left[b], 0))
+        left[b] -= more
+        out[a][b] = swapped + more
+    return out
+
+
 def propagate(state: DataFrame, quota: list[int], rounds: int = MAX_ROUNDS) -> DataFrame:
     """The counts per group and shard after label propagation under `quota`."""
     shards = len(quota)
     n_rows = state.count()
+    only_open = False  # the shard of most neighbours, or of most among those that have room
     for _ in range(rounds):
         load = {r.shard: r.n for r in state.groupBy("shard").agg(F.sum("n").alias("n")).collect()}
         room = [quota[s] - load.get(s, 0) for s in range(shards)]
-        # The neighbours' shard: where most of the group is, among those with room.
-        open_to = F.when(_of_shard(room, F.col("shard")) > 0, F.struct("n", F.xxhash64(*GROUP, "shard").alias("tie"), "shard"))
-        best = state.groupBy(*GROUP).agg(F.max(open_to).alias("_best"))
-        best = best.select(*[F.col(c).alias(f"_b{c}") for c in GROUP], "_best")
         mine = F.struct("n", F.xxhash64(*GROUP, "shard").alias("tie"), "shard")
-        wish = (
+        best = state.groupBy(*GROUP).agg(
+            F.max(F.when(_of_shard(room, F.col("shard")) > 0, mine) if only_open else mine).alias("_best")
+        )
+        best = best.select(*[F.col(c).alias(f"_b{c}") for c in GROUP], "_best")
+        wish = saved(
             state.join(best, [F.col(c) == F.col(f"_b{c}") for c in GROUP])
             .where(F.col("_best") > mine)
             .select(
@@ -55,15 +70,23 @@ def propagate(state: DataFrame, quota: list[int], rounds: int = MAX_ROUNDS) -> D
                 "n",
                 F.col("_best.shard").alias("target"),
                 (-F.least(F.floor(F.log2(F.col("_best.n")) * 4), F.lit(160))).cast("int").alias("gain"),
-            )
+            ),
+            "wishes",
         )
-        wish = with_running(wish, ["target"], [*GROUP, "shard"], n_rows, F.col("n"), "_before", F.col("gain"))
-        free = _of_shard(room, F.col("target")) - F.col("_before")
+        asked = wish.groupBy("shard", "target").agg(F.sum("n").alias("n")).collect()  # shards squared
+        allowed = limits({(r.shard, r.target): r.n for r in asked}, room)
+        if not any(map(any, allowed)):
+            if only_open:
+                break
+            only_open = True
+            continue
+        only_open = False
+        flat = [n for row in allowed for n in row]
+        wish = with_running(wish, ["shard", "target"], GROUP, n_rows, F.col("n"), "_before", F.col("gain"))
+        free = _of_shard(flat, F.col("shard") * shards + F.col("target")) - F.col("_before")
         moves = saved(
             wish.withColumn("go", F.greatest(F.lit(0), F.least(F.col("n"), free))).where("go > 0"), "moves"
         )
-        if not moves.limit(1).count():
-            break
         changed = moves.select(*GROUP, "shard", (-F.col("go")).alias("n")).union(
             moves.select(*GROUP, F.col("target").alias("shard"), F.col("go").alias("n"))
         )
