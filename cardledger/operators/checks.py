@@ -14,7 +14,10 @@ NARROW = ["transaction_id", "card_id", "arrival_day", "amount_micros"]
 
 
 def prepare(transactions: DataFrame, payload: Sequence[str] = ()) -> DataFrame:
-    """`payload` as it is, why the row cannot be checked (null if it can), and the columns that checking needs: ids, arrival day, amount in millionths and the merchant's zip code."""
+    """`payload` as it is, why the row cannot be checked (null if it can), and what checking needs.
+
+    That is ids, the arrival day, the amount in millionths and the merchant's zip code.
+    """
     return transactions.select(
         "transaction_id",
         "card_id",
