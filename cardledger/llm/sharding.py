@@ -2,10 +2,10 @@
 
 Documents with equal texts are linked. Shards are labels; each round the documents of a group move
 to the shard that holds most of their neighbours, as far as documents of that shard want to go the
-other way or its quota has room, so that fewer links are cut while no shard outgrows its quota. Documents of one group in one shard are
-interchangeable, so a round works on counts per (group, shard), one row each, however many copies
-there are. Documents without links have nothing to gain anywhere; they fill the shards up at the
-end, which makes the law exact: row counts at most one apart.
+other way or its quota has room, so that fewer links are cut while no shard outgrows its quota.
+Documents of one group in one shard are interchangeable, so a round works on counts per (group,
+shard), one row each, however many copies there are. Documents without links have nothing to gain
+anywhere; they fill the shards up at the end, which makes the law exact: row counts at most one apart.
 
 A round's moves into a shard are admitted in order of the mover's gain through running sums that no
 single task holds (`ranks.with_running`). A group only moves towards strictly more neighbours, so the

@@ -24,7 +24,6 @@ from __future__ import annotations
 
 import math
 import string
-from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
