@@ -9,12 +9,14 @@ Every line's variants within the bound (itself, and itself without one of its wo
 keys; equal keys are joined by their earliest line, never as pairs, so any number of lines may share
 one. Two lines share a variant if they are one edit apart, but also if a word moved; the edit
 distance is verified from the places of the deletions: the same place in both lines is a
-replacement, a place in one line and none in the other an insertion. Two 64-bit hashes stand for the
-words compared.
+replacement, a place in one line and none in the other an insertion. A 64-bit and a 32-bit hash
+stand for the words compared.
 
-Lines that share neither their first nor their last half with any other line cannot be within the
-bound and do not emit variants; this loses nothing (of the words of two lines one edit apart, those
-before the middle or those after it are equal).
+Most lines are like no other, and their variants are not moved. In turn, the keys that two different
+lines have in common are found, and a Bloom filter of these keys tells the next pass over the texts
+which lines or variants to emit: first the halves of lines (of two lines one edit apart, the words
+before the middle or those after it are equal), then the variants. A filter loses nothing and its size
+has a bound (`bloom.blooms`); what it lets through by mistake is dropped by the join.
 
 Defined cases: a null text stays null and has no lines; wordless lines stay. Repeated rows count as
 later copies. Ties cannot be: a line's place is unique. An empty table gives no rows. All columns
@@ -30,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
+from cardledger.llm.bloom import Bloom, blooms
 from cardledger.llm.texts import BASE_INVERSE, Prefix, Words, as_bytes, groups, mix
 from cardledger.sources.scratch import saved
 
@@ -47,22 +50,14 @@ LINES = StructType(
         StructField("line", IntegerType()),
         StructField("doc_id", LongType()),
         StructField("h1", LongType()),
-        StructField("h2", LongType()),
-        StructField("words", IntegerType()),
-        *[StructField(k, LongType()) for k in ("first_same", "last_same", "first_less", "last_less")],
+        StructField("h2", IntegerType()),
     ]
 )
 
-VARIANTS = StructType(
-    [
-        StructField("row", LongType()),
-        StructField("line", IntegerType()),
-        StructField("doc_id", LongType()),
-        StructField("h1", LongType()),
-        StructField("h2", LongType()),
-        StructField("at", IntegerType()),
-    ]
-)
+# A key of a line, and the line's own hash.
+KEYS = StructType([StructField("key", LongType()), StructField("line", LongType())])
+
+VARIANTS = StructType([*LINES.fields, StructField("at", IntegerType())])
 
 
 class Lines:
@@ -87,12 +82,22 @@ def _signed(h: np.ndarray) -> np.ndarray:
     return h.view(np.int64)
 
 
+def _short(h: np.ndarray) -> np.ndarray:
+    return (h >> np.uint64(32)).astype(np.uint32).view(np.int32)
+
+
 def _half(lines: Lines, pick: np.ndarray, length: np.ndarray, kind: int) -> np.ndarray:
     """Keys of the first (0) or last (1) half of lines that are compared as `length` words long."""
     half = length // 2
     first, last = lines.first[pick], lines.last[pick]
     part = lines.hash1.hashes(first, first + half) if kind == 0 else lines.hash1.hashes(last - (length - half), last)
-    return _signed(mix(part ^ mix((length * 2 + kind).astype(np.uint64))))
+    return mix(part ^ mix((length * 2 + kind).astype(np.uint64)))
+
+
+def _halves(lines: Lines, pick: np.ndarray) -> list[np.ndarray]:
+    """Four keys per line: it may be as long as the other line, or a word longer."""
+    n = lines.count[pick]
+    return [_half(lines, pick, n - less, kind) for less in (0, 1) for kind in (0, 1)]
 
 
 def line_table(docs: DataFrame) -> DataFrame:
@@ -100,27 +105,19 @@ def line_table(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, rows = batch["doc_id"], batch["row"].to_numpy()
+            rows = batch["row"].to_numpy()
             for first, group in groups(as_bytes(batch["text"])):
                 lines = Lines(group)
                 pick = np.flatnonzero(lines.count >= MIN_WORDS)
-                n = lines.count[pick]
                 owner = lines.owner[pick] + first
-                short = pa.array(n < EDIT_FROM)
-                halves = [
-                    pa.array(_half(lines, pick, np.maximum(n - less, 1), kind), mask=short.to_numpy(zero_copy_only=False))
-                    for less in (0, 1)
-                    for kind in (0, 1)
-                ]
+                begin, end = lines.first[pick], lines.last[pick]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(rows[owner]),
                         pa.array(lines.number[pick].astype(np.int32)),
-                        ids.take(pa.array(owner)),
-                        pa.array(_signed(lines.hash1.hashes(lines.first[pick], lines.last[pick]))),
-                        pa.array(_signed(lines.hash2.hashes(lines.first[pick], lines.last[pick]))),
-                        pa.array(n.astype(np.int32)),
-                        *halves,
+                        batch["doc_id"].take(pa.array(owner)),
+                        pa.array(_signed(lines.hash1.hashes(begin, end))),
+                        pa.array(_short(lines.hash2.hashes(begin, end))),
                     ],
                     names=LINES.names,
                 )
@@ -128,6 +125,23 @@ def line_table(docs: DataFrame) -> DataFrame:
     return docs.select("row", "doc_id", "text").mapInArrow(run, LINES)
 
 
+def half_table(docs: DataFrame) -> DataFrame:
+    """KEYS: the halves of all lines that allow an edit."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, group in groups(as_bytes(batch["text"])):
+                lines = Lines(group)
+                pick = np.flatnonzero(lines.count >= EDIT_FROM)
+                itself = lines.hash1.hashes(lines.first[pick], lines.last[pick])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(_signed(np.concatenate(_halves(lines, pick)))), pa.array(_signed(np.tile(itself, 4)))],
+                    names=KEYS.names,
+                )
+
+    return docs.select("text").mapInArrow(run, KEYS)
+
+
 def _deletions(prefix: Prefix, first: np.ndarray, last: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Hashes of words[first:last] without word `at`: what Prefix.hashes gives for the shorter line."""
     s = prefix.sums
@@ -135,62 +149,85 @@ def _deletions(prefix: Prefix, first: np.ndarray, last: np.ndarray, at: np.ndarr
     return mix(raw + (last - first - 1).astype(np.uint64) * _DELETED)
 
 
-def variant_table(docs: DataFrame) -> DataFrame:
-    """VARIANTS of the lines listed in `wanted`: at = -1 the line itself, else the deleted word."""
+def _variants(lines: Lines, like: Bloom) -> tuple[np.ndarray, ...]:
+    """Of the lines with a half that `like` knows: line, deleted word (-1: none), and two hashes of each variant."""
+    pick = np.flatnonzero(lines.count >= EDIT_FROM)
+    seen = np.zeros(len(pick), bool)
+    for half in _halves(lines, pick):
+        seen |= like.knows(half)
+    pick = pick[seen]
+    begin, end = lines.first[pick], lines.last[pick]
+    of = np.repeat(np.arange(len(pick)), end - begin)  # one deletion per word
+    at = np.arange(len(of)) - (np.cumsum(end - begin) - (end - begin))[of]
+    hashes = [
+        np.r_[h.hashes(begin, end), _deletions(h, begin[of], end[of], begin[of] + at)] for h in (lines.hash1, lines.hash2)
+    ]
+    return np.r_[pick, pick[of]], np.r_[np.full(len(pick), -1), at], *hashes
+
+
+def variant_keys(docs: DataFrame, like: Bloom) -> DataFrame:
+    """KEYS: the variants of lines that share a half with another line."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, group in groups(as_bytes(batch["text"])):
+                lines = Lines(group)
+                line, _, h1, _ = _variants(lines, like)
+                itself = lines.hash1.hashes(lines.first[line], lines.last[line])
+                yield pa.RecordBatch.from_arrays([pa.array(_signed(h1)), pa.array(_signed(itself))], names=KEYS.names)
+
+    return docs.select("text").mapInArrow(run, KEYS)
+
+
+def variant_table(docs: DataFrame, like: Bloom, shared: Bloom) -> DataFrame:
+    """VARIANTS that `shared` knows, with their lines' places."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, rows = batch["doc_id"], batch["row"].to_numpy()
-            wanted = batch["wanted"].to_pylist()
+            rows = batch["row"].to_numpy()
             for first, group in groups(as_bytes(batch["text"])):
                 lines = Lines(group)
-                base = np.searchsorted(lines.owner, np.arange(len(group)))  # first line of each text
-                pick = np.concatenate(
-                    [base[i] + np.array(sorted(wanted[first + i]), np.int64) for i in range(len(group))]
-                )
-                begin, end = lines.first[pick], lines.last[pick]
-                of = np.repeat(np.arange(len(pick)), end - begin)  # one deletion per word
-                before = np.cumsum(end - begin) - (end - begin)
-                at = np.arange(len(of)) - before[of]
-                hashes = [
-                    np.r_[h.hashes(begin, end), _deletions(h, begin[of], end[of], begin[of] + at)]
-                    for h in (lines.hash1, lines.hash2)
-                ]
-                line = np.r_[pick, pick[of]]
+                line, at, h1, h2 = _variants(lines, like)
+                busy = shared.knows(h1)
+                line, at, h1, h2 = line[busy], at[busy], h1[busy], h2[busy]
                 owner = lines.owner[line] + first
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(rows[owner]),
                         pa.array(lines.number[line].astype(np.int32)),
-                        ids.take(pa.array(owner)),
-                        pa.array(_signed(hashes[0])),
-                        pa.array(_signed(hashes[1])),
-                        pa.array(np.r_[np.full(len(pick), -1), at].astype(np.int32)),
+                        batch["doc_id"].take(pa.array(owner)),
+                        pa.array(_signed(h1)),
+                        pa.array(_short(h2)),
+                        pa.array(at.astype(np.int32)),
                     ],
                     names=VARIANTS.names,
                 )
 
-    return docs.select("row", "doc_id", "text", "wanted").mapInArrow(run, VARIANTS)
+    return docs.select("row", "doc_id", "text").mapInArrow(run, VARIANTS)
+
+
+def shared_keys(keys: DataFrame) -> list[Bloom]:
+    """Filters of the keys that two different lines have."""
+    ends = keys.groupBy("key").agg(F.min("line").alias("low"), F.max("line").alias("high"))
+    return blooms(saved(ends.where("low < high").select("key"), "shared"))
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.union(part)
+    return out
 
 
 PLACE = ("doc_id", "row", "line")
 
 
-def near_lines(docs: DataFrame, firsts: DataFrame) -> DataFrame:
-    """(row, line) of first occurrences that have an earlier line one edit away."""
-    halves = firsts.where(F.col("words") >= EDIT_FROM).select(
-        F.col("row").alias("_row"),
-        F.col("line").alias("_line"),
-        F.explode(F.array("first_same", "last_same", "first_less", "last_less")).alias("half"),
-    )
-    shared = halves.groupBy("half").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("half")
-    wanted = (
-        halves.join(shared, "half", "left_semi")
-        .groupBy("_row")
-        .agg(F.collect_set("_line").alias("wanted"))  # lines of one document
-    )
-    with_lines = docs.join(wanted, F.col("row") == F.col("_row"))
-    variants = saved(variant_table(with_lines), "variants").withColumn("place", F.struct(*PLACE))
+def near_lines(docs: DataFrame) -> DataFrame:
+    """(row, line) of lines that have an earlier line one edit away."""
+    alike = shared_keys(half_table(docs))
+    shared = shared_keys(_union([variant_keys(docs, like) for like in alike]))
+    variants = _union([variant_table(docs, like, keys) for like in alike for keys in shared])
+    variants = saved(variants, "variants").withColumn("place", F.struct(*PLACE))
     key = ["h1", "h2"]
     earliest = saved(variants.groupBy(*key, "at").agg(F.min("place").alias("earliest")), "earliest")
     itself = earliest.where("at = -1").select(*key, "earliest")
@@ -199,18 +236,15 @@ def near_lines(docs: DataFrame, firsts: DataFrame) -> DataFrame:
     longer = variants.where("at >= 0").join(itself, key)
     inserted = variants.where("at = -1").join(shorter, key)
     found = [x.where(F.col("earliest") < F.col("place")).select("row", "line") for x in (replaced, longer, inserted)]
-    return found[0].union(found[1]).union(found[2])
+    return _union(found)
 
 
 def removed_lines(docs: DataFrame) -> DataFrame:
     """(row, removed): the numbers of the lines to remove, for rows that have any."""
-    lines = saved(line_table(docs), "lines").withColumn("place", F.struct(*PLACE))
-    kept = ["words", "first_same", "last_same", "first_less", "last_less"]
-    firsts = lines.groupBy("h1", "h2").agg(F.min("place").alias("place"), *[F.max(c).alias(c) for c in kept])
-    firsts = saved(firsts.select("h1", "h2", "place.doc_id", "place.row", "place.line", *kept), "firsts")
-    first = firsts.select("h1", "h2", F.struct(*PLACE).alias("earliest"))
+    lines = line_table(docs).withColumn("place", F.struct(*PLACE))
+    first = lines.groupBy("h1", "h2").agg(F.min("place").alias("earliest"))
     copies = lines.join(first, ["h1", "h2"]).where(F.col("earliest") < F.col("place")).select("row", "line")
-    every = copies.union(near_lines(docs, firsts))
+    every = copies.union(near_lines(docs))
     return every.groupBy(F.col("row").alias("_row")).agg(F.collect_set("line").alias("_removed"))
 
 
