@@ -25,7 +25,7 @@ tx as (
            partition by l_orderkey
            order by l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate, l_quantity,
                     l_discount, l_tax, l_returnflag, l_linestatus) as transaction_id,
-         case when l_orderkey % 50 = 0 then -l_orderkey else l_orderkey end as card_id,
+         case when l_orderkey % 50 = 0 then -1 - l_orderkey else l_orderkey end as card_id,
          s_name as merchant_name, l_shipdate as ts,
          case when l_returnflag = 'R' then -l_extendedprice else l_extendedprice end as amount,
          s_name || ' ' || lpad(cast(s_nationkey % 3 * 10000 + s_suppkey % 10000 as varchar), 5, '0')

@@ -67,7 +67,7 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     order_key = F.col("l_orderkey")
     return numbered.join(merchants, "l_suppkey", "left").select(
         (F.col("l_orderkey") * 1000000 + F.col("line")).alias("transaction_id"),
-        F.when(order_key % 50 == 0, -order_key).otherwise(order_key).alias("card_id"),
+        F.when(order_key % 50 == 0, -1 - order_key).otherwise(order_key).alias("card_id"),
         F.col("s_name").alias("merchant_name"),
         F.col("l_shipdate").cast("timestamp").alias("timestamp"),
         F.when(F.col("l_returnflag") == "R", -price).otherwise(price).alias("amount"),
