@@ -32,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
+from cardledger.llm.bloom import only_keys
 from cardledger.llm.components import components
 from cardledger.llm.texts import Words, as_bytes, groups, mix, shingles
 from cardledger.sources.scratch import saved
@@ -322,7 +323,8 @@ def near_documents(
         F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK_SETS, F.sum("n") / BLOCK_TOKENS)).alias("blocks")
     )
     members = members.join(blocks, F.col("label") == F.col("_label")).drop("_label", "n")
-    texts = docs.select(F.col("row").alias("_row"), "text").join(members, F.col("_row") == F.col("node")).drop("_row")
+    texts = only_keys(docs.select(F.col("row").alias("_row"), "text"), "_row", members.select(F.col("node").alias("key")))
+    texts = texts.join(members, F.col("_row") == F.col("node")).drop("_row")
     found = saved(exact(in_blocks(texts, "label", "blocks"), threshold, width), "links")
 
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
