@@ -26,6 +26,7 @@ of the input are kept, whatever their names; only `text` (and n_chars, if there)
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -75,7 +76,10 @@ class Lines:
         self.last = np.searchsorted(self.words.start, np.r_[breaks, len(raw)])
         self.count = self.last - self.first
         self.hash1 = Prefix(self.words.hash)
-        self.hash2 = Prefix(mix(self.words.hash ^ _SECOND))
+
+    @cached_property
+    def hash2(self) -> Prefix:
+        return Prefix(mix(self.words.hash ^ _SECOND))
 
 
 def _signed(h: np.ndarray) -> np.ndarray:
@@ -149,8 +153,8 @@ def _deletions(prefix: Prefix, first: np.ndarray, last: np.ndarray, at: np.ndarr
     return mix(raw + (last - first - 1).astype(np.uint64) * _DELETED)
 
 
-def _variants(lines: Lines, like: Bloom) -> tuple[np.ndarray, ...]:
-    """Of the lines with a half that `like` knows: line, deleted word (-1: none), and two hashes of each variant."""
+def _variants(lines: Lines, like: Bloom) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the lines with a half that `like` knows: line, deleted word (-1: none) and hash of each variant."""
     pick = np.flatnonzero(lines.count >= EDIT_FROM)
     seen = np.zeros(len(pick), bool)
     for half in _halves(lines, pick):
@@ -159,10 +163,8 @@ def _variants(lines: Lines, like: Bloom) -> tuple[np.ndarray, ...]:
     begin, end = lines.first[pick], lines.last[pick]
     of = np.repeat(np.arange(len(pick)), end - begin)  # one deletion per word
     at = np.arange(len(of)) - (np.cumsum(end - begin) - (end - begin))[of]
-    hashes = [
-        np.r_[h.hashes(begin, end), _deletions(h, begin[of], end[of], begin[of] + at)] for h in (lines.hash1, lines.hash2)
-    ]
-    return np.r_[pick, pick[of]], np.r_[np.full(len(pick), -1), at], *hashes
+    h1 = np.r_[lines.hash1.hashes(begin, end), _deletions(lines.hash1, begin[of], end[of], begin[of] + at)]
+    return np.r_[pick, pick[of]], np.r_[np.full(len(pick), -1), at], h1
 
 
 def variant_keys(docs: DataFrame, like: Bloom) -> DataFrame:
@@ -172,7 +174,7 @@ def variant_keys(docs: DataFrame, like: Bloom) -> DataFrame:
         for batch in batches:
             for _, group in groups(as_bytes(batch["text"])):
                 lines = Lines(group)
-                line, _, h1, _ = _variants(lines, like)
+                line, _, h1 = _variants(lines, like)
                 itself = lines.hash1.hashes(lines.first[line], lines.last[line])
                 yield pa.RecordBatch.from_arrays([pa.array(_signed(h1)), pa.array(_signed(itself))], names=KEYS.names)
 
@@ -187,9 +189,13 @@ def variant_table(docs: DataFrame, like: Bloom, shared: Bloom) -> DataFrame:
             rows = batch["row"].to_numpy()
             for first, group in groups(as_bytes(batch["text"])):
                 lines = Lines(group)
-                line, at, h1, h2 = _variants(lines, like)
+                line, at, h1 = _variants(lines, like)
                 busy = shared.knows(h1)
-                line, at, h1, h2 = line[busy], at[busy], h1[busy], h2[busy]
+                line, at, h1 = line[busy], at[busy], h1[busy]
+                begin, end = lines.first[line], lines.last[line]
+                h2 = lines.hash2.hashes(begin, end)
+                cut = at >= 0
+                h2[cut] = _deletions(lines.hash2, begin[cut], end[cut], begin[cut] + at[cut])
                 owner = lines.owner[line] + first
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -241,7 +247,7 @@ def near_lines(docs: DataFrame) -> DataFrame:
 
 def removed_lines(docs: DataFrame) -> DataFrame:
     """(row, removed): the numbers of the lines to remove, for rows that have any."""
-    lines = line_table(docs).withColumn("place", F.struct(*PLACE))
+    lines = saved(line_table(docs), "lines").withColumn("place", F.struct(*PLACE))
     first = lines.groupBy("h1", "h2").agg(F.min("place").alias("earliest"))
     copies = lines.join(first, ["h1", "h2"]).where(F.col("earliest") < F.col("place")).select("row", "line")
     every = copies.union(near_lines(docs))
@@ -259,14 +265,15 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
         F.col(ROW).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
     )
     joined = numbered.join(removed_lines(slim), F.col(ROW) == F.col("_row"), "left")
-    lines = F.split(F.col("text"), "\n", -1)
+    lines = F.split(F.col("text"), "\n", -1)  # only where lines go
+    breaks = F.octet_length("text") - F.octet_length(F.replace(F.col("text"), F.lit("\n"), F.lit("")))
     left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_removed"))
     text = F.when(
         F.col("_removed").isNotNull(), F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n")
     ).otherwise(F.col("text"))
     out = joined.select(
         *[text.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns],
-        F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("_n_lines"),
+        F.coalesce(breaks + 1, F.lit(0)).cast("long").alias("_n_lines"),
         F.coalesce(F.when(F.col("_removed").isNotNull(), F.size("_removed")), F.lit(0)).cast("long").alias("_n_removed"),
     )
     return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out
