@@ -14,7 +14,7 @@ break counts as white space). Character references are decoded, white space beco
 
 Defined cases: null or empty html, and pages without any word of positive score, give an empty text.
 A tag left open ends with its parent or the page; an end tag that was never opened is ignored. An
-unclosed comment, script or style runs to the end of the page. Repeated rows give repeated results.
+unclosed comment, script, style or title runs to the end of the page. Repeated rows give repeated results.
 Without labelled pages the fixed values alone give the weights.
 """
 
@@ -36,7 +36,7 @@ MAX_LABELLED = 1_000  # labelled pages that training takes at most, chosen by a
 MAX_TRAIN_CHARS = 20_000  # of such a page that training reads; extraction reads whole pages
 
 # Element names.
-RAW = "script|style|noscript|template|textarea|svg|iframe|object|title|select"
+RAW = "script|style|textarea|title|iframe"  # what is inside is not markup
 BLOCKS = set(
     "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer "
     "form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol p pre section summary table tbody tfoot "
@@ -44,7 +44,9 @@ BLOCKS = set(
 )
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 SPACES = set("br td th".split())
-NEVER = set("nav footer aside form button head menu dialog label".split())
+NEVER = set(
+    "nav footer aside form button head menu dialog label noscript template svg object select".split()
+)
 CONTENT = ("article", "main")
 MARKED = "+"  # before the names of tags inside such an element
 # Words of class, id and role attributes that stand for what is not the article.
@@ -61,7 +63,7 @@ BIAS = 0.2  # log odds of a word with no name around it that says anything
 UNSEEN = {"p": 2.0, "article": 4.0, "main": 3.0, "h1": 0.5, "h2": 0.5, "h3": 0.5, "blockquote": 1.0, "pre": 1.0}
 
 _token = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({RAW})\b[^>]*+(?:/>|>.*?(?:</\1\b[^>]*+>|\Z))"
+    rf"<!--.*?(?:-->|\Z)|<({RAW})(?=[\s/>])[^>]*+>.*?(?:</\1\b[^>]*+>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?>[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|</?[a-zA-Z][^>]*+>|<[!?][^>]*+>",
     re.S | re.I,
 )
@@ -98,7 +100,9 @@ class Weights:
         return -4.0 if key in NEVER or key.startswith(".:") and key[2:] in JUNK_WORDS else 0.0
 
     def tag(self, name: str) -> float:
-        return -0.02 if name.startswith(MARKED) else self.tags.get(name, -0.2)
+        if name.startswith(MARKED):
+            return -0.02
+        return self.tags.get(name, -0.02 if name in UNSEEN else -0.2)
 
 
 class Page:
@@ -161,7 +165,8 @@ class Page:
             if m[4]:
                 for _, a, b, c in _attribute.findall(m[4]):
                     words.update(w.lower() for w in _part.findall(a or b or c))
-            never = never or name in NEVER or (name == "header" and not content) or (name not in CONTENT and name not in ("html", "body") and junk(words))
+            never = never or name in NEVER or (name == "header" and not content)
+            never = never or (name not in CONTENT and name not in ("html", "body") and junk(words))
             own = (name, *sorted(f".:{w}" for w in words))
             stack.append((name, keys + own, never, content or name in CONTENT))
             open_names[name] += 1
@@ -214,18 +219,19 @@ def extract(html: str, weights: Weights) -> str:
     return "\n".join(line for line in lines if line)
 
 
-def labelled_pages(pages: DataFrame, most: int = MAX_LABELLED, html_col: str = "html", id_col: str = "page_id") -> list[str]:
+def labelled_pages(
+    pages: DataFrame, most: int = MAX_LABELLED, html_col: str = "html", id_col: str = "page_id"
+) -> list[str]:
     """At most `most` pages with one content element, on the driver, chosen by a hash of their id."""
     marked = F.size(F.split(F.lower(html_col), r"<article[\s>]")) == 2
     marked |= F.size(F.split(F.lower(html_col), r"<main[\s>]")) == 2
-    rows = (
-        pages.where(marked)
-        .select(F.substring(html_col, 1, MAX_TRAIN_CHARS).alias("html"), F.xxhash64(id_col, html_col).alias("by"))
-        .orderBy("by", "html")
-        .limit(most)
-        .collect()
+    found = pages.where(marked).select(
+        F.substring(html_col, 1, MAX_TRAIN_CHARS).alias("html"), F.xxhash64(id_col, html_col).alias("by")
     )
-    return [r.html for r in rows]
+    total = found.count()
+    if total > most:  # about `most` before the sort, so that tasks hand over few pages
+        found = found.where(F.pmod("by", F.lit(1_000_000)) < int(1_000_000 * 1.2 * most / total) + 1)
+    return [r.html for r in found.orderBy("by", "html").limit(most).collect()]
 
 
 TEXTS = StructType(
