@@ -35,6 +35,7 @@ def weights():
         (f"<article><p title='a > b' class=\"lead\">{TEXT}</p>", TEXT),
         (f"<article><p>{TEXT}</p><!-- never closed <p>gone</p>", TEXT),
         (f"<article><p>{TEXT}</p><script>never closed", TEXT),
+        (f"<article><p>{TEXT} <svg><text>no</text></svg>x</p><template-box>y</template-box><p>z <svg></p><p>end</p></article>", f"{TEXT} x\ny\nz\nend"),
         (f"<article><ul><li>first<li>second</ul><p>{TEXT}</p></article>", f"first\nsecond\n{TEXT}"),
     ],
 )
