@@ -43,8 +43,9 @@ from cardledger.sources.scratch import saved
 LENGTH = 400
 GRAM = 128
 MOST = 2_000  # suffixes with different surroundings that one task sorts for a gram
-SEGMENT = 4 << 20  # window starts worked on at a time in a long text
-BATCH_BYTES = 8 << 20  # surroundings sorted together
+SEGMENT = 1 << 20  # window starts worked on at a time in a long text
+BATCH_BYTES = 3 << 20  # surroundings sorted together
+TEXT_BYTES = 1 << 20  # texts whose anchors are sought together, if they are short
 
 _second = np.random.default_rng(10).integers(1, 1 << 63, 256, dtype=np.uint64)
 
@@ -79,25 +80,33 @@ def anchors_of(texts: list[bytes], length: int, gram: int) -> tuple[np.ndarray,
     none = np.zeros(0, np.int64)
     if len(data) < length:
         return none, none, none.view(np.uint64), none.view(np.uint64), none.view(np.uint64), none, none
-    first, second = Prefix(data), Prefix(_second[data])
-    found: list[np.ndarray] = []
+    found: dict[str, list[np.ndarray]] = {k: [] for k in ("pos", "gram", "d1", "d2", "left", "right")}
     for begin in range(0, len(data) - length + 1, SEGMENT):
         end = min(begin + SEGMENT, len(data) - length + 1)  # window starts begin..end-1
-        start = np.arange(begin, end + length - gram)
+        base = max(0, begin - length)  # hashes of this stretch alone, so long texts take no more memory
+        stretch = data[base : end + 2 * length]
+        first, second = Prefix(stretch), Prefix(_second[stretch])
+        start = np.arange(begin, end + length - gram) - base
         hashes = first.hashes(start, start + gram)
         packed = (hashes & ~np.uint64(0xFFFFFF)) | np.arange(len(start), dtype=np.uint64)
         best = (_smallest(packed, length - gram + 1) & np.uint64(0xFFFFFF)).astype(np.int64)
         starts = np.arange(begin, end)
-        owner = np.searchsorted(at, starts, "right") - 1
-        inside = starts + length <= at[owner + 1] - 1
-        found.append(np.unique(best[inside]) + begin)
-    pos = np.unique(np.concatenate(found))
+        inside = starts + length <= at[np.searchsorted(at, starts, "right")] - 1
+        pos = np.unique(best[inside]) + begin
+        owner = np.searchsorted(at, pos, "right") - 1
+        left = np.minimum(pos - at[owner], length - gram)
+        right = np.minimum(at[owner + 1] - 1 - pos, length)
+        here = pos - base
+        found["pos"].append(pos)
+        found["gram"].append(first.hashes(here, here + gram))
+        found["left"].append(left)
+        found["right"].append(right)
+        for name, prefix in (("d1", first), ("d2", second)):
+            found[name].append(mix(prefix.hashes(here - left, here + right) ^ left.astype(np.uint64)))
+    every = {k: np.concatenate(v) for k, v in found.items()}
+    pos, once = np.unique(every["pos"], return_index=True)
     owner = np.searchsorted(at, pos, "right") - 1
-    left = np.minimum(pos - at[owner], length - gram)
-    right = np.minimum(at[owner + 1] - 1 - pos, length)
-    d1 = mix(first.hashes(pos - left, pos + right) ^ left.astype(np.uint64))
-    d2 = mix(second.hashes(pos - left, pos + right) ^ left.astype(np.uint64))
-    return owner, pos - at[owner], first.hashes(pos, pos + gram), d1, d2, left, right
+    return owner, pos - at[owner], *(every[k][once] for k in ("gram", "d1", "d2", "left", "right"))
 
 
 def anchor_table(docs: DataFrame, length: int, gram: int) -> DataFrame:
@@ -106,7 +115,7 @@ def anchor_table(docs: DataFrame, length: int, gram: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = batch["row"].to_numpy()
-            for first, group in groups(as_bytes(batch["text"])):
+            for first, group in groups(as_bytes(batch["text"]), TEXT_BYTES):
                 owner, pos, *hashes, left, right = anchors_of(group, length, gram)
                 columns = [pa.array(h.view(np.int64)) for h in hashes]
                 columns += [pa.array(rows[owner + first]), pa.array(pos)]

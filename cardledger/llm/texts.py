@@ -8,12 +8,11 @@ rests on two strings being equal, the operator that uses them says what it check
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 
-GROUP_BYTES = 2 << 20  # texts worked on at a time, in bytes; a longer text is a group of its own
+GROUP_BYTES = 1 << 20  # texts worked on at a time, in bytes; a longer text is a group of its own
 
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 BASE_INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
@@ -54,21 +53,17 @@ def groups(texts: list[bytes], limit: int = GROUP_BYTES) -> Iterator[tuple[int,
         yield first, texts[first:]
 
 
-@lru_cache(maxsize=4)
-def _powers_up_to(bits: int) -> tuple[np.ndarray, np.ndarray]:
-    with np.errstate(over="ignore"):
-        out = []
-        for base in (BASE, BASE_INVERSE):
-            p = np.full(1 << bits, base, np.uint64)
-            p[0] = 1
-            out.append(np.multiply.accumulate(p))
-    return out[0], out[1]
+_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]  # a worker keeps the longest it has needed
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """BASE**i and BASE**-i for i < n."""
-    up, down = _powers_up_to(max(16, (max(n, 1) - 1).bit_length()))
-    return up[:n], down[:n]
+    if n > len(_powers[0]):
+        for k, base in enumerate((BASE, BASE_INVERSE)):
+            p = np.full(n + n // 4, base, np.uint64)
+            p[0] = 1
+            _powers[k] = np.multiply.accumulate(p)
+    return _powers[0][:n], _powers[1][:n]
 
 
 def mix(h: np.ndarray) -> np.ndarray:
