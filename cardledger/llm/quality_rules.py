@@ -244,12 +244,12 @@ def train(texts: list[bytes], good: np.ndarray, toxic: np.ndarray) -> tuple[Mode
         (quality_features, good, MAX_QUALITY, 2 << BITS, (2e-6,), 0.05),
         (toxic_features, toxic, len(texts), 1 << BITS, (5e-4, 5e-3, 2e-2), 0.05),
     ):
-        made = [(first, make(m)) for first, m in parts if first < most]
-        row = np.concatenate([f[0] + first for first, f in made]).astype(np.int32) if made else np.zeros(0, int)
-        col, value = (
-            np.concatenate([f[j] for _, f in made]).astype(kind) if made else np.zeros(0, kind)
-            for j, kind in ((1, np.int32), (2, np.float32))
-        )
+        made = [(np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, np.float32))]
+        for first, m in parts:
+            if first < most:
+                r, c, v = make(m)
+                made.append(((r + first).astype(np.int32), c.astype(np.int32), v.astype(np.float32)))
+        row, col, value = (np.concatenate(x) for x in zip(*made))
         del made
         known = (y >= 0) & (np.arange(len(y)) <= (row.max() if len(row) else -1))
         fitting, checking = ~held & known, held & known
