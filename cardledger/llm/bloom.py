@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cardledger.llm.texts import mix
+from cardledger.sources.scratch import saved
 
 BITS_PER_KEY = 12
 HASHES = 8
@@ -41,7 +42,7 @@ class Bloom:
         return knows(column)
 
 
-def _build(keys: DataFrame, n: int) -> Bloom:
+def _build(keys: DataFrame, n: int, stretch: int | None = None) -> Bloom:
     bits = 64 * max(1, -(-n * BITS_PER_KEY // 64))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -53,24 +54,31 @@ def _build(keys: DataFrame, n: int) -> Bloom:
             yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(masks)], names=["word", "mask"])
 
     set_bits = keys.select("key").mapInArrow(run, "word long, mask long")
-    rows = set_bits.groupBy("word").agg(F.bit_or("mask").alias("mask")).toPandas()  # at most bits / 64 rows
+    merged = set_bits.groupBy("word").agg(F.bit_or("mask").alias("mask"))  # at most bits / 64 rows
     words = np.zeros(bits // 64, np.int64)
-    words[rows["word"].to_numpy(np.int64)] = rows["mask"].to_numpy(np.int64)
+    parts = [merged]
+    if stretch and stretch < len(words):
+        merged = saved(merged, "bits")
+        parts = [merged.where(F.col("word").between(k, k + stretch - 1)) for k in range(0, len(words), stretch)]
+    for part in parts:
+        rows = part.toPandas()
+        words[rows["word"].to_numpy(np.int64)] = rows["mask"].to_numpy(np.int64)
     return Bloom(words)
 
 
-def blooms(keys: DataFrame, most: int = MOST_KEYS) -> list[Bloom]:
+def blooms(keys: DataFrame, most: int = MOST_KEYS, stretch: int | None = None) -> list[Bloom]:
     """Filters that together know all rows of `keys` (a table with the column key).
 
     One filter holds at most about `most` keys, so its size has a bound. Of more keys each filter has
-    a part, dealt by hash; whoever uses them goes through them one by one.
+    a part, dealt by hash; whoever uses them goes through them one by one. With `stretch`, the driver
+    fetches so many words of a filter at a time.
     """
     n = keys.count()
     parts = max(1, -(-n // most))
     if parts == 1:
-        return [_build(keys, n)]
+        return [_build(keys, n, stretch)]
     part = F.pmod(F.xxhash64("key"), F.lit(parts))
-    return [_build(keys.where(part == k), n // parts + n // parts // 16 + 64) for k in range(parts)]
+    return [_build(keys.where(part == k), n // parts + n // parts // 16 + 64, stretch) for k in range(parts)]
 
 
 def only_keys(df: DataFrame, column: str, keys: DataFrame) -> DataFrame:

@@ -1,7 +1,7 @@
 """Line de-duplication across all documents by a deletion-neighbourhood join.
 
-A line is its words, lower-cased. Two lines are the same if their words differ by at most one edit:
-one word put in, left out or replaced. Lines of fewer than `EDIT_FROM` words allow no edit, so that
+A line is its words, lower-cased. Two lines are the same if their words differ by at most one edit (more
+with `growing`, see below): one word put in, left out or replaced. Lines of fewer than `EDIT_FROM` words allow no edit, so that
 the words of two matching lines agree by 0.9 at least; lines of fewer than `MIN_WORDS` words are never
 removed. A line is removed if an earlier line (by document id, row, line number) is the same.
 
@@ -21,6 +21,14 @@ has a bound (`bloom.blooms`); what it lets through by mistake is dropped by the
 Defined cases: a null text stays null and has no lines; wordless lines stay. Repeated rows count as
 later copies. Ties cannot be: a line's place is unique. An empty table gives no rows. All columns
 of the input are kept, whatever their names; only `text` (and n_chars, if there) changes.
+
+With `growing`, the bound grows with the length: one edit per `EDIT_FROM` words of the shorter line, so
+that the agreement asked for is 0.9 whatever the length. Two lines that are k edits apart share one of
+the k + 1 equal segments of the shorter one, at places at most k words apart. Segments are the keys: a
+Bloom filter of all of them tells which other runs of words to emit, and only keys that two lines have
+are joined. Each line is compared with the earliest line of its keys first, and only lines that stay with
+the others, so that a large group of near copies is not compared in pairs. The edit distance is computed
+from the words' hashes. Lines are told apart by their 64-bit hash there.
 """
 
 from __future__ import annotations
@@ -31,9 +39,9 @@ from functools import cached_property
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StructField, StructType
 
-from cardledger.llm.bloom import Bloom, blooms
+from cardledger.llm.bloom import Bloom, blooms, only_keys
 from cardledger.llm.texts import BASE_INVERSE, Prefix, Words, as_bytes, groups, mix
 from cardledger.sources.scratch import saved
 
@@ -60,6 +68,20 @@ KEYS = StructType([StructField("key", LongType()), StructField("line", LongType(
 
 VARIANTS = StructType([*LINES.fields, StructField("at", IntegerType())])
 
+# A run of words of a line (its hash `of`, `n` words), from word `at` on; whether it is a segment.
+RUNS = StructType(
+    [
+        StructField("key", LongType()),
+        StructField("of", LongType()),
+        StructField("at", IntegerType()),
+        StructField("n", IntegerType()),
+        StructField("segment", BooleanType()),
+        *LINES.fields[:3],
+    ]
+)
+
+WORDS = StructType([StructField("of", LongType()), StructField("words", ArrayType(LongType()))])
+
 
 class Lines:
     """The lines of a group of texts as ranges of their words."""
@@ -245,26 +267,221 @@ def near_lines(docs: DataFrame) -> DataFrame:
     return _union(found)
 
 
-def removed_lines(docs: DataFrame) -> DataFrame:
+STRETCH = 1 << 18  # 64-bit words of the segments' filter that the driver fetches at a time
+LONG = 2 * EDIT_FROM  # words from which on a line allows more than one edit
+
+
+def _run_length(n: np.ndarray) -> np.ndarray:
+    """Words of each of the equal segments that lines of n words are cut into: one more than their edits."""
+    return n // (n // EDIT_FROM + 1)
+
+
+def _asked_lengths() -> np.ndarray:
+    """[n, length]: may a line of n words be compared with a shorter one whose segments have this length?"""
+    most = 12 * EDIT_FROM  # from here on all have segments of EDIT_FROM - 1 words
+    asked = np.zeros((most, EDIT_FROM), bool)
+    for n in range(LONG, most):
+        asked[n : n + n // EDIT_FROM + 1, _run_length(n)] = True
+    asked[most - 1] = False
+    asked[most - 1, EDIT_FROM - 1] = True
+    return asked
+
+
+ASKED = _asked_lengths()
+
+
+def _segments(lines: Lines) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Line, first word (within the line) and length of the segments of all long lines."""
+    pick = np.flatnonzero(lines.count >= LONG)
+    n = lines.count[pick]
+    parts = n // EDIT_FROM + 1
+    of = np.repeat(np.arange(len(pick)), parts)
+    i = np.arange(len(of)) - (np.cumsum(parts) - parts)[of]
+    return pick[of], n[of] * i // parts[of], _run_length(n)[of]
+
+
+def _other_runs(lines: Lines) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Line, first word and length of all runs that may equal a segment of a shorter line, per length;
+    without the lines' own segments."""
+    long = np.flatnonzero(lines.count >= LONG)
+    for length in range(1, EDIT_FROM):
+        pick = long[ASKED[np.minimum(lines.count[long], len(ASKED) - 1), length]]
+        runs = lines.count[pick] - length + 1
+        of = np.repeat(np.arange(len(pick)), runs)
+        at = np.arange(len(of)) - (np.cumsum(runs) - runs)[of]
+        n = lines.count[pick][of]
+        parts = n // EDIT_FROM + 1
+        i = (at * parts + n - 1) // n
+        own = (_run_length(n) == length) & (i < parts) & (n * i // parts == at)
+        yield pick[of[~own]], at[~own], np.full((~own).sum(), length)
+
+
+def run_table(docs: DataFrame, like: Bloom | None) -> DataFrame:
+    """RUNS of all long lines: their segments, or (with `like`) other runs that it knows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = batch["row"].to_numpy()
+            for first, group in groups(as_bytes(batch["text"])):
+                lines = Lines(group)
+                for line, at, length in [_segments(lines)] if like is None else _other_runs(lines):
+                    begin = lines.first[line] + at
+                    key = lines.hash1.hashes(begin, begin + length)
+                    if like is not None:
+                        known = like.knows(key)
+                        key, line, at = key[known], line[known], at[known]
+                    owner = lines.owner[line] + first
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(_signed(key)),
+                            pa.array(_signed(lines.hash1.hashes(lines.first[line], lines.last[line]))),
+                            pa.array(at.astype(np.int32)),
+                            pa.array(lines.count[line].astype(np.int32)),
+                            pa.array(np.full(len(key), like is None)),
+                            pa.array(rows[owner]),
+                            pa.array(lines.number[line].astype(np.int32)),
+                            batch["doc_id"].take(pa.array(owner)),
+                        ],
+                        names=RUNS.names,
+                    )
+
+    return docs.select("row", "doc_id", "text").mapInArrow(run, RUNS)
+
+
+def word_table(docs: DataFrame, asked: Bloom) -> DataFrame:
+    """WORDS of the long lines whose hash `asked` knows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, group in groups(as_bytes(batch["text"])):
+                lines = Lines(group)
+                pick = np.flatnonzero(lines.count >= LONG)
+                itself = _signed(lines.hash1.hashes(lines.first[pick], lines.last[pick]))
+                known = asked.knows(itself)
+                pick, itself = pick[known], itself[known]
+                n = lines.count[pick]
+                before = np.cumsum(n) - n
+                word = np.repeat(lines.first[pick] - before, n) + np.arange(n.sum())
+                words = pa.ListArray.from_arrays(
+                    pa.array(np.r_[before, n.sum()].astype(np.int32)), pa.array(_signed(lines.words.hash[word]))
+                )
+                yield pa.RecordBatch.from_arrays([pa.array(itself), words], names=WORDS.names)
+
+    return docs.select("text").mapInArrow(run, WORDS)
+
+
+def within(a: np.ndarray, b: np.ndarray, most: int) -> bool:
+    """Are a and b at most `most` edits apart? Furthest places reached per diagonal, edit by edit."""
+    if abs(len(a) - len(b)) > most:
+        return False
+    if len(a) == len(b) and np.count_nonzero(a != b) <= most:
+        return True
+    a, b = a.tolist(), b.tolist()
+    reach = {}  # by diagonal (place in b minus place in a): words of a that are used up
+    for edits in range(most + 1):
+        now = {}
+        for d in range(-edits, edits + 1):
+            i = max(reach.get(d, -2) + 1, reach.get(d - 1, -2), reach.get(d + 1, -2) + 1) if edits else 0
+            i = min(i, len(a), len(b) - d)
+            if i < 0 or i + d < 0:
+                continue
+            while i < len(a) and i + d < len(b) and a[i] == b[i + d]:
+                i += 1
+            now[d] = i
+        reach = now
+        if reach.get(len(b) - len(a)) == len(a):
+            return True
+    return False
+
+
+def _verified(pairs: DataFrame, words: DataFrame) -> DataFrame:
+    """The pairs (early, late, row, line) whose lines are within the bound: (late, row, line)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sides = []
+            for name in ("_a", "_b"):
+                column = batch[name]
+                flat, offsets = column.values.to_numpy(), column.offsets.to_numpy()
+                sides.append([flat[x:y] for x, y in zip(offsets, offsets[1:])])
+            good = [within(a, b, min(len(a), len(b)) // EDIT_FROM) for a, b in zip(*sides)]
+            yield batch.select(["late", "row", "line"]).filter(pa.array(good, pa.bool_()))
+
+    both = pairs.join(words.select(F.col("of").alias("early"), F.col("words").alias("_a")), "early")
+    both = both.join(words.select(F.col("of").alias("late"), F.col("words").alias("_b")), "late")
+    return both.select("late", "row", "line", "_a", "_b").mapInArrow(run, "late long, row long, line int")
+
+
+def far_lines(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """(row, line) of long lines that have an earlier line within their bound. First copies only, as
+    the others are exact copies; those in `gone` (row, line) may be left out."""
+    segments = saved(run_table(docs, None), "segments")
+    others = saved(_union([run_table(docs, like) for like in blooms(segments.select("key"), stretch=STRETCH)]), "runs")
+    ends = segments.groupBy("key").agg(F.min("of").alias("low"), F.max("of").alias("high"))
+    wanted = ends.where("low < high").select("key").union(others.select("key").distinct())
+    runs = only_keys(segments, "key", saved(wanted, "wanted")).union(others)
+    runs = runs.groupBy("key", "of", "at", "n", "segment").agg(F.min(F.struct(*PLACE)).alias("place"))
+    runs = saved(runs, "places")
+    ends = runs.groupBy("key").agg(
+        F.min(F.struct("place", "of", "n")).alias("first"), F.min("of").alias("low"), F.max("of").alias("high")
+    )
+    ends = ends.where("low < high").select("key", "first")
+    runs = saved(runs.join(ends, "key"), "shared")
+    words = _union([word_table(docs, asked) for asked in blooms(saved(runs.select(F.col("of").alias("key")).distinct(), "asked"))])
+    words = saved(words.groupBy("of").agg(F.min("words").alias("words")), "words")
+
+    fits = F.abs(F.col("n") - F.col("m")) <= F.floor(F.least("n", "m") / EDIT_FROM)
+    pair = ["early", F.col("of").alias("late"), "place.row", "place.line"]
+    leading = runs.withColumns({"early": F.col("first.of"), "m": F.col("first.n")})
+    leading = leading.where(fits & (F.col("early") != F.col("of"))).select(*pair).distinct()
+    found = saved(_verified(leading, words).distinct(), "found")
+
+    left = runs.join(gone, (F.col("place.row") == gone["row"]) & (F.col("place.line") == gone["line"]), "left_anti")
+    left = left.join(found.select(F.col("late").alias("of")).distinct(), "of", "left_anti")
+    before = runs.where(F.col("first.of") != F.col("of")).select(
+        "key",
+        F.col("of").alias("early"),
+        F.col("at").alias("early_at"),
+        F.col("n").alias("m"),
+        F.col("segment").alias("early_segment"),
+        F.col("place").alias("early_place"),
+    )
+    near = F.abs(F.col("at") - F.col("early_at")) <= F.floor(F.least("n", "m") / EDIT_FROM)
+    pairs = left.join(before, "key").where(
+        (F.col("early_place") < F.col("place"))
+        & (F.col("early") != F.col("of"))
+        & (F.col("segment") | F.col("early_segment"))
+        & fits
+        & near
+    )
+    rest = _verified(pairs.select(*pair).distinct(), words)
+    return found.union(rest).select("row", "line").distinct()
+
+
+def removed_lines(docs: DataFrame, growing: bool = False) -> DataFrame:
     """(row, removed): the numbers of the lines to remove, for rows that have any."""
     lines = saved(line_table(docs), "lines").withColumn("place", F.struct(*PLACE))
     first = lines.groupBy("h1", "h2").agg(F.min("place").alias("earliest"))
     copies = lines.join(first, ["h1", "h2"]).where(F.col("earliest") < F.col("place")).select("row", "line")
-    every = copies.union(near_lines(docs))
+    near = near_lines(docs)
+    if growing:
+        near = saved(near.distinct(), "near")
+        near = near.union(far_lines(docs, near))
+    every = copies.union(near)
     return every.groupBy(F.col("row").alias("_row")).agg(F.collect_set("line").alias("_removed"))
 
 
-def dedup_lines(docs: DataFrame) -> DataFrame:
+def dedup_lines(docs: DataFrame, growing: bool = False) -> DataFrame:
     """All rows of `docs`, with their columns, and _n_lines and _n_removed; text without the lines removed.
 
     `docs` must be a table or a plan that gives the same rows in the same partitions each time: rows
-    are told apart by their place in it.
+    are told apart by their place in it. `growing`: one edit per EDIT_FROM words, not one edit per line.
     """
     numbered = docs.withColumn(ROW, F.monotonically_increasing_id())
     slim = numbered.select(
         F.col(ROW).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
     )
-    joined = numbered.join(removed_lines(slim), F.col(ROW) == F.col("_row"), "left")
+    joined = numbered.join(removed_lines(slim, growing), F.col(ROW) == F.col("_row"), "left")
     lines = F.split(F.col("text"), "\n", -1)  # only where lines go
     breaks = F.octet_length("text") - F.octet_length(F.replace(F.col("text"), F.lit("\n"), F.lit("")))
     left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_removed"))

@@ -77,7 +77,7 @@ def op7_sharding(spark, d):
 
 def op8_line_dedup(spark, d):
     """Per document: its lines, the lines removed, and the digest of the text that is left."""
-    return line_dedup.dedup_lines(table(spark, d, "documents")).select(
+    return line_dedup.dedup_lines(table(spark, d, "documents"), growing=True).select(
         "doc_id",
         F.col("_n_lines").alias("n_lines"),
         F.col("_n_removed").alias("n_removed"),

@@ -1,0 +1,80 @@
+import random
+
+import numpy as np
+import pytest
+from test_line_dedup import SCHEMA
+
+from cardledger.llm import line_dedup as op
+from cardledger.llm.bloom import blooms
+from cardledger.llm.texts import fold_words
+
+
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        left, row = row, [i]
+        for j, y in enumerate(b, 1):
+            row.append(min(left[j] + 1, row[-1] + 1, left[j - 1] + (x != y)))
+    return row[-1]
+
+
+def brute(texts):
+    seen, out = [], []
+    for t in texts:
+        kept = []
+        for line in t.split("\n"):
+            words = fold_words(line.encode())
+            if not any(distance(words, s) <= min(len(words), len(s)) // 10 for s in seen):
+                kept.append(line)
+            seen.append(words)
+        out.append("\n".join(kept))
+    return out
+
+
+def edited(rng, line, edits, words):
+    line = list(line)
+    for _ in range(edits):
+        at, kind = rng.randrange(len(line)), rng.random()
+        if kind < 0.4:
+            line[at] = rng.choice(words)
+        elif kind < 0.7:
+            del line[at]
+        else:
+            line.insert(at, rng.choice(words))
+    return line
+
+
+@pytest.mark.parametrize("seed, n_words", [(1, 400), (2, 400), (3, 6)])
+def test_bound_grows_with_the_length(stored, seed, n_words):
+    rng = random.Random(seed)
+    words = ["w%d" % i for i in range(n_words)]
+    lines = [[rng.choice(words) for _ in range(n)] for n in (10, 12, 19, 20, 21, 22, 29, 30, 31, 33, 45, 60, 88, 99, 101, 130)]
+    texts = [" ".join(line) for line in lines]
+    for _ in range(60):
+        picked = [rng.choice(lines) for _ in range(3)]
+        texts.append("\n".join(" ".join(edited(rng, line, rng.randint(0, len(line) // 8), words)) for line in picked))
+    docs = stored([(i, t, len(t), "l", "r") for i, t in enumerate(texts)], SCHEMA, 4)
+    got = {r.doc_id: r.text for r in op.dedup_lines(docs, growing=True).collect()}
+    assert [got[i] for i in range(len(texts))] == brute(texts)
+
+
+def test_a_filter_fetched_in_stretches_is_the_same(frame):
+    keys = frame([(i * 7919,) for i in range(500)], "key long")
+    (whole,), (parts,) = blooms(keys), blooms(keys, stretch=10)
+    assert (whole.words == parts.words).all()
+
+
+def test_two_of_sixty_words_changed(stored):
+    line = ["w%d" % i for i in range(60)]
+    other = line[:10] + ["x"] + line[11:40] + ["y"] + line[41:]
+    docs = stored([(1, " ".join(line), 0, "l", "r"), (2, " ".join(other), 0, "l", "r")], SCHEMA)
+    assert [r._n_removed for r in op.dedup_lines(docs, growing=True).orderBy("doc_id").collect()] == [0, 1]
+
+
+def test_edit_distance():
+    rng = random.Random(5)
+    for _ in range(500):
+        a = [rng.randrange(4) for _ in range(rng.randint(5, 25))]
+        b = edited(rng, a, rng.randint(0, 5), range(4))
+        for most in range(5):
+            assert op.within(np.array(a), np.array(b), most) == (distance(a, b) <= most)
