@@ -8,12 +8,15 @@ the document the template would begin); votes close to each other are one candid
 words are aligned with the template's within a band around the diagonal. The report has the share of
 the template's words that the alignment matches, and the span of the original text.
 
+Licenses differ from each other in few words. The phrases that tell a template from its siblings (`KEYS`:
+name and version, mostly) have to stand in the span word for word, whatever the coverage.
+
 The index holds the templates alone, and its size is checked; documents are scanned where they lie.
 
 Defined cases: null, empty and wordless documents have no rows. Templates of fewer than GRAM words
 are one run. Null templates are refused. Of reports of one template that overlap, the one with the
-higher coverage stays, the earlier one at a tie; different templates may share words (the notices of
-several versions do) and are all reported. Repeated rows give repeated reports.
+higher coverage stays, the earlier one at a tie; so it does among `SIBLINGS`. Other templates may share
+words (a notice and the header that it begins) and are all reported. Repeated rows give repeated reports.
 """
 
 from __future__ import annotations
@@ -73,8 +76,57 @@ TEMPLATES = {
         "hereby granted, provided that the above copyright notice and this permission notice appear in all copies."
     ),
     "All rights reserved": "All rights reserved",
+    "GPL-2.0 notice": "This work is licensed under the GNU General Public License, version 2",
+    "LGPL-3.0 notice": "This work is licensed under the GNU Lesser General Public License, version 3",
+    "LGPL-2.1 notice": "This work is licensed under the GNU Lesser General Public License, version 2.1",
+    "AGPL-3.0 notice": "This work is licensed under the GNU Affero General Public License, version 3",
+    "BSD notice": "Released under the BSD License",
+    "CC-BY-4.0 short notice": "Licensed under CC BY 4.0",
+    "CC-BY-SA-4.0 short notice": "Licensed under CC BY-SA 4.0",
+    "CC-BY-ND-4.0 short notice": "Licensed under CC BY-ND 4.0",
+    "CC-BY-NC-SA-4.0 short notice": "Licensed under CC BY-NC-SA 4.0",
+    "CC-BY-NC-ND-4.0 short notice": "Licensed under CC BY-NC-ND 4.0",
+    "CC-BY-SA-4.0 notice": (
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License"
+    ),
+    "CC-BY-NC-4.0 long notice": (
+        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"
+    ),
+}
+
+# What has to stand in a report's span word for word.
+KEYS = {
+    "Apache-2.0 notice": ["Apache License, Version 2.0"],
+    "Apache-2.0 header": ["Apache License, Version 2.0"],
+    "MIT notice": ["MIT License"],
+    "MIT": ["shall be included in all copies"],  # not in MIT-0
+    "BSD notice": ["BSD License"],
+    "ISC": ["permission notice appear in all copies"],  # not in HPND
+    "GPL-2.0 notice": ["GNU General Public License, version 2"],
+    "GPL-3.0 notice": ["GNU General Public License, version 3"],
+    "GPL-3.0 header": ["GNU General Public License", "version 3 of the License"],
+    "LGPL-2.1 notice": ["GNU Lesser General Public License, version 2.1"],
+    "LGPL-3.0 notice": ["GNU Lesser General Public License, version 3"],
+    "AGPL-3.0 notice": ["GNU Affero General Public License, version 3"],
+    "CC-BY-4.0 short notice": ["CC BY 4.0"],
+    "CC-BY-SA-4.0 short notice": ["CC BY-SA 4.0"],
+    "CC-BY-ND-4.0 short notice": ["CC BY-ND 4.0"],
+    "CC-BY-NC-4.0 notice": ["CC BY-NC 4.0"],
+    "CC-BY-NC-SA-4.0 short notice": ["CC BY-NC-SA 4.0"],
+    "CC-BY-NC-ND-4.0 short notice": ["CC BY-NC-ND 4.0"],
+    "CC-BY-4.0 notice": ["Creative Commons Attribution 4.0"],
+    "CC-BY-SA-4.0 notice": ["Creative Commons Attribution-ShareAlike 4.0"],
+    "CC-BY-NC-4.0 long notice": ["Creative Commons Attribution-NonCommercial 4.0"],
 }
 
+# Templates of different licenses that have most words in common.
+SIBLINGS = [
+    {name for name in TEMPLATES if "CC BY" in TEMPLATES[name]},
+    {name for name in TEMPLATES if "Creative Commons" in TEMPLATES[name]},
+    {"GPL-2.0 notice", "GPL-3.0 notice", "LGPL-2.1 notice", "LGPL-3.0 notice", "AGPL-3.0 notice"},
+    {"MIT notice", "BSD notice"},
+]
+
 REPORTS = StructType(
     [
         StructField("doc_id", LongType()),
@@ -107,6 +159,8 @@ class Index:
     def __init__(self, templates: dict[str, str], gram: int, window: int):
         self.names = sorted(templates)
         self.gram = gram
+        self.keys = [[Words([k.encode()]).hash for k in KEYS.get(name, ())] for name in self.names]
+        self.family = [next((f for f, s in enumerate(SIBLINGS) if name in s), None) for name in self.names]
         self.words, prints, of, place = [], [], [], []
         for k, name in enumerate(self.names):
             words = Words([templates[name].encode()]).hash
@@ -163,6 +217,25 @@ def align(template: np.ndarray, words: np.ndarray, low: int, high: int) -> tuple
     return int(best[top]), int(begin[top]), int(end[top])
 
 
+def has_run(words: np.ndarray, run: np.ndarray) -> bool:
+    """Do the words of `run` stand among `words`, next to each other and in order?"""
+    if len(words) < len(run):
+        return False
+    return bool((np.lib.stride_tricks.sliding_window_view(words, len(run)) == run).all(axis=1).any())
+
+
+def best_siblings(index: Index, found: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, int]]:
+    """Without the reports that overlap a better covered one of a sibling template."""
+    kept: list[tuple[int, int, int, int]] = []
+    for report in sorted(found, key=lambda r: (-r[1] / len(index.words[r[0]]), -r[1], r[2], r[0])):
+        template, _, first, last = report
+        family = index.family[template]
+        rivals = [r for r in kept if family is not None and index.family[r[0]] == family and r[0] != template]
+        if all(last < r[2] or first > r[3] for r in rivals):
+            kept.append(report)
+    return sorted(kept, key=lambda r: (r[0], r[2]))
+
+
 def scan_words(index: Index, words: np.ndarray, band: int, least: float) -> list[tuple[int, int, int, int]]:
     """(template, matched, first word, last word) of a document's reports."""
     diagonals: dict[int, set[int]] = defaultdict(set)
@@ -180,7 +253,7 @@ def scan_words(index: Index, words: np.ndarray, band: int, least: float) -> list
                 group.append(d)
                 continue
             matched, first, last = align(mine, words, group[0] - near, group[-1] + near)
-            if matched >= least * len(mine):
+            if matched >= least * len(mine) and all(has_run(words[first : last + 1], k) for k in index.keys[template]):
                 reports.append((matched, first, last))
             group = [d]
         taken: list[tuple[int, int, int]] = []
@@ -188,7 +261,7 @@ def scan_words(index: Index, words: np.ndarray, band: int, least: float) -> list
             if all(last < f or first > g for _, f, g in taken):
                 taken.append((matched, first, last))
         found.extend((template, *r) for r in sorted(taken, key=lambda r: r[1]))
-    return found
+    return best_siblings(index, found)
 
 
 def scan(
