@@ -5,7 +5,8 @@ every `WINDOW` neighbours the smallest is kept) into an inverted index: fingerpr
 place. A document's runs are looked up in the index, all of them, so that any stretch of GRAM +
 WINDOW - 1 words of a template is found. Each look-up votes for a template at a diagonal (where in
 the document the template would begin); votes close to each other are one candidate. A candidate's
-words are aligned with the template's within a band around the diagonal. The report has the share of
+words are aligned with the template's within a band around the diagonal, if enough of the
+template's words stand within the band at all, which spares the texts of thousands of words most alignments. The report has the share of
 the template's words that the alignment matches, and the span of the original text.
 
 Licenses differ from each other in few words. The phrases that tell a template from its siblings (`KEYS`:
@@ -21,6 +22,8 @@ words (a notice and the header that it begins) and are all reported. Repeated ro
 
 from __future__ import annotations
 
+import json
+import pkgutil
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -93,9 +96,26 @@ TEMPLATES = {
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"
     ),
 }
+TEMPLATES |= json.loads(pkgutil.get_data(__package__, "license_texts.json"))
 
 # What has to stand in a report's span word for word.
 KEYS = {
+    "0BSD": ["is hereby granted. The software is provided"],  # not in ISC
+    "MIT-0": ["furnished to do so. The software is provided"],  # not in MIT
+    "BSD-3-Clause": ["endorse or promote products derived from this software"],
+    "Apache-2.0 text": ["Apache License, Version 2.0"],
+    "GPL-1.0 text": ["Version 1, February 1989"],
+    "GPL-2.0 text": ["Version 2, June 1991"],
+    "GPL-3.0 text": ["Use with the GNU Affero General Public License"],  # not in AGPL-3.0
+    "LGPL-2.0 text": ["GNU Library General Public License"],
+    "LGPL-2.1 text": ["GNU Lesser General Public License"],
+    "GFDL-1.2 text": ["Version 1.2, November 2002"],
+    "GFDL-1.3 text": ["Version 1.3, 3 November 2008"],
+    "GPL-2.0 header": ["GNU General Public License", "version 2 of the License"],
+    "LGPL-2.1 header": ["GNU Lesser General Public License", "version 2.1 of the License"],
+    "LGPL-3.0 header": ["GNU Lesser General Public License", "version 3 of the License"],
+    "AGPL-3.0 header": ["GNU Affero General Public License", "version 3 of the License"],
+    "MPL-2.0 header": ["Mozilla Public License, v. 2.0"],
     "Apache-2.0 notice": ["Apache License, Version 2.0"],
     "Apache-2.0 header": ["Apache License, Version 2.0"],
     "MIT notice": ["MIT License"],
@@ -125,6 +145,12 @@ SIBLINGS = [
     {name for name in TEMPLATES if "Creative Commons" in TEMPLATES[name]},
     {"GPL-2.0 notice", "GPL-3.0 notice", "LGPL-2.1 notice", "LGPL-3.0 notice", "AGPL-3.0 notice"},
     {"MIT notice", "BSD notice"},
+    {"GPL-2.0 header", "GPL-3.0 header", "LGPL-2.1 header", "LGPL-3.0 header", "AGPL-3.0 header"},
+    {"LGPL-2.0 text", "LGPL-2.1 text"},
+    {"GFDL-1.2 text", "GFDL-1.3 text"},
+    {"BSD-2-Clause", "BSD-3-Clause"},
+    {"MIT", "MIT-0"},
+    {"ISC", "0BSD"},
 ]
 
 REPORTS = StructType(
@@ -202,17 +228,17 @@ def align(template: np.ndarray, words: np.ndarray, low: int, high: int) -> tuple
         hit = np.zeros(width, bool)
         hit[inside] = words[at[inside]] == template[i]
         # One template word further on the same diagonal, or left out from the next one up.
-        skip = np.r_[best[1:], -1]
+        skip = np.append(best[1:], -1)
         stay = np.where(hit, best + 1, best)
         from_up = skip > stay
         new_begin = np.where(hit & (begin < 0), at, begin)
         new_end = np.where(hit, at, end)
-        up_begin, up_end = np.r_[begin[1:], -1], np.r_[end[1:], -1]
+        up_begin, up_end = np.append(begin[1:], -1), np.append(end[1:], -1)
         best, begin, end = np.where(from_up, skip, stay), np.where(from_up, up_begin, new_begin), np.where(from_up, up_end, new_end)
         # Words put into the document: carry the best from lower diagonals upwards.
-        for d in range(1, width):
-            if best[d - 1] > best[d]:
-                best[d], begin[d], end[d] = best[d - 1], begin[d - 1], end[d - 1]
+        top = np.maximum.accumulate(best)
+        source = np.maximum.accumulate(np.where(best == top, np.arange(width), 0))
+        best, begin, end = top, begin[source], end[source]
     top = int(best.argmax())
     return int(best[top]), int(begin[top]), int(end[top])
 
@@ -236,6 +262,15 @@ def best_siblings(index: Index, found: list[tuple[int, int, int, int]]) -> list[
     return sorted(kept, key=lambda r: (r[0], r[2]))
 
 
+def may_reach(template: np.ndarray, words: np.ndarray, low: int, high: int, least: float) -> bool:
+    """Do enough of the template's words, each taken alone, stand within the band that `align` looks at?"""
+    if min(high + len(template), len(words)) - max(low, 0) < least * len(template):
+        return False
+    at = np.arange(len(template))[:, None] + np.arange(low, high + 1)
+    hit = (at >= 0) & (at < len(words)) & (words[np.clip(at, 0, len(words) - 1)] == template[:, None])
+    return hit.any(axis=1).sum() >= least * len(template)
+
+
 def scan_words(index: Index, words: np.ndarray, band: int, least: float) -> list[tuple[int, int, int, int]]:
     """(template, matched, first word, last word) of a document's reports."""
     diagonals: dict[int, set[int]] = defaultdict(set)
@@ -252,10 +287,13 @@ def scan_words(index: Index, words: np.ndarray, band: int, least: float) -> list
             if d is not None and d - group[-1] <= near and d - group[0] <= 4 * near:
                 group.append(d)
                 continue
-            matched, first, last = align(mine, words, group[0] - near, group[-1] + near)
+            low, high = group[0] - near, group[-1] + near
+            group = [d]
+            if not may_reach(mine, words, low, high, least):
+                continue
+            matched, first, last = align(mine, words, low, high)
             if matched >= least * len(mine) and all(has_run(words[first : last + 1], k) for k in index.keys[template]):
                 reports.append((matched, first, last))
-            group = [d]
         taken: list[tuple[int, int, int]] = []
         for matched, first, last in sorted(reports, key=lambda r: (-r[0], r[1])):
             if all(last < f or first > g for _, f, g in taken):
