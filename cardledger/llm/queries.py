@@ -11,6 +11,7 @@ from cardledger.llm import (
     line_dedup,
     ngram_jaccard_join,
     packing,
+    periodic_runs,
     quality_rules,
     sharding,
     suffix_array_dedup,
@@ -95,6 +96,11 @@ def op10_suffix_array_dedup(spark, d):
     return suffix_array_dedup.without_repeats(table(spark, d, "documents"), digest=True)
 
 
+def op11_periodic_runs(spark, d):
+    """Per document: its periodic runs, and the digest of its text with each run collapsed."""
+    return periodic_runs.digest(periodic_runs.find(periodic_runs.with_planted(table(spark, d, "documents"))))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -108,6 +114,7 @@ QUERIES = {
         op8_line_dedup,
         op9_quality_rules,
         op10_suffix_array_dedup,
+        op11_periodic_runs,
     )
 }
 
