@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cardledger.llm import (
     decontamination,
+    hard_negatives,
     html_extraction,
     license_scans,
     line_dedup,
@@ -101,6 +102,12 @@ def op11_periodic_runs(spark, d):
     return periodic_runs.digest(periodic_runs.find(periodic_runs.with_planted(table(spark, d, "documents"))))
 
 
+def op12_hard_negatives(spark, d):
+    """For each anchor and positive, the best rows of another label in the window below the positive."""
+    vectors = hard_negatives.labelled_vectors(table(spark, d, "embeddings"))
+    return hard_negatives.mine(vectors, F.col("vec_id") % 50 == 0)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -115,6 +122,7 @@ QUERIES = {
         op9_quality_rules,
         op10_suffix_array_dedup,
         op11_periodic_runs,
+        op12_hard_negatives,
     )
 }
 
@@ -152,4 +160,25 @@ left join fitting f on f.page_id = s.page_id and f.host = s.host and f.path = s.
 left join mirrors m on m.address = s.host || s.path
 """
 
-ORACLE: dict[str, str] = {"op2_url_filters": OP2_SQL}
+OP12_SQL = """
+with usable as (
+  select vec_id, cast(case when vec_id % 7 = 0 then (label + 1) % 10 else label end as bigint) label,
+    list_transform(embedding, x -> floor(256 * x::double)) v
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+    and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0),
+scored as (
+  select a.vec_id anchor_id, b.vec_id, a.label = b.label same, cast(list_inner_product(a.v, b.v) as bigint) score
+  from usable a, usable b where a.vec_id % 50 = 0 and a.vec_id <> b.vec_id),
+positives as (
+  select anchor_id, vec_id positive_id, score positive_score from scored where same
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5)
+select p.anchor_id, p.positive_id,
+  cast(row_number() over (partition by p.anchor_id, p.positive_id order by n.score desc, n.vec_id) as integer) "rank",
+  n.vec_id negative_id, p.positive_score, n.score negative_score
+from positives p join scored n on n.anchor_id = p.anchor_id and not n.same
+  and 50 * p.positive_score <= 100 * n.score and 100 * n.score <= 95 * p.positive_score
+qualify row_number() over (partition by p.anchor_id, p.positive_id order by n.score desc, n.vec_id) <= 3
+"""
+
+ORACLE: dict[str, str] = {"op2_url_filters": OP2_SQL, "op12_hard_negatives": OP12_SQL}
