@@ -160,13 +160,53 @@ left join fitting f on f.page_id = s.page_id and f.host = s.host and f.path = s.
 left join mirrors m on m.address = s.host || s.path
 """
 
+OP11_SQL = r"""
+with texts as (
+  select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') w,
+    xor(4294967295, list_reduce(
+      list_transform(string_split(cast(doc_id as varchar), ''), lambda c: cast(ascii(c) as bigint)),
+      lambda crc, byte: list_reduce(range(8),
+        lambda c, k: xor(c >> 1, case when c & 1 = 1 then 3988292384 else 0 end), xor(crc, byte)),
+      cast(4294967295 as bigint))) h
+  from documents),
+sized as (select *, cast(len(w) as bigint) n, h // 10 g from texts),
+planted as (select *, g % greatest(n, 1) a, 1 + (n - g % greatest(n, 1)) // (3 + g % 8) p from sized),
+words as (
+  select doc_id, n, i, w[1 + case when h % 10 = 0 and i >= a then a + (i - a) % p else i end] word
+  from (select *, unnest(range(n)) i from planted)),
+equal_words as (
+  select x.doc_id, y.i - x.i q, x.i from words x join words y
+    on x.doc_id = y.doc_id and x.word = y.word and y.i > x.i and 4 * (y.i - x.i) <= x.n),
+islands as (select *, i - row_number() over (partition by doc_id, q order by i) island from equal_words),
+stretches as (
+  select doc_id, min(i) "start", count(*) + q length, q period from islands group by doc_id, q, island
+  having count(*) + q >= greatest(6, 4 * q)),
+runs as (
+  select * from stretches
+  qualify row_number() over (partition by doc_id, "start", length order by period) = 1),
+best as (
+  select * from runs
+  qualify row_number() over (partition by doc_id
+    order by cast(length as decimal(18, 0)) / period desc, "start", period) = 1),
+listed as (
+  select doc_id, count(*) n_runs, string_agg("start" || ',' || length || ',' || period || chr(10), '' order by "start", period) t
+  from runs group by doc_id),
+dropped as (select distinct doc_id, unnest(range("start" + period, "start" + length)) i from runs),
+kept as (
+  select w.doc_id, string_agg(w.word, ' ' order by w.i) t from words w
+  left join dropped d on d.doc_id = w.doc_id and d.i = w.i where d.i is null group by w.doc_id)
+select d.doc_id, coalesce(l.n_runs, 0) n_runs, b."start", b.length, b.period,
+  1000 * b.length // b.period exponent_milli, sha256(coalesce(l.t, '')) runs_sha256, sha256(coalesce(k.t, '')) collapsed_sha256
+from texts d left join listed l on l.doc_id = d.doc_id left join best b on b.doc_id = d.doc_id left join kept k on k.doc_id = d.doc_id
+"""
+
 OP12_SQL = """
 with usable as (
   select vec_id, cast(case when vec_id % 7 = 0 then (label + 1) % 10 else label end as bigint) label,
-    list_transform(embedding, x -> floor(256 * x::double)) v
+    list_transform(embedding, lambda x: floor(256 * x::double)) v
   from embeddings
   where vec_id is not null and label is not null and embedding is not null
-    and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0),
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
 scored as (
   select a.vec_id anchor_id, b.vec_id, a.label = b.label same, cast(list_inner_product(a.v, b.v) as bigint) score
   from usable a, usable b where a.vec_id % 50 = 0 and a.vec_id <> b.vec_id),
@@ -181,4 +221,4 @@ from positives p join scored n on n.anchor_id = p.anchor_id and not n.same
 qualify row_number() over (partition by p.anchor_id, p.positive_id order by n.score desc, n.vec_id) <= 3
 """
 
-ORACLE: dict[str, str] = {"op2_url_filters": OP2_SQL, "op12_hard_negatives": OP12_SQL}
+ORACLE: dict[str, str] = {"op2_url_filters": OP2_SQL, "op11_periodic_runs": OP11_SQL, "op12_hard_negatives": OP12_SQL}
