@@ -15,6 +15,7 @@ from cardledger.llm import (
     periodic_runs,
     quality_rules,
     sharding,
+    substring_dedup,
     suffix_array_dedup,
     url_filters,
 )
@@ -108,6 +109,11 @@ def op12_hard_negatives(spark, d):
     return hard_negatives.mine(vectors, F.col("vec_id") % 50 == 0)
 
 
+def op13_substring_dedup(spark, d):
+    """Per document: its words, those removed, and the digest of the words that are left."""
+    return substring_dedup.digest(substring_dedup.without_repeats(table(spark, d, "documents")))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -123,6 +129,7 @@ QUERIES = {
         op10_suffix_array_dedup,
         op11_periodic_runs,
         op12_hard_negatives,
+        op13_substring_dedup,
     )
 }
 
@@ -221,4 +228,32 @@ from positives p join scored n on n.anchor_id = p.anchor_id and not n.same
 qualify row_number() over (partition by p.anchor_id, p.positive_id order by n.score desc, n.vec_id) <= 3
 """
 
-ORACLE: dict[str, str] = {"op2_url_filters": OP2_SQL, "op11_periodic_runs": OP11_SQL, "op12_hard_negatives": OP12_SQL}
+OP13_SQL = r"""
+with texts as (
+  select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') w from documents),
+words as (select doc_id, unnest(w) word, unnest(range(len(w))) i from texts),
+of_2 as (select *, word || ' ' || lead(word) over doc w2 from words window doc as (partition by doc_id order by i)),
+of_4 as (select *, w2 || ' ' || lead(w2, 2) over doc w4 from of_2 window doc as (partition by doc_id order by i)),
+of_8 as (select *, w4 || ' ' || lead(w4, 4) over doc w8 from of_4 window doc as (partition by doc_id order by i)),
+of_20 as (
+  select doc_id, i, word, w8 || ' ' || lead(w8, 8) over doc || ' ' || lead(w4, 16) over doc w20
+  from of_8 window doc as (partition by doc_id order by i)),
+windows as (
+  select doc_id, i, word, w20 is not null and row_number() over (partition by w20 order by doc_id, i) > 1 again from of_20),
+marked as (
+  select doc_id, word, i,
+    bool_or(again) over (partition by doc_id order by i rows between 19 preceding and current row) gone
+  from windows),
+kept as (
+  select doc_id, count(*) filter (gone) n_removed, string_agg(word, ' ' order by i) filter (not gone) t
+  from marked group by doc_id)
+select t.doc_id, cast(len(t.w) as bigint) n_words, coalesce(k.n_removed, 0) n_removed, sha256(coalesce(k.t, '')) kept_sha256
+from texts t left join kept k on k.doc_id = t.doc_id
+"""
+
+ORACLE: dict[str, str] = {
+    "op2_url_filters": OP2_SQL,
+    "op11_periodic_runs": OP11_SQL,
+    "op12_hard_negatives": OP12_SQL,
+    "op13_substring_dedup": OP13_SQL,
+}
