@@ -1,25 +1,28 @@
 """Removal of word windows that occur earlier, by recompression.
 
-Each document's words are rewritten in rounds: maximal runs of a symbol become one symbol, then
-neighbours (x, y) with x in one half of the alphabet and y in the other become one, twice. A symbol's name
-is a hash of the words that it stands for and the halves are read off the name, so that all tasks, and
-all documents, name the same runs and pairs alike, with nothing exchanged. Equal stretches of words are
-therefore rewritten alike but for symbols that reach over their borders: on both sides at most the outer
-run, and the outer symbol where its half may pair it with what lies outside. What is left after taking
-these off is the window's core, a function of its words alone. Of all symbols in the cores of a window,
-over all rounds, the one that stands for the most words (then by hash, then the last) is its anchor. Equal
+Each document's words are rewritten in steps: first maximal runs of a word become one symbol, then, in
+each step, neighbours (x, y) with x in one half of the alphabet and y in the other become one. A symbol's
+name is a hash of the words that it stands for and the halves are read off the name, so that all tasks,
+and all documents, name the same runs and pairs alike, with nothing exchanged. Equal stretches of words
+are therefore rewritten alike but for symbols that reach over their borders: on both sides at most the
+outer run, and in each step the outer symbol where its half may pair it with what lies outside. What is
+left after taking these off is the window's core, a function of its words alone. Of the symbols in its
+last cores the one that stands for the most words (then by hash, then the last) is its anchor. Equal
 windows have equal anchors at equal places; neighbouring windows mostly share one. A window all of which
-is taken off in the first round (two runs, or little more) is its own anchor.
+is taken off (two runs, or little more) is its own anchor.
 
-So Spark compares anchors, of which there is about one per seven words, and not windows. Anchors whose
-name occurs once are done. Of the others, those with equal words in all windows that they stand for are
-one class: all but its first member are repeats as a whole. Only where a name has several classes, the
-windows of one member of each are compared one by one, and the first of each window stays. Longer
-repeats, down to whole copies, are removed by class, with one row per anchor.
+So Spark compares anchors, of which there is about one per six words, and not windows. They are dealt by
+name, once. Anchors whose name occurs once are done. Of the others, those with equal words in all windows
+that they stand for are one class: all but its first member are repeats as a whole. Only where a name has
+several classes, the windows of one member of each are compared one by one, and the first of each window
+stays. Longer repeats, down to whole copies, are found by class, with one row per anchor.
+
+Hot names: equal anchors in the texts that a task works on together are settled there, and neighbouring
+ones that are repeats become one row, so that of many copies few rows are dealt. The rest of a name is
+sorted by Spark, with spilling, and never collected.
 
 Stretches are compared by two 64-bit hashes over names of words, which are halves of a cryptographic
-digest; no text is collected per name. A name may have any number of anchors: they are counted before the
-shuffle, and joined with one row per name or class, where Spark splits a hot one over tasks.
+digest: the anchor's name by one, the words of all its windows by the other.
 
 A word is removed if any window that covers it has its words also at an earlier place: in a document with
 a smaller id, or in an earlier row of the same id, or earlier in the same document. Windows are judged
@@ -36,8 +39,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import StructType
+import pyarrow.compute
+from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql.types import BooleanType, IntegerType, LongType, StructField, StructType
 
 from cardledger.llm.ngram_jaccard_join import numbered
 from cardledger.llm.plain_words import GROUP_BYTES, PlainWords
@@ -45,7 +49,8 @@ from cardledger.llm.texts import Prefix, as_bytes, groups, mix
 from cardledger.sources.scratch import saved
 
 WIDTH = 20  # words in a window
-ROUNDS = 3  # in each: runs, pairs, pairs; then the cores of windows of 20 words are mostly used up
+PAIRS = 4  # steps of pairs after that of runs: then symbols stand for three words on average
+LAST = 2  # so many of the last steps give anchors
 
 
 class Symbols:
@@ -106,25 +111,25 @@ def window_starts(words: PlainWords, width: int) -> np.ndarray:
     return np.repeat(words.first[:-1] - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
 
 
-def anchors_of(words: PlainWords, width: int, rounds: int = ROUNDS) -> tuple[np.ndarray, ...]:
-    """(key, c1, c2, first, count): per anchor its name, two hashes of the words of all its windows, and
-    these windows, which are neighbours: `count` of them from word `first` on."""
+def anchors_of(words: PlainWords, width: int, pairs: int = PAIRS) -> tuple[np.ndarray, ...]:
+    """(key, words, first, count): per anchor its name, a hash of the words of all its windows, and these
+    windows, which are neighbours: `count` of them from word `first` on."""
     at = window_starts(words, width)
     if not len(at):
         none = np.zeros(0, np.int64)
-        return none, none, none, none, none
+        return none, none, none, none
     one, two = (Prefix(n) for n in words.names())
     symbols = Symbols(one, words.owner())
     start, end = at.copy(), at + width  # of each window's anchor
     rank = np.zeros(len(at), np.uint64)
     alive, lo, hi = np.arange(len(at)), at, at + width
-    for step in range(3 * rounds):
-        lo, hi = symbols.pairs(lo, hi, step) if step % 3 else symbols.runs(lo, hi)
+    for step in range(pairs + 1):
+        lo, hi = symbols.pairs(lo, hi, step) if step else symbols.runs(lo, hi)
         left = np.flatnonzero(lo < hi)
         alive, lo, hi = alive[left], lo[left], hi[left]
         if not len(alive):
             break
-        if step % 3:
+        if step > pairs - LAST:
             best, its_rank = symbols.longest(lo, hi)
             better = its_rank >= rank[alive]
             which, best = alive[better], best[better]
@@ -133,90 +138,129 @@ def anchors_of(words: PlainWords, width: int, rounds: int = ROUNDS) -> tuple[np.
     begin = np.flatnonzero(fresh)
     count = np.diff(np.r_[begin, len(at)])
     first = at[begin]
-    stretch = first + count - 1 + width
-    return one.hashes(start[begin], end[begin]), one.hashes(first, stretch), two.hashes(first, stretch), first, count
+    return one.hashes(start[begin], end[begin]), two.hashes(first, first + count - 1 + width), first, count
+
+
+def settled(key: np.ndarray, more: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Which rows have an equal one (key, more) at an earlier place."""
+    order = np.lexsort((place, more, key))
+    again = (key[order][1:] == key[order][:-1]) & (more[order][1:] == more[order][:-1])
+    out = np.zeros(len(key), bool)
+    out[order[1:]] = again
+    return out
+
+
+class _Group:
+    """Documents worked on together, and rows about their words as a batch of `SCHEMA`."""
+
+    def __init__(self, batch: pa.RecordBatch, begin: int, texts: list[bytes]):
+        self.doc_id, self.row = (batch[c].slice(begin, len(texts)) for c in ("doc_id", "row"))
+        self.words = PlainWords(texts)
+        order = pa.table({"doc_id": self.doc_id, "row": self.row})
+        places = pa.compute.sort_indices(
+            order, sort_keys=[("doc_id", "ascending"), ("row", "ascending")], null_placement="at_start"
+        ).to_numpy()
+        self.turn = np.empty(len(texts), np.int64)  # the document's place among these
+        self.turn[places] = np.arange(len(texts))
+
+    def batch(self, key: np.ndarray, more: np.ndarray, first: np.ndarray, count: np.ndarray) -> pa.RecordBatch:
+        """Rows of windows from word `first` on (counted over the group), one per key and `more`; the
+        later ones of a key are `known` to be repeats, and neighbours among them become one row."""
+        owner = np.searchsorted(self.words.first, first, "right") - 1
+        longest = int(np.diff(self.words.first).max(initial=0)) + 1
+        own = first - self.words.first[owner]
+        known = settled(key, more, self.turn[owner] * longest + own)
+        rows = np.flatnonzero(~known)
+        again = np.flatnonzero(known)
+        a, n = first[again], count[again]
+        begin = np.flatnonzero(np.r_[True, (a[1:] != a[:-1] + n[:-1]) | (owner[again][1:] != owner[again][:-1])][: len(a)])
+        total = np.add.reduceat(n, begin) if len(begin) else n
+        again = again[begin]
+        chosen = np.r_[rows, again]
+        # Rows that are known to be repeats need no key; they are dealt by place.
+        deal = np.r_[key[rows], mix(first[again].astype(np.uint64))]
+        which = pa.array(owner[chosen])
+        return pa.RecordBatch.from_arrays(
+            [
+                self.doc_id.take(which),
+                self.row.take(which),
+                pa.array(deal.view(np.int64)),
+                pa.array(np.r_[more[rows], np.zeros(len(again), np.uint64)].view(np.int64)),
+                pa.array(own[chosen].astype(np.int32)),
+                pa.array(np.r_[count[rows], total].astype(np.int32)),
+                pa.array(np.r_[np.zeros(len(rows), bool), np.ones(len(again), bool)]),
+            ],
+            names=SCHEMA.names,
+        )
+
+
+SCHEMA = StructType(
+    [
+        StructField("doc_id", LongType()),
+        StructField("row", LongType()),
+        StructField("key", LongType()),
+        StructField("more", LongType()),
+        StructField("first", IntegerType()),
+        StructField("count", IntegerType()),
+        StructField("known", BooleanType()),
+    ]
+)
 
 
 def anchor_table(docs: DataFrame, width: int) -> DataFrame:
-    """The anchors of all documents (row, doc_id, text), `first` counted within the document."""
-    schema = StructType([docs.schema["doc_id"]])
-    for name, kind in (("row", "long"), ("key", "long"), ("c1", "long"), ("c2", "long"), ("first", "integer"), ("count", "integer")):
-        schema.add(name, kind)
+    """SCHEMA: the anchors of all documents (row, doc_id, text); `first` counts within the document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for begin, group in groups(as_bytes(batch["text"]), GROUP_BYTES):
-                words = PlainWords(group)
-                *hashes, first, count = anchors_of(words, width)
-                owner = np.searchsorted(words.first, first, "right") - 1
-                columns = [batch[c].take(pa.array(owner + begin)) for c in ("doc_id", "row")]
-                columns += [pa.array(h.view(np.int64)) for h in hashes]
-                columns += [pa.array(x.astype(np.int32)) for x in (first - words.first[owner], count)]
-                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+            for begin, texts in groups(as_bytes(batch["text"]), GROUP_BYTES):
+                group = _Group(batch, begin, texts)
+                yield group.batch(*anchors_of(group.words, width))
 
-    return docs.select("doc_id", "row", "text").mapInArrow(run, schema)
+    return docs.select("doc_id", "row", "text").mapInArrow(run, SCHEMA)
 
 
 def window_table(docs: DataFrame, width: int) -> DataFrame:
-    """(doc_id, row, w1, w2, first): the windows that are listed per document in `anchors` (first, count)."""
-    schema = StructType([docs.schema["doc_id"]])
-    for name, kind in (("row", "long"), ("w1", "long"), ("w2", "long"), ("first", "integer")):
-        schema.add(name, kind)
+    """SCHEMA: the windows that are listed per document in `anchors` (first, count), one by one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for begin, group in groups(as_bytes(batch["text"]), GROUP_BYTES):
-                words = PlainWords(group)
-                listed = batch["anchors"].slice(begin, len(group))
+            for begin, texts in groups(as_bytes(batch["text"]), GROUP_BYTES):
+                group = _Group(batch, begin, texts)
+                listed = batch["anchors"].slice(begin, len(texts))
                 flat = listed.flatten()
-                owner = np.repeat(np.arange(len(group)), listed.value_lengths().to_numpy())
+                owner = np.repeat(np.arange(len(texts)), listed.value_lengths().to_numpy())
                 first, count = (flat.field(c).to_numpy().astype(np.int64) for c in ("first", "count"))
-                at = np.repeat(first - np.cumsum(count) + count, count) + np.arange(int(count.sum()))
-                owner = np.repeat(owner, count)
-                place = at + words.first[owner]
-                columns = [batch[c].take(pa.array(owner + begin)) for c in ("doc_id", "row")]
-                for names in words.names():
-                    columns.append(pa.array(Prefix(names).hashes(place, place + width).view(np.int64)))
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(at.astype(np.int32))], names=schema.names)
+                first = first + group.words.first[owner]
+                at = np.sort(np.repeat(first - np.cumsum(count) + count, count) + np.arange(int(count.sum())))
+                hashes = [Prefix(names).hashes(at, at + width) for names in group.words.names()]
+                yield group.batch(*hashes, at, np.ones(len(at), np.int64))
 
-    return docs.select("doc_id", "row", "text", "anchors").mapInArrow(run, schema)
+    return docs.select("doc_id", "row", "text", "anchors").mapInArrow(run, SCHEMA)
 
 
-def _place() -> Column:
-    """The order in which windows come."""
-    return F.struct("doc_id", "row", "first")
+def _place() -> Window:
+    return Window.partitionBy("key", "more", "known").orderBy("doc_id", "row", "first")
 
 
 def repeated_windows(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """(row, first, count): windows of documents (row, doc_id, text) that occur earlier, `count` from `first` on."""
-    anchors = saved(anchor_table(docs, width), "anchors")
-    often = anchors.groupBy(F.col("key").alias("_key")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_key")
-    again = saved(anchors.join(often, F.col("key") == F.col("_key")).drop("_key"), "repeated")
-    classes = again.groupBy("key", "c1", "c2").agg(
-        F.count(F.lit(1)).alias("times"), F.min(_place()).alias("one"), F.min("count").alias("count")
-    )
-    classes = saved(classes, "classes")
-
-    # A class with several members: all of the later ones is repeated.
-    several = classes.where("times > 1").select(*[F.col(c).alias(f"_{c}") for c in ("key", "c1", "c2", "one")])
-    same = [F.col(c) == F.col(f"_{c}") for c in ("key", "c1", "c2")]
-    later = again.join(several, same).where(_place() != F.col("_one")).select("row", "first", "count")
-
-    # A name with several classes: compare windows, of the first member of each class.
-    mixed = classes.groupBy(F.col("key").alias("_key")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_key")
-    listed = (
-        classes.join(mixed, F.col("key") == F.col("_key"))
-        .groupBy(F.col("one.row").alias("_row"))
-        .agg(F.collect_list(F.struct("one.first", "count")).alias("anchors"))  # of one document
+    # One exchange, by name, serves both windows; nothing is sent of names that occur once.
+    dealt = anchor_table(docs, width).repartition("key")
+    by_name = Window.partitionBy("key", "known")
+    placed = dealt.withColumn("_place", F.row_number().over(_place())).withColumn(
+        "_several", F.min("more").over(by_name) < F.max("more").over(by_name)
     )
-    windows = saved(window_table(docs.join(listed, F.col("row") == F.col("_row")), width), "windows")
-    first = windows.groupBy(F.col("w1").alias("_w1"), F.col("w2").alias("_w2")).agg(
-        F.count(F.lit(1)).alias("_n"), F.min(_place()).alias("_one")
+    again = F.col("known") | (F.col("_place") > 1)
+    found = placed.select("row", "first", "count", again.alias("again"), "_several").where("again or _several")
+    found = saved(found.drop("_several"), "anchors")
+
+    # A name with several classes: the windows of the first member of each class.
+    listed = found.where("not again").groupBy(F.col("row").alias("_row")).agg(
+        F.collect_list(F.struct("first", "count")).alias("anchors")  # of one document
     )
-    first = first.where("_n > 1")
-    found = windows.join(first, (F.col("w1") == F.col("_w1")) & (F.col("w2") == F.col("_w2")))
-    found = found.where(_place() != F.col("_one")).select("row", "first", F.lit(1).alias("count"))
-    return later.union(found)
+    windows = window_table(docs.join(listed, F.col("row") == F.col("_row")), width).repartition("key")
+    later = windows.withColumn("_place", F.row_number().over(_place())).where(F.col("known") | (F.col("_place") > 1))
+    return found.where("again").select("row", "first", "count").union(later.select("row", "first", "count"))
 
 
 def without_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
