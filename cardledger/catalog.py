@@ -21,6 +21,7 @@ from cardledger.plans.whole_run import run_all
 from cardledger.schemas import TABLES, TRANSACTIONS, duplicate_keys
 from cardledger.sources import messages, tables
 from cardledger.sources.scratch import saved, scratch_path
+from cardledger.streaming.table_state import SpeedLayer
 from cardledger.streaming.speed import authorize_stream, run_available, stream_aside
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +35,9 @@ SMALL_HOT_ROWS = 2500
 # Buckets of cards that a stream keeps its state in.
 STREAM_BUCKETS = 256
 
+# Ids in a folder of the speed layer's tables: those of ten thousand orders.
+STREAM_ID_RANGE = 10**10
+
 
 def _joined(spark: SparkSession, d: str) -> DataFrame:
     tx = roles.transactions(spark, d)
@@ -326,11 +330,14 @@ def quarantine(spark, d):
 def _sent(spark, d, order=None):
     """All transactions as messages, then the refunds again with another amount."""
     path = scratch_path(spark, "messages")
-    tx = roles.transactions(spark, d)
+    _send(roles.transactions(spark, d), path, order)
+    return messages.read_files(spark, path)
+
+
+def _send(tx, path, order=None):
     again = tx.filter(F.col("transaction_type") == "refund").withColumn("amount", F.col("amount") - 1)
     messages.save_messages(tx, path, order=order)
     messages.save_messages(again, path, wave=1, order=order)
-    return messages.read_files(spark, path)
 
 
 def _streamed(spark, d, running_limit, order=None):
@@ -363,6 +370,53 @@ def stream_merged(spark, d):
     )
 
 
+def _scattered(spark, path, files=2):
+    """The messages in other files, so that a card's messages lie in all of them, in no order."""
+    schema = f"key string, value string, {messages.ARRIVAL} long, {messages.PREVIOUS} long"
+    other = scratch_path(spark, "scattered")
+    spark.read.schema(schema).parquet(path).repartition(files).write.parquet(other)
+    return messages.read_files(spark, other, per_trigger=1, linked=True)
+
+
+def stream_hot_card(spark, d):
+    """A card with a third of all messages, over several files and triggers, folded in chunks."""
+    path = scratch_path(spark, "messages")
+    messages.save_messages(roles.corporate_transactions(spark, d), path)
+    profiles = saved(card_profiles(roles.corporate_cards(spark, d), roles.customers(spark, d)), "profiles")
+    layer = SpeedLayer(
+        spark, scratch_path(spark, "speed"), profiles, True, hot_rows=SMALL_HOT_ROWS, id_range=STREAM_ID_RANGE
+    )
+    layer.run(_scattered(spark, path), scratch_path(spark, "checkpoint"))
+    layer.reconcile(messages.n_sent(spark, path))
+    return layer.updates()
+
+
+def stream_table(spark, d):
+    """All transactions, which the stream itself lays its results over; refunds are sent twice."""
+    tx, path = roles.transactions(spark, d), scratch_path(spark, "messages")
+    _send(tx, path)
+    profiles = saved(card_profiles(roles.cards(spark, d), roles.customers(spark, d)), "profiles")
+    layer = SpeedLayer(spark, scratch_path(spark, "speed"), profiles, id_range=STREAM_ID_RANGE)
+    layer.start(tx)
+    layer.run(_scattered(spark, path), scratch_path(spark, "checkpoint"))
+    layer.reconcile(messages.n_sent(spark, path))
+    return layer.merged().select(
+        "transaction_id", "card_id", "timestamp", "amount", "location", "pending_balance", "status"
+    )
+
+
+def stream_counts(spark, d):
+    """The speed layer's own account of a run: messages got, copies, set aside, and verdicts."""
+    tx, path = roles.transactions(spark, d), scratch_path(spark, "messages")
+    damaged = F.when(F.col("transaction_id") % 11 != 0, F.col("amount"))
+    _send(tx.withColumn("amount", damaged), path)
+    profiles = saved(card_profiles(roles.cards(spark, d), roles.customers(spark, d)), "profiles")
+    layer = SpeedLayer(spark, scratch_path(spark, "speed"), profiles, id_range=STREAM_ID_RANGE)
+    layer.run(_scattered(spark, path), scratch_path(spark, "checkpoint"))
+    layer.reconcile(messages.n_sent(spark, path))
+    return layer.ledger.read().agg(*[F.sum(c).alias(f"n_{c}") for c in ("got", "aside", "copies", "checked")])
+
+
 def stream_quarantine(spark, d):
     """Messages with ids and amounts as text, some of which make no sense: what the stream sets aside."""
     path = scratch_path(spark, "messages")
@@ -515,6 +569,9 @@ QUERIES: dict[str, Query] = {
         stream_out_of_order,
         stream_merged,
         stream_quarantine,
+        stream_hot_card,
+        stream_table,
+        stream_counts,
         quarantine,
         whole_run_cards,
         whole_run_customers,

@@ -362,6 +362,17 @@ ORACLE: dict[str, str] = {
         *_BASE, joined(arrival="t.transaction_id % 7"), RULES, RUNNING, RUNNING_OUT, recursive=True
     ),
     "stream_merged": _with(*_UPDATES, STREAM, "select * from stream"),
+    "stream_hot_card": _with(*_HOT, RUNNING, RUNNING_OUT, recursive=True),
+    "stream_table": _with(*_UPDATES, STREAM, "select * from stream"),
+    "stream_counts": _with(
+        TX,
+        """select n + refunds as n_got, unfit + unfit_refunds as n_aside,
+             refunds - unfit_refunds as n_copies, n - unfit as n_checked from (
+           select count(*) as n, count(*) filter (transaction_type = 'refund') as refunds,
+             count(*) filter (transaction_id % 11 = 0) as unfit,
+             count(*) filter (transaction_id % 11 = 0 and transaction_type = 'refund') as unfit_refunds
+           from tx)""",
+    ),
     "stream_quarantine": _with(
         TX,
         """select case when transaction_id % 5 <> 0 then transaction_id end as transaction_id, card_id,

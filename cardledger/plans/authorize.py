@@ -90,7 +90,7 @@ def checked(
     profiles = card_profiles(cards, customers)
     hot = find_hot(transactions, "card_id", hot_rows)
     if hot is None:
-        return _finished(_by_card(enrich(transactions, profiles, None, payload), running_limit, payload), payload)
+        return finished(_by_card(enrich(transactions, profiles, None, payload), running_limit, payload), payload)
 
     ordinary, busy = split(transactions, "card_id", hot)
     done = _by_card(enrich(ordinary, profiles, None, payload), running_limit, payload)
@@ -105,7 +105,7 @@ def checked(
         split_done = running_by_range(
             verdicts(rows, payload), "card_id", ARRIVAL, {"pending_micros": pending_measure()}, n_ranges(hot)
         )
-    return _finished(done, payload).unionByName(_finished(split_done, payload))
+    return finished(done, payload).unionByName(finished(split_done, payload))
 
 
 def authorize(
@@ -180,7 +180,7 @@ def _by_card(enriched: DataFrame, running_limit: bool, payload: Sequence[str]) -
     return fold_by_card(guarded, [*FOLD_KEEPS, *payload], ARRIVAL)
 
 
-def _finished(done: DataFrame, payload: Sequence[str] = ()) -> DataFrame:
+def finished(done: DataFrame, payload: Sequence[str] = ()) -> DataFrame:
     if "total_fails" in done.columns:
         reason = checks.decline_reason(F.col("_before"), F.col("total_fails"), F.col("_after"))
         done = done.withColumns({"decline_reason": reason, "status": checks.status(reason)})
@@ -196,7 +196,7 @@ def _finished(done: DataFrame, payload: Sequence[str] = ()) -> DataFrame:
 
 
 def as_updates(done: DataFrame) -> DataFrame:
-    return _finished(done).select(UPDATE)
+    return finished(done).select(UPDATE)
 
 
 def stream_transactions(transactions: DataFrame, updates: DataFrame) -> DataFrame:

@@ -9,12 +9,14 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType, Tim
 
 from cardledger.functions import fixed
 from cardledger.functions.text import numeric_id, strip_white_space
-from cardledger.operators.hot import find_hot
+from cardledger.operators.hot import find_hot, lookup
 from cardledger.operators.running import Measure, running
 from cardledger.schemas import TRANSACTIONS
 
 # The order in which a card's messages came: the offset in Kafka, a number in files.
 ARRIVAL = "arrival"
+# In files: the arrival of the card's message before this one, 0 for the first. Null: not known.
+PREVIOUS = "previous"
 
 _JSON = {"timestampFormat": fixed.MESSAGE_TIME, "ignoreNullFields": "false"}
 
@@ -92,28 +94,53 @@ def publish_kafka(transactions: DataFrame, servers: str, topic: str = fixed.TOPI
     ).save()
 
 
-def read_files(spark: SparkSession, path: str, per_trigger: int | None = None) -> DataFrame:
-    """A stream of transactions with their `arrival`, from files of messages, oldest file first."""
-    stream = spark.readStream.schema(f"key string, value string, {ARRIVAL} long")
+def read_files(
+    spark: SparkSession, path: str, per_trigger: int | None = None, linked: bool = False
+) -> DataFrame:
+    """A stream of transactions with their `arrival`, from files of messages, oldest file first.
+
+    `linked` adds the message's `key` and `previous`, so that a reader can tell whether messages of the
+    card are still to come from other files.
+    """
+    stream = spark.readStream.schema(f"key string, value string, {ARRIVAL} long, {PREVIOUS} long")
     if per_trigger:
         stream = stream.option("maxFilesPerTrigger", per_trigger)
-    return from_messages(stream.parquet(path), ARRIVAL)
+    return from_messages(stream.parquet(path), ARRIVAL, *(["key", PREVIOUS] if linked else []))
 
 
 def save_messages(
     transactions: DataFrame, path: str, wave: int = 0, order: Sequence[Column] | None = None
 ) -> None:
-    """Append all transactions as messages, in one pass, numbered per card in replay order (or `order`).
+    """Append all transactions as messages, numbered per card in replay order (or `order`).
 
-    A later call has a higher `wave`, so its messages arrive after the earlier ones of the card.
+    A later call has a higher `wave`, so its messages arrive after the earlier ones of the card. How many
+    messages of a card a wave has is kept beside the messages (`_sent`, which readers of the folder do
+    not see), so that the first message of a wave names the last one before it.
     """
+    spark = transactions.sparkSession
     by = {f"_by{i}": c for i, c in enumerate(order or replay_order())}
-    numbered = running(
-        transactions.withColumns(by),
-        "card_id",
-        list(by),
-        {"_number": Measure(F.lit(1))},
-        find_hot(transactions, "card_id"),
+    hot = find_hot(transactions, "card_id")
+    numbered = running(transactions.withColumns(by), "card_id", list(by), {"_number": Measure(F.lit(1))}, hot)
+    if wave:
+        sent = spark.read.schema("card_id long, last long, wave int").parquet(f"{path}/_sent")
+        before = sent.filter(F.col("wave") < wave).groupBy("card_id").agg(F.max("last").alias("_last"))
+        # A null card is a group of its own here, and no key of a join.
+        without = before.filter(F.col("card_id").isNull()).select(F.col("_last").alias("_last_of_null"))
+        numbered = lookup(numbered, before, "card_id", hot).join(F.broadcast(without.limit(1)), F.col("card_id").isNull(), "left")
+        last = F.coalesce("_last", "_last_of_null", F.lit(0).cast("long"))
+    else:
+        last = F.lit(0).cast("long")
+    number, first = F.col("_number"), F.lit(wave << 40)
+    counted = transactions.groupBy("card_id").agg((first + F.count(F.lit(1))).alias("last"))
+    counted.write.mode("overwrite").parquet(f"{path}/_sent/wave={wave}")
+    sent = numbered.withColumns(
+        {ARRIVAL: first + number, PREVIOUS: F.when(number > 1, first + number - 1).otherwise(last)}
     )
-    sent = numbered.withColumn(ARRIVAL, F.lit(wave << 40) + F.col("_number")).drop("_number", *by)
-    to_messages(sent, ARRIVAL).write.mode("append").parquet(path)
+    more = (ARRIVAL, PREVIOUS)
+    to_messages(sent.select(*transactions.columns, *more), *more).write.mode("append").parquet(path)
+
+
+def n_sent(spark: SparkSession, path: str) -> int:
+    """How many messages `save_messages` has written to `path`, by its own count."""
+    sent = spark.read.schema("card_id long, last long, wave long").parquet(f"{path}/_sent")
+    return sent.agg(F.sum(F.col("last") - F.col("wave") * F.lit(1 << 40))).first()[0] or 0
