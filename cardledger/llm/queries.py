@@ -90,8 +90,7 @@ def op8_line_dedup(spark, d):
 
 def op9_quality_rules(spark, d):
     docs = table(spark, d, "documents")
-    models = quality_rules.train(*quality_rules.labelled_rows(docs, table(spark, d, "labels")))
-    return quality_rules.score(docs, models)
+    return quality_rules.score(docs, quality_rules.learn(docs, table(spark, d, "labels")))
 
 
 def op10_suffix_array_dedup(spark, d):

@@ -98,3 +98,13 @@ def test_keep_and_empty_table(frame):
     assert kept.columns == docs.columns and sorted(r.kept for r in kept.collect()) == ["a", "c"]
     empty = frame([], "doc_id long, text string, kept string")
     assert op.keep(empty, (None, None)).count() == 0 and op.score(empty, (None, None)).count() == 0
+
+
+def test_features_from_tasks_give_the_same_models(stored, monkeypatch):
+    texts, good, toxic = labelled(120, 3)
+    monkeypatch.setattr(op, "PART_ROWS", 50)
+    docs = stored([(i, t.decode()) for i, t in enumerate(texts)] + [(7, texts[7].decode())], "doc_id long, text string")
+    labels = stored([(i, int(g), int(x)) for i, (g, x) in enumerate(zip(good, toxic))], "doc_id long, quality int, toxic int")
+    far, near = op.learn(docs, labels), op.train(*op.labelled_rows(docs, labels))
+    for a, b in zip(far, near):
+        assert (a.weights == b.weights).all() and (a.bias, a.scale, a.shift) == (b.bias, b.scale, b.shift)
