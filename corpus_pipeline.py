@@ -17,7 +17,7 @@ from cardledger.sources.scratch import saved
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the trained quality and toxicity models."""
     labels = table(spark, sf_dir, "labels")
-    return quality_rules.keep(docs, quality_rules.train(*quality_rules.labelled_rows(docs, labels)))
+    return quality_rules.keep(docs, quality_rules.learn(docs, labels))
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
