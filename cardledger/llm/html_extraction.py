@@ -33,7 +33,6 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from cardledger.llm.texts import as_bytes
 
 MAX_LABELLED = 1_000  # labelled pages that training takes at most, chosen by a hash of their id
-MAX_TRAIN_CHARS = 20_000  # of such a page that training reads; extraction reads whole pages
 
 # Element names.
 RAW = "script|style|textarea|title|iframe"  # what is inside is not markup
@@ -48,6 +47,7 @@ NEVER = set(
     "nav footer aside form button head menu dialog label noscript template svg object select".split()
 )
 CONTENT = ("article", "main")
+HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
 MARKED = "+"  # before the names of tags inside such an element
 # Words of class, id and role attributes that stand for what is not the article.
 JUNK_WORDS = set(
@@ -162,11 +162,17 @@ class Page:
                     close(i)
             _, keys, never, content = stack[-1]
             words: set[str] = set()
+            telling: set[str] = set()
             if m[4]:
-                for _, a, b, c in _attribute.findall(m[4]):
-                    words.update(w.lower() for w in _part.findall(a or b or c))
+                for kind, a, b, c in _attribute.findall(m[4]):
+                    parts = {w.lower() for w in _part.findall(a or b or c)}
+                    words |= parts
+                    # In marked content an id names a place of the text, such as a section on search.
+                    if not (content and kind.lower() == "id"):
+                        telling |= parts
             never = never or name in NEVER or (name == "header" and not content)
-            never = never or (name not in CONTENT and name not in ("html", "body") and junk(words))
+            judged = name not in CONTENT and name not in ("html", "body") and not (content and name in HEADINGS)
+            never = never or (judged and junk(telling))
             own = (name, *sorted(f".:{w}" for w in words))
             stack.append((name, keys + own, never, content or name in CONTENT))
             open_names[name] += 1
@@ -226,7 +232,7 @@ def labelled_pages(
     marked = F.size(F.split(F.lower(html_col), r"<article[\s>]")) == 2
     marked |= F.size(F.split(F.lower(html_col), r"<main[\s>]")) == 2
     found = pages.where(marked).select(
-        F.substring(html_col, 1, MAX_TRAIN_CHARS).alias("html"), F.xxhash64(id_col, html_col).alias("by")
+        F.col(html_col).alias("html"), F.xxhash64(id_col, html_col).alias("by")
     )
     total = found.count()
     if total > most:  # about `most` before the sort, so that tasks hand over few pages

@@ -9,7 +9,7 @@ among the pieces of their length.
 
 Defined cases: a null or empty text is the closing id alone. Each row of the input is packed, so a
 repeated row is packed again. An empty table gives no rows. Pieces of equal length are ranked by
-document id, start and digest. Strings of special tokens inside a text are ordinary text.
+document id, start and digest. Strings of special tokens inside a text get the ids that the tokenizer gives them.
 """
 
 from __future__ import annotations
@@ -47,18 +47,22 @@ PIECES = StructType(
 
 
 @lru_cache(maxsize=2)
-def encoder(ranks_path: str, pattern: str) -> tiktoken.Encoding:
-    """The vocabulary as ranks: the same ids as the tokenizer file's, several times faster."""
+def encoder(ranks_path: str, pattern: str, tokenizer_path: str | None = None) -> tiktoken.Encoding:
+    """The vocabulary as ranks: the same ids as the tokenizer file's, several times faster.
+
+    The file's special tokens have their own ids where their strings stand in a text, as they have there.
+    """
     with open(ranks_path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    added = tokenizer(tokenizer_path).get_added_tokens_decoder() if tokenizer_path else {}
+    special = {token.content: number for number, token in added.items()}
+    ranks = {token: number for token, number in ranks.items() if number not in added}
+    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
 
 
 @lru_cache(maxsize=2)
 def tokenizer(path: str) -> Tokenizer:
-    made = Tokenizer.from_file(path)
-    made.encode_special_tokens = True
-    return made
+    return Tokenizer.from_file(path)
 
 
 def encode(enc: tiktoken.Encoding, text: str, tokenizer_path: str) -> np.ndarray:
@@ -71,7 +75,7 @@ def encode(enc: tiktoken.Encoding, text: str, tokenizer_path: str) -> np.ndarray
         while end < len(text) and not (text[end - 1].isalpha() and text[end] == " "):
             end += 1
         try:
-            parts.append(enc.encode_to_numpy(text[at:end], disallowed_special=()))
+            parts.append(enc.encode_to_numpy(text[at:end], allowed_special="all"))
         except ValueError:
             parts.append(np.array(tokenizer(tokenizer_path).encode(text[at:end], add_special_tokens=False).ids))
         at = end
@@ -91,7 +95,7 @@ def pieces(docs: DataFrame, vocabulary: Vocabulary, size: int = SIZE, closing: i
     """PIECES: each document's ids, closed by `closing`, cut into pieces of at most `size`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(vocabulary.ranks_path, vocabulary.pattern)
+        enc = encoder(vocabulary.ranks_path, vocabulary.pattern, vocabulary.tokenizer_path)
         for batch in batches:
             out: list[list] = [[], [], [], [], []]
             for doc_id, text in zip(batch["doc_id"].to_pylist(), as_bytes(batch["text"])):

@@ -350,15 +350,16 @@ def chosen(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
 
 
 def _texts_of(docs: DataFrame, rows: DataFrame) -> DataFrame:
-    """The texts of chosen rows, once each: _id, _text, text."""
+    """The texts of chosen rows, once each: _id, _text, text, _first (their first place)."""
     texts = docs.select(F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_text"), "text")
-    return texts.join(rows.select("_id", "_text").distinct(), ["_id", "_text"], "left_semi").dropDuplicates(["_id", "_text"])
+    first = rows.groupBy("_id", "_text").agg(F.min("place").alias("_first"))
+    return texts.join(first, ["_id", "_text"]).dropDuplicates(["_id", "_text"])
 
 
 def labelled_rows(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """At most `most` labelled texts on the driver, chosen by a hash of their id."""
     wanted = chosen(docs, labels, most)
-    rows = wanted.join(_texts_of(docs, wanted), ["_id", "_text"]).orderBy("place").collect()
+    rows = wanted.join(_texts_of(docs, wanted), ["_id", "_text"]).orderBy("place").collect()  # `most` at most
     texts = [(r.text or "").encode() for r in rows]
     mark = [np.array([-1 if r[c] is None else int(r[c]) for r in rows], int) for c in ("quality", "toxic")]
     return texts, mark[0], mark[1]
@@ -376,13 +377,17 @@ FEATURES = StructType(
 
 
 def features_of(texts: DataFrame) -> DataFrame:
-    """FEATURES of texts (_id, _text, text)."""
+    """FEATURES of texts (_id, _text, text, _first); for quality of those that its model trains on."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, group in groups(as_bytes(batch["text"]), GROUP_BYTES // 2):
+            places = batch["_first"].to_pylist()
+            for first, group in groups(as_bytes(batch["text"]), GROUP_BYTES // 4):
                 m = measure(group)
                 quality = list(_by_text(quality_features(m), len(group)))
+                for i, place in enumerate(places[first : first + len(group)]):
+                    if place >= MAX_QUALITY:
+                        quality[i] = (quality[i][0][:0], quality[i][1][:0])
                 toxic = list(_by_text(toxic_features(m), len(group)))
                 lists = [[c for c, _ in quality], [v for _, v in quality], [c for c, _ in toxic]]
                 columns = [batch[c].slice(first, len(group)).cast(pa.int64()) for c in ("_id", "_text")]

@@ -81,3 +81,13 @@ def test_all_rows(frame, weights):
     assert op.main_text(frame([], schema), weights).count() == 0
     listed = frame([(i, "u", h, "", "") for i, h in enumerate(LABELLED * 4 + [None, "<p>x", "<article><article>"])], schema)
     assert len(op.labelled_pages(listed, 10)) == 10 and len(op.labelled_pages(listed)) == 20
+
+
+def test_headings_and_ids_inside_the_article_are_kept():
+    words = "plain words of an article that goes on for quite some time here"
+    html = (
+        f"<body><nav class='menu'><a>Home</a></nav><article><h2 id='search'>On search</h2><p>{words}</p>"
+        f"<section id='comment-syntax'><h3 class='alert'>Comments</h3><p>{words}</p></section>"
+        f"<div class='comments'><p>First!</p></div></article><div id='footer'>Imprint</div></body>"
+    )
+    assert op.extract(html, op.train([html] * 3)).split("\n") == ["On search", words, "Comments", words]

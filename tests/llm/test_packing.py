@@ -28,13 +28,12 @@ def check(rows, size):
 
 def test_round_trip(spark, frame):
     rng = random.Random(1)
-    texts = [None, "", " ", "a", "<|endoftext|>", "é" * 50, "x" * 5000, " " * 300, "\n\n\t  a"]
+    texts = [None, "", " ", "a", "<|endoftext|>", "a <|endoftext|> b<|endoftext|>", "<|endoftext", "é" * 50, "x" * 5000, " " * 300, "\n\n\t  a"]
     texts += [" ".join(rng.choice(["Der", "le", "foo!", "12", "ß", "\n"]) for _ in range(rng.randint(1, 4000))) for _ in range(60)]
     texts += [texts[-1]]
     docs = frame([(i, t, "l", "s") for i, t in enumerate(texts)], SCHEMA)
     rows = op.pack_documents(docs, vocabulary()).collect()
     tokenizer = Tokenizer.from_file(vocabulary().tokenizer_path)
-    tokenizer.encode_special_tokens = True
     pieces = {}
     for r in rows:
         pieces.setdefault(r.doc_id, []).append(r)
