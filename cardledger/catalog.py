@@ -261,6 +261,28 @@ def credit_usage(spark, d):
     return settle.credit_usage(roles.cards(spark, d))
 
 
+def _large(cards):
+    """Limits and balances of some 10**10."""
+    return cards.withColumns({c: F.col(c) * 100_000 for c in ("credit_limit", "current_balance")})
+
+
+def credit_usage_large(spark, d):
+    """Sums beyond what amounts of transactions may be: no card is left out."""
+    return settle.credit_usage(_large(roles.cards(spark, d)))
+
+
+def roll_forward_balances_large(spark, d):
+    return settle.roll_forward_balances(_large(roles.cards(spark, d)), _updates(spark, d))
+
+
+def validate_large(spark, d):
+    """Cards with large limits: judged like all others."""
+    tx = roles.transactions(spark, d).withColumn("amount", F.col("amount") * 5000)
+    return plan.authorize(tx, _large(roles.cards(spark, d)), roles.customers(spark, d)).select(
+        "transaction_id", "card_id", "status", "decline_reason"
+    )
+
+
 def score_changes(spark, d):
     return settle.score_changes(roles.cards(spark, d), roles.customers(spark, d))
 
@@ -556,6 +578,9 @@ QUERIES: dict[str, Query] = {
         roll_forward_balances,
         roll_forward_balances_float,
         credit_usage,
+        credit_usage_large,
+        roll_forward_balances_large,
+        validate_large,
         score_changes,
         score_bands,
         rescore_customers,

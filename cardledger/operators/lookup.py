@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from cardledger.functions.money import to_micros
+from cardledger.functions.money import LARGEST_HELD, to_micros
 from cardledger.functions.text import zip_code
 
 
@@ -21,8 +21,8 @@ def card_profiles(cards: DataFrame, customers: DataFrame) -> DataFrame:
     narrow = cards.select(
         "card_id",
         "customer_id",
-        to_micros("credit_limit").alias("limit_micros"),
-        to_micros("current_balance").alias("balance_micros"),
+        to_micros("credit_limit", LARGEST_HELD).alias("limit_micros"),
+        to_micros("current_balance", LARGEST_HELD).alias("balance_micros"),
     )
     # One row per customer on the right: a customer with very many cards is a skew that the join splits.
     return narrow.join(homes, "customer_id", "left").select(

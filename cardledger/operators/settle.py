@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from cardledger.functions.credit import adjusted_limit, score_adjustment, utilisation
-from cardledger.functions.money import from_micros, to_micros
+from cardledger.functions.money import from_wide_micros, to_wide_micros
 from cardledger.operators.ledger import latest_by_key, overlay
 
 
@@ -23,19 +23,16 @@ def roll_forward_balances(
         balance = F.col("current_balance").cast("float").cast("double") + pending
     else:
         # A card without pending amounts keeps its balance as it is.
-        pending = to_micros("pending_balance")
-        balance = F.when(pending != 0, from_micros(to_micros("current_balance") + pending))
+        pending = to_wide_micros("pending_balance")
+        balance = F.when(pending != 0, from_wide_micros(to_wide_micros("current_balance") + pending))
         balance = F.coalesce(balance, F.col("current_balance"))
     return joined.withColumn("current_balance", balance).select(*cards.columns)
 
 
 def credit_usage(cards: DataFrame) -> DataFrame:
     """Percent of all limits in use per customer; null where the limits sum to zero."""
-    return cards.groupBy("customer_id").agg(
-        utilisation(
-            F.sum(to_micros("current_balance")), F.sum(to_micros("credit_limit"))
-        ).alias("usage_percent")
-    )
+    held, limit = (F.sum(to_wide_micros(c)).cast("double") for c in ("current_balance", "credit_limit"))
+    return cards.groupBy("customer_id").agg(utilisation(held, limit).alias("usage_percent"))
 
 
 def score_changes(cards: DataFrame, customers: DataFrame) -> DataFrame:

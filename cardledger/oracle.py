@@ -45,6 +45,14 @@ corporate_cards as (
   from cards)"""
 
 
+LARGE_CARDS = """
+large_cards as (
+  select * replace (credit_limit * 100000 as credit_limit, current_balance * 100000 as current_balance) from cards)"""
+
+LARGE_TX = """
+large_tx as (select * replace (amount * 5000 as amount) from tx)"""
+
+
 def joined(
     tx: str = "tx", cards: str = "cards", where: str = "true", arrival: str = "cast(t.ts as date)"
 ) -> str:
@@ -328,6 +336,15 @@ ORACLE: dict[str, str] = {
            from cards c left join latest l on c.card_id = l.card_id""",
     ),
     "credit_usage": _with(CARDS, usage("cards"), "select * from usage"),
+    "credit_usage_large": _with(CARDS, LARGE_CARDS, usage("large_cards"), "select * from usage"),
+    "roll_forward_balances_large": _with(
+        *_UPDATES, LATEST, LARGE_CARDS, ROLLED.replace("from cards", "from large_cards"), "select * from rolled"
+    ),
+    "validate_large": _with(
+        *_BASE, LARGE_CARDS, LARGE_TX, joined("large_tx", "large_cards"), RULES, VERDICTS,
+        """select transaction_id, card_id,
+             case when decline_reason is null then 'pending' else 'declined' end as status, decline_reason from v""",
+    ),
     "score_changes": _with(
         CARDS,
         CUSTOMERS,

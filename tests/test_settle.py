@@ -87,3 +87,21 @@ def test_batch_from_end_to_end(spark):
             1: 585, 2: 575, 3: 600,
         }
         assert result.customers.columns == customers.columns
+
+
+def test_large_balances_are_summed_like_others(spark):
+    """A pending amount on two thousand millions, and a use that is nearly the whole limit."""
+    large = [t.card(1, 1, 2e9, 2e9), t.card(2, 1, 100.0, 10.0), t.card(3, 2, 4e12, 3e12)]
+    frame = t.cards(spark, large)
+    latest = pending(spark, [(5, 1, 100.25)])
+    rolled = {r.card_id: r.current_balance for r in settle.roll_forward_balances(frame, latest).collect()}
+    assert rolled == {1: 2e9 + 100.25, 2: 10.0, 3: 3e12}
+    usage = {r.customer_id: r.usage_percent for r in settle.credit_usage(frame).collect()}
+    assert abs(usage[1] - 100 * 2000000010 / 2000000100) < 1e-9 and usage[2] == 75.0
+
+
+def test_a_payment_on_a_large_limit_is_judged(spark):
+    cards = [t.card(1, 1, 2e9, 0.0), t.card(2, 1, 2e9, 2e9)]
+    rows = [t.tx(1, 5.0), t.tx(2, 5.0, card_id=2)]
+    done = authorize(t.transactions(spark, rows), t.cards(spark, cards), t.customers(spark, [t.customer()]))
+    assert t.results(done) == {1: ("pending", None, 500), 2: ("declined", "Total balance exceeds credit limit", 0)}
