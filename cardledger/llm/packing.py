@@ -15,6 +15,7 @@ document id, start and digest. Strings of special tokens inside a text get the i
 from __future__ import annotations
 
 import base64
+import json
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -46,18 +47,26 @@ PIECES = StructType(
 )
 
 
+Special = tuple[tuple[str, int], ...]
+
+
+def special_tokens(tokenizer_path: str) -> Special:
+    """The tokenizer file's special tokens with their ids; read once, and sent to the tasks."""
+    with open(tokenizer_path, encoding="utf-8") as f:
+        return tuple((t["content"], t["id"]) for t in json.load(f).get("added_tokens", []))
+
+
 @lru_cache(maxsize=2)
-def encoder(ranks_path: str, pattern: str, tokenizer_path: str | None = None) -> tiktoken.Encoding:
+def encoder(ranks_path: str, pattern: str, special: Special = ()) -> tiktoken.Encoding:
     """The vocabulary as ranks: the same ids as the tokenizer file's, several times faster.
 
-    The file's special tokens have their own ids where their strings stand in a text, as they have there.
+    Special tokens have their own ids where their strings stand in a text, as they have there.
     """
     with open(ranks_path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    added = tokenizer(tokenizer_path).get_added_tokens_decoder() if tokenizer_path else {}
-    special = {token.content: number for number, token in added.items()}
-    ranks = {token: number for token, number in ranks.items() if number not in added}
-    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
+    own = {number for _, number in special}
+    ranks = {token: number for token, number in ranks.items() if number not in own}
+    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens=dict(special))
 
 
 @lru_cache(maxsize=2)
@@ -93,9 +102,10 @@ class Vocabulary:
 
 def pieces(docs: DataFrame, vocabulary: Vocabulary, size: int = SIZE, closing: int = CLOSING_ID) -> DataFrame:
     """PIECES: each document's ids, closed by `closing`, cut into pieces of at most `size`."""
+    special = special_tokens(vocabulary.tokenizer_path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(vocabulary.ranks_path, vocabulary.pattern, vocabulary.tokenizer_path)
+        enc = encoder(vocabulary.ranks_path, vocabulary.pattern, special)
         for batch in batches:
             out: list[list] = [[], [], [], [], []]
             for doc_id, text in zip(batch["doc_id"].to_pylist(), as_bytes(batch["text"])):

@@ -446,7 +446,7 @@ def judge(texts: list[bytes], models: tuple[Model | None, Model | None]) -> dict
     """All columns of SCORED but the id, for one batch of whole texts."""
     parts = []
     quality, toxicity = models
-    for _, group in groups(texts, GROUP_BYTES // 2):
+    for _, group in groups(texts, GROUP_BYTES // 4):
         m = measure(group)
         n = len(group)
         part = {k: getattr(m, k) for k in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")}
