@@ -17,9 +17,12 @@ from cardledger.operators.lookup import card_profiles
 from cardledger.operators.running import Measure, running
 from cardledger.plans import authorize as plan
 from cardledger.plans.batch import BatchResult, run_batch
+from cardledger.plans.increments import NightlyBatch
+from cardledger.plans.resume import run_once
 from cardledger.plans.whole_run import run_all
 from cardledger.schemas import TABLES, TRANSACTIONS, duplicate_keys
 from cardledger.sources import messages, tables
+from cardledger.sources.published import VersionedStore
 from cardledger.sources.scratch import saved, scratch_path
 from cardledger.streaming.table_state import SpeedLayer
 from cardledger.streaming.speed import authorize_stream, run_available, stream_aside
@@ -461,9 +464,39 @@ def stream_quarantine(spark, d):
     )
 
 
+def _nightly(spark, d):
+    """The stream results, taken in over three nights: a third of the transactions each, by their ids."""
+    rows, folder = saved(_stream(spark, d), "stream"), scratch_path(spark, "nights")
+    batch = NightlyBatch(spark, scratch_path(spark, "account"), rows.schema)
+    batch.open(roles.cards(spark, d), roles.customers(spark, d))
+    for night in range(3):
+        rows.filter(F.col("transaction_id") % 3 == night).write.mode("append").parquet(folder)
+        batch.take_in(folder)
+    return batch.result()
+
+
+def nightly_transactions(spark, d):
+    """All transactions as approved over three nights."""
+    return _nightly(spark, d).transactions.select(
+        "transaction_id", "card_id", "timestamp", "amount", "pending_balance", "status"
+    )
+
+
+def nightly_cards(spark, d):
+    """The cards after three nights, each of which has read its new transactions only."""
+    return _nightly(spark, d).cards
+
+
+def nightly_customers(spark, d):
+    return _nightly(spark, d).customers
+
+
 def _store(spark, d):
     """The four tables in a parquet store; columns that the roles lack are null."""
-    store = tables.ParquetStore(spark, scratch_path(spark, "store"))
+    return _fill(tables.ParquetStore(spark, scratch_path(spark, "store")), spark, d)
+
+
+def _fill(store, spark, d):
     types = roles.table(spark, d, "region").select(
         F.col("r_regionkey").cast("int").alias("card_type_id"), F.col("r_name").alias("name")
     )
@@ -498,6 +531,18 @@ def whole_run_customers(spark, d):
     return store.read("customers").select("customer_id", "name", "address", "credit_score")
 
 
+def published_together(spark, d):
+    """Cards with the scores of their customers, from one version of both, published by a run that happens once."""
+    store = _fill(VersionedStore(spark, scratch_path(spark, "store")), spark, d)
+    results, work = scratch_path(spark, "results"), scratch_path(spark, "work")
+    for _ in range(2):
+        run_once(store, results, work, "day 1")
+    scores = store.read("customers").select("customer_id", "credit_score")
+    return store.read("cards").join(scores, "customer_id", "left").select(
+        "card_id", "customer_id", "credit_limit", "current_balance", "credit_score"
+    )
+
+
 def load_and_publish(spark, d):
     """Customers with line breaks and empty text, from a CSV file into a store and published again."""
     store, path = _store(spark, d), scratch_path(spark, "csv")
@@ -600,6 +645,10 @@ QUERIES: dict[str, Query] = {
         quarantine,
         whole_run_cards,
         whole_run_customers,
+        nightly_transactions,
+        nightly_cards,
+        nightly_customers,
+        published_together,
         load_and_publish,
         csv_roundtrip,
         csv_skip_bad_rows,

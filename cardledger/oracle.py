@@ -231,6 +231,9 @@ _UPDATES_OUT = "select * from updates"
 _BATCH = (*_UPDATES, STREAM, LATEST, ROLLED, usage("rolled"), CHANGES)
 _HOT = (*_BASE, CORPORATE_TX, CORPORATE_CARDS, joined("corporate_tx", "corporate_cards"), RULES)
 _RUNNING = _with(*_RULES, RUNNING, RUNNING_OUT, recursive=True)
+_APPROVED = """select transaction_id, card_id, timestamp, amount, pending_balance,
+    case when status = 'pending' then 'approved' else status end as status from stream"""
+_RESCORED = "select customer_id, name, address, credit_score from rescored"
 _GOOD_LINE = "transaction_type <> 'refund' and amount >= 20000"
 
 ORACLE: dict[str, str] = {
@@ -363,16 +366,9 @@ ORACLE: dict[str, str] = {
             {cut('credit_limit', '(card_id % 9 * 5 - 25)')} as credit_limit from cards""",
     ),
     "adjust_limits": _with(CARDS, CUSTOMERS, usage("cards"), CHANGES, limited("cards")),
-    "batch_transactions": _with(
-        *_UPDATES,
-        STREAM,
-        """select transaction_id, card_id, timestamp, amount, pending_balance,
-           case when status = 'pending' then 'approved' else status end as status from stream""",
-    ),
+    "batch_transactions": _with(*_UPDATES, STREAM, _APPROVED),
     "batch_cards": _with(*_BATCH, limited("rolled")),
-    "batch_customers": _with(
-        *_BATCH, "select customer_id, name, address, credit_score from rescored"
-    ),
+    "batch_customers": _with(*_BATCH, _RESCORED),
     "stream_authorize": _with(*_UPDATES, _UPDATES_OUT),
     "stream_authorize_running": _RUNNING,
     "stream_out_of_order": _with(
@@ -414,7 +410,15 @@ ORACLE: dict[str, str] = {
     "whole_run_cards": _with(*_BATCH, limited("rolled")),
     "whole_run_customers": _with(
         *_UPDATES, LATEST, ROLLED_FLOAT, usage("rolled"), CHANGES,
-        "select customer_id, name, address, credit_score from rescored",
+        _RESCORED,
+    ),
+    "nightly_transactions": _with(*_UPDATES, STREAM, _APPROVED),
+    "nightly_cards": _with(*_BATCH, limited("rolled")),
+    "nightly_customers": _with(*_BATCH, _RESCORED),
+    "published_together": _with(
+        *_BATCH,
+        f"""select l.*, r.credit_score from ({limited("rolled")}) l
+            left join rescored r on r.customer_id = l.customer_id""",
     ),
     "load_and_publish": _with(
         CUSTOMERS,

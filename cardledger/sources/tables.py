@@ -9,6 +9,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from cardledger.functions.text import blank_to_null
 from cardledger.schemas import TABLES, require_primary_key
+from cardledger.sources.published import VersionedStore
 from cardledger.sources.scratch import saved
 
 _MALFORMED = "_malformed"
@@ -145,7 +146,7 @@ class JdbcStore:
         df.write.format("jdbc").mode("overwrite").options(**options, truncate=True).save()
 
 
-Store = ParquetStore | JdbcStore
+Store = ParquetStore | JdbcStore | VersionedStore
 
 
 def load_table(store: Store, csv_path: str, name: str, multi_line: bool = True) -> tuple[DataFrame, int]:
@@ -176,8 +177,12 @@ def load_all(store: Store, unchecked: tuple[str, ...] = ()) -> dict[str, DataFra
 def publish_serving(store: Store, cards: DataFrame, customers: DataFrame) -> None:
     """Put the batch results in place of the cards and customers tables.
 
-    Both are saved first, so no plan reads a table while it is overwritten.
+    Both are saved first, so no plan reads a table while it is overwritten. A store with versions writes
+    new folders and takes both at once.
     """
+    if isinstance(store, VersionedStore):
+        store.publish({"cards": cards, "customers": customers})
+        return
     new = {
         name: saved(df.select(*TABLES[name][0].names), name)
         for name, df in (("cards", cards), ("customers", customers))

@@ -1,0 +1,89 @@
+"""Tables put in place together: readers have all new ones or all old ones."""
+
+import pytest
+import tables as t
+from pyspark.sql import functions as F
+
+from cardledger.sources import files
+from cardledger.sources.published import VersionedStore
+from cardledger.sources.tables import publish_serving
+
+
+@pytest.fixture
+def store(spark, tmp_path):
+    store = VersionedStore(spark, str(tmp_path / "store"))
+    store.publish({"cards": t.cards(spark, [t.card(1), t.card(2)]), "customers": t.customers(spark, [t.customer(1)])})
+    return store
+
+
+def pair(store):
+    cards = sorted((r.card_id, r.current_balance) for r in store.read("cards").collect())
+    return cards, [r.credit_score for r in store.read("customers").collect()]
+
+
+def new_pair(spark):
+    return t.cards(spark, [t.card(1, balance=7.0)]), t.customers(spark, [t.customer(1, score=700)])
+
+
+OLD = ([(1, 0.0), (2, 0.0)], [600])
+NEW = ([(1, 7.0)], [700])
+
+
+def test_both_at_once(spark, store):
+    assert pair(store) == OLD
+    publish_serving(store, *new_pair(spark))
+    assert pair(store) == NEW and store.version() == 1
+
+
+def test_a_table_may_be_made_from_its_old_version(spark, store):
+    store.write(store.read("cards").withColumn("current_balance", F.lit(3.0)), "cards")
+    assert pair(store) == ([(1, 3.0), (2, 3.0)], [600])
+
+
+def test_a_key_listed_twice_leaves_the_old_pair(spark, store):
+    cards, _ = new_pair(spark)
+    with pytest.raises(ValueError, match="primary key"):
+        publish_serving(store, cards, t.customers(spark, [t.customer(1), t.customer(1)]))
+    assert pair(store) == OLD
+
+
+@pytest.mark.parametrize("broken", [1, 2, 3])
+def test_broken_off_between_the_writes(spark, store, monkeypatch, broken):
+    """After the first table, after the second, and before the version's file."""
+    steps = []
+
+    def stop(*_):
+        steps.append(1)
+        if len(steps) == broken:
+            raise RuntimeError("lost driver")
+        return _[0]
+
+    monkeypatch.setattr("cardledger.sources.published.require_primary_key", stop)
+    if broken == 3:
+        monkeypatch.setattr(VersionedStore, "_commit", stop)
+    with pytest.raises(RuntimeError, match="lost driver"):
+        publish_serving(store, *new_pair(spark))
+    assert pair(store) == OLD
+    monkeypatch.undo()
+    publish_serving(store, *new_pair(spark))
+    assert pair(store) == NEW
+
+
+def test_of_two_writers_one_wins(spark, store):
+    cards, customers = new_pair(spark)
+    late = store.at(store.version())
+    store.publish({"cards": cards})
+    with pytest.raises(FileExistsError):
+        late.publish({"customers": customers})
+    assert pair(store) == (NEW[0], OLD[1])
+    assert pair(late) == OLD  # who has begun with a version goes on with it
+
+
+def test_files_are_whole_and_stay(spark, tmp_path):
+    path = str(tmp_path / "some" / "file")
+    files.write_new(spark, path, "grün\n")
+    with pytest.raises(FileExistsError):
+        files.write_new(spark, path, "other")
+    assert files.read_text(spark, path) == "grün\n"
+    assert files.names(spark, str(tmp_path / "some")) == ["file"]  # nothing is left from the second one
+    assert files.names(spark, str(tmp_path / "none")) == []
