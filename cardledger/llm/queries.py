@@ -52,7 +52,7 @@ URL_RULES = [
 def op2_url_filters(spark, d):
     pages = table(spark, d, "pages")
     rules = spark.createDataFrame(URL_RULES, "rule string, verdict string")
-    return url_filters.judge(pages, rules, url_filters.mirrored(pages))
+    return url_filters.judge(pages, rules, url_filters.mirrored(pages, content=url_filters.article(F.col("html"))))
 
 
 def op3_packing(spark, d):
@@ -155,10 +155,14 @@ fitting as (
       order by length(r.rule) desc, length(r.rule_host) desc) place
   from (select distinct page_id, host, path from split) s
   join rules r on (s.host = r.rule_host or ends_with(s.host, '.' || r.rule_host)) and starts_with(s.path, r.rule_path)),
-served as (select distinct host || path address, html from split where html is not null and host || path <> ''),
+served as (
+  select distinct host || path address,
+    nullif(regexp_extract(html, '(?si)<article[> \\t\\r\\n].*</article>'), '') article
+  from split where host || path <> ''),
 mirrors as (
   select distinct s.address from served s
-  join (select html, min(address) first_one from served group by html) f on s.html = f.html and s.address > f.first_one)
+  join (select article, min(address) first_one from served group by article) f
+    on s.article = f.article and s.address > f.first_one)
 select s.page_id, s.host, s.path, f.rule,
   coalesce(f.verdict, case when m.address is not null then 'block' else 'allow' end) verdict
 from split s

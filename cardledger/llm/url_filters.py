@@ -194,11 +194,23 @@ def judge(
     )
 
 
-def mirrored(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(address): addresses that serve, byte for byte, what an alphabetically earlier address serves."""
+def article(html: Column) -> Column:
+    """From the first <article to the last </article>; null where a page marks none."""
+    found = F.regexp_extract(html, r"(?si)<article[> \t\r\n].*</article>", 0)
+    return F.when(found != "", found)
+
+
+def mirrored(pages: DataFrame, url_col: str = "url", content: Column | str = "html") -> DataFrame:
+    """(address): addresses whose `content` is, byte for byte, that of an alphabetically earlier address.
+
+    Null content is like no other. However many addresses share one, they are brought down to the first
+    before anything is joined.
+    """
     host, path = host_and_path(F.col(url_col).cast("string"))
-    served = pages.select(F.concat(host, path).alias("address"), F.sha2(F.col(html_col).cast("binary"), 256).alias("_of"))
-    served = served.where("address <> '' and _of is not null").distinct()
-    first = served.groupBy(F.col("_of").alias("_same")).agg(F.min("address").alias("_first"))
+    content = F.col(content) if isinstance(content, str) else content
+    served = pages.select(F.concat(host, path).alias("address"), F.sha2(content.cast("binary"), 256).alias("_of"))
+    served = saved(served.where("address <> '' and _of is not null").distinct(), "served")
+    first = served.groupBy(F.col("_of").alias("_same")).agg(F.min("address").alias("_first"), F.count("*").alias("_n"))
+    first = first.where("_n > 1").select("_same", "_first")  # most contents are served once, and go here
     later = served.join(first, (F.col("_of") == F.col("_same")) & (F.col("address") > F.col("_first")))
     return later.select("address").distinct()

@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -71,3 +73,37 @@ def test_empty_tables(frame):
 def test_mirrored(frame):
     rows = [(1, "x://b/1", "same", "", ""), (2, "x://a/1", "same", "", ""), (3, "x://a/1", "same", "", ""), (4, None, "same", "", ""), (5, "x://c/", None, "", "")]
     assert [r.address for r in op.mirrored(frame(rows, SCHEMA)).collect()] == ["b/1"]
+
+
+def test_article(frame):
+    html = ["<p><ARTICLE id=1>\na</article>b</Article>c", "<article>x", "<articles>x</article>", "", None, "<article\n></article>"]
+    df = frame([(i, None, h, "", "") for i, h in enumerate(html)], SCHEMA)
+    got = {r.page_id: r.a for r in df.select("page_id", op.article(F.col("html")).alias("a")).collect()}
+    want = ["<ARTICLE id=1>\na</article>b</Article>", None, None, None, None, "<article\n></article>"]
+    assert [got[i] for i in range(len(html))] == want
+
+
+def test_mirrors_by_article(frame):
+    def page(i, url, article, own):
+        return i, url, f"<html><script>track({own})</script>{article}</html>", "", ""
+
+    a, b = "<article>a</article>", "<article>b</article>"
+    rows = [page(1, "x://b/1", a, 1), page(2, "x://a/1", a, 2), page(3, "x://c/1", a, 3), page(4, "x://d/1", b, 4), page(5, "x://e/1", "none", 5), page(6, "x://f/1", "none", 5)]
+    pages = frame(rows, SCHEMA)
+    assert op.mirrored(pages).collect()[0].address == "f/1"
+    found = op.mirrored(pages, content=op.article(F.col("html")))
+    assert sorted(r.address for r in found.collect()) == ["b/1", "c/1"]
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.1"), reason="no test tables")
+def test_the_list_of_the_given_tables(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    listed = op.mirrored(pages, content=op.article(F.col("html"))).withColumnRenamed("address", "key")
+    host, path = op.host_and_path(F.col("url"))
+    universe = pages.select(F.concat(host, path).alias("key")).distinct()
+    n = listed.count()
+    assert n > 100
+    cascade = op.Cascade(listed, universe)
+    assert len(cascade.levels) >= 3
+    inside = universe.where(cascade.contains(F.col("key")))
+    assert inside.count() == n and inside.join(listed, "key", "left_anti").isEmpty()
