@@ -20,7 +20,8 @@ has a bound (`bloom.blooms`); what it lets through by mistake is dropped by the
 
 Defined cases: a null text stays null and has no lines; wordless lines stay. Repeated rows count as
 later copies. Ties cannot be: a line's place is unique. An empty table gives no rows. All columns
-of the input are kept, whatever their names; only `text` (and n_chars, if there) changes.
+of the input are kept, whatever their names; only `text` (and n_chars, if there) changes. The two counts
+that are added take the place of input columns of their names.
 
 With `growing`, the bound grows with the length: one edit per `EDIT_FROM` words of the shorter line, so
 that the agreement asked for is 0.9 whatever the length. Two lines that are k edits apart share one of
@@ -42,7 +43,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StructField, StructType
 
 from cardledger.llm.bloom import Bloom, blooms, only_keys
-from cardledger.llm.texts import BASE_INVERSE, Prefix, Words, as_bytes, groups, mix
+from cardledger.llm.texts import BASE_INVERSE, Prefix, Words, as_bytes, groups, mix, wrapped
 from cardledger.sources.scratch import saved
 
 MIN_WORDS = 3
@@ -477,19 +478,22 @@ def dedup_lines(docs: DataFrame, growing: bool = False) -> DataFrame:
     `docs` must be a table or a plan that gives the same rows in the same partitions each time: rows
     are told apart by their place in it. `growing`: one edit per EDIT_FROM words, not one edit per line.
     """
-    numbered = docs.withColumn(ROW, F.monotonically_increasing_id())
-    slim = numbered.select(
-        F.col(ROW).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
+    slim = docs.select(
+        F.monotonically_increasing_id().alias("row"),
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.col("text").cast("string").alias("text"),
     )
-    joined = numbered.join(removed_lines(slim, growing), F.col(ROW) == F.col("_row"), "left")
-    lines = F.split(F.col("text"), "\n", -1)  # only where lines go
-    breaks = F.octet_length("text") - F.octet_length(F.replace(F.col("text"), F.lit("\n"), F.lit("")))
+    joined = wrapped(docs, ROW).join(removed_lines(slim, growing), F.col(ROW) == F.col("_row"), "left")
+    whole = F.col("_doc.text").cast("string")
+    lines = F.split(whole, "\n", -1)  # only where lines go
+    breaks = F.octet_length(whole) - F.octet_length(F.replace(whole, F.lit("\n"), F.lit("")))
     left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_removed"))
     text = F.when(
         F.col("_removed").isNotNull(), F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n")
-    ).otherwise(F.col("text"))
+    ).otherwise(whole)
+    kept = [c for c in docs.columns if c not in ("_n_lines", "_n_removed")]
     out = joined.select(
-        *[text.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns],
+        *[text.alias("text") if c == "text" else F.col(f"_doc.`{c}`").alias(c) for c in kept],
         F.coalesce(breaks + 1, F.lit(0)).cast("long").alias("_n_lines"),
         F.coalesce(F.when(F.col("_removed").isNotNull(), F.size("_removed")), F.lit(0)).cast("long").alias("_n_removed"),
     )

@@ -34,7 +34,7 @@ from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, Stru
 
 from cardledger.llm.bloom import only_keys
 from cardledger.llm.components import components
-from cardledger.llm.texts import Words, as_bytes, groups, mix, shingles
+from cardledger.llm.texts import Words, as_bytes, groups, mix, shingles, wrapped
 from cardledger.sources.scratch import saved
 
 WIDTH = 5
@@ -384,5 +384,5 @@ def keep_one(docs: DataFrame, threshold: float = THRESHOLD, width: int = WIDTH)
     `docs` must be a table or a plan that gives the same rows in the same partitions each time.
     """
     later = near_documents(numbered(docs), threshold, width).where(~F.col("first_of_group"))
-    rows = docs.withColumn(ROW, F.monotonically_increasing_id())
-    return rows.join(later.select(F.col("row").alias("_later")), F.col(ROW) == F.col("_later"), "left_anti").drop(ROW)
+    later = later.select(F.col("row").alias("_later"))
+    return wrapped(docs, ROW).join(later, F.col(ROW) == F.col("_later"), "left_anti").select("_doc.*")

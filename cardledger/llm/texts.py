@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F
 
 GROUP_BYTES = 1 << 20  # texts worked on at a time, in bytes; a longer text is a group of its own
 
@@ -27,6 +28,12 @@ FOLD = bytes(_fold)
 _is_word = np.frombuffer(FOLD, np.uint8) != 0x20
 
 
+def wrapped(docs: DataFrame, row: str) -> DataFrame:
+    """Two columns: a row's number, named `row`, and _doc with all columns of `docs`, so that no names clash."""
+    doc = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    return docs.select(F.monotonically_increasing_id().alias(row), doc.alias("_doc"))
+
+
 def fold_words(text: bytes) -> list[bytes]:
     """The words of a text, lower-cased."""
     return text.translate(FOLD).split()

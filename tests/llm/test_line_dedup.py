@@ -79,3 +79,17 @@ def test_columns_stay_and_emptied_documents_go(stored):
 
 def test_empty_table(stored):
     assert op.dedup_lines(stored([], SCHEMA)).count() == 0
+
+
+def test_clashing_names(stored):
+    """Columns named like those that the operator makes stay as they are; its counts replace theirs."""
+    names = ["_row", "_removed", "_doc", "row", "line", "h1", "key", op.ROW, "_n_lines", "a.b"]
+    schema = "doc_id long, text string, " + ", ".join(f"`{c}` string" for c in names)
+    text = "a line of words here\nown line of words %d"
+    docs = stored([(i, text % i, *[f"{c}{i}" for c in names]) for i in range(3)], schema, 1)
+    for growing in (False, True):
+        out = op.dedup_lines(docs, growing)
+        assert sorted(out.columns) == sorted([*docs.columns, "_n_removed"])
+        assert sorted((r.doc_id, r._n_lines, r._n_removed) for r in out.collect()) == [(0, 2, 0), (1, 2, 1), (2, 2, 1)]
+        for r in out.collect():
+            assert all(r[c] == f"{c}{r.doc_id}" for c in names if c != "_n_lines")

@@ -75,6 +75,16 @@ def test_keep_one_keeps_columns_and_firsts(stored):
     assert sorted((r.doc_id is None, r.doc_id or 0, r.lang) for r in kept.collect()) == [(False, 1, "y"), (False, 2, "z"), (True, 0, "z")]
 
 
+def test_clashing_names(stored):
+    names = ["_later", "_row", "_doc", "row", "node", "label", "class_id", "group_id", op.ROW, "a.b"]
+    schema = "doc_id long, text string, " + ", ".join(f"`{c}` string" for c in names)
+    text = "a b c d e f g h i j k l m n o p"
+    docs = stored([(i, text if i < 2 else f"{text} {text} {i}", *[f"{c}{i}" for c in names]) for i in range(3)], schema, 1)
+    kept = op.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id, r._later, r["a.b"]) for r in kept.collect()) == [(0, "_later0", "a.b0"), (2, "_later2", "a.b2")]
+
+
 def test_empty_table(stored):
     assert op.join(stored([], SCHEMA)).count() == 0
 
