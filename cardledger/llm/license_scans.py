@@ -9,6 +9,10 @@ words are aligned with the template's within a band around the diagonal, if enou
 template's words stand within the band at all, which spares the texts of thousands of words most alignments. The report has the share of
 the template's words that the alignment matches, and the span of the original text.
 
+Where words are put in or left out all along a copy, its votes drift over many diagonals. A chain of votes
+too wide for one band is aligned once more, in bands that hold any drift up to half the template's words,
+over the words that no report has taken yet.
+
 Licenses differ from each other in few words. The phrases that tell a template from its siblings (`KEYS`:
 name and version, mostly) have to stand in the span word for word, whatever the coverage.
 
@@ -266,9 +270,19 @@ def may_reach(template: np.ndarray, words: np.ndarray, low: int, high: int, leas
     """Do enough of the template's words, each taken alone, stand within the band that `align` looks at?"""
     if min(high + len(template), len(words)) - max(low, 0) < least * len(template):
         return False
-    at = np.arange(len(template))[:, None] + np.arange(low, high + 1)
-    hit = (at >= 0) & (at < len(words)) & (words[np.clip(at, 0, len(words) - 1)] == template[:, None])
-    return hit.any(axis=1).sum() >= least * len(template)
+    reached = 0
+    for first in range(0, len(template), 256):  # so that memory is that of a strip of the band
+        part = template[first : first + 256, None]
+        at = np.arange(first, first + len(part))[:, None] + np.arange(low, high + 1)
+        hit = (at >= 0) & (at < len(words)) & (words[np.clip(at, 0, len(words) - 1)] == part)
+        reached += int(hit.any(axis=1).sum())
+    return reached >= least * len(template)
+
+
+def drifting(chain: list[int], length: int) -> list[tuple[int, int]]:
+    """Bands over a chain of diagonals: any stretch of it half as long as the template lies within one."""
+    step = max(1, length // 2)
+    return [(low, min(low + 2 * step, chain[-1])) for low in range(chain[0], max(chain[-1] - step, chain[0]) + 1, step)]
 
 
 def scan_words(index: Index, words: np.ndarray, band: int, least: float) -> list[tuple[int, int, int, int]]:
@@ -280,24 +294,45 @@ def scan_words(index: Index, words: np.ndarray, band: int, least: float) -> list
     for template, seen in diagonals.items():
         mine = index.words[template]
         near = min(band, max(1, len(mine) // 4))  # copies of a short notice stand close to each other
-        reports = []
-        ordered = sorted(seen)
-        group = [ordered[0]]
-        for d in [*ordered[1:], None]:
-            if d is not None and d - group[-1] <= near and d - group[0] <= 4 * near:
-                group.append(d)
-                continue
-            low, high = group[0] - near, group[-1] + near
-            group = [d]
+
+        def report(words: np.ndarray, low: int, high: int) -> tuple[int, int, int] | None:
+            low, high = low - near, high + near
             if not may_reach(mine, words, low, high, least):
-                continue
+                return None
             matched, first, last = align(mine, words, low, high)
-            if matched >= least * len(mine) and all(has_run(words[first : last + 1], k) for k in index.keys[template]):
-                reports.append((matched, first, last))
+            enough = matched >= least * len(mine) and all(has_run(words[first : last + 1], k) for k in index.keys[template])
+            return (matched, first, last) if enough else None
+
+        reports, chains = [], []
+        ordered = sorted(seen)
+        group, chain = [ordered[0]], [ordered[0]]
+        for d in [*ordered[1:], None]:
+            linked = d is not None and d - chain[-1] <= near
+            if not linked or d - group[0] > 4 * near:
+                reports.append(report(words, group[0], group[-1]))
+                group = []
+            if not linked:
+                chains.append(chain)
+                chain = []
+            group.append(d)
+            chain.append(d)
+        reports = [r for r in reports if r]
         taken: list[tuple[int, int, int]] = []
         for matched, first, last in sorted(reports, key=lambda r: (-r[0], r[1])):
             if all(last < f or first > g for _, f, g in taken):
                 taken.append((matched, first, last))
+        # Copies whose words are put in or left out all along drift out of a narrow band.
+        chains = [c for c in chains if c[-1] - c[0] > 4 * near]
+        if chains:
+            unlike = np.setdiff1d(np.arange(len(mine) + 1, dtype=np.uint64), mine)[0]
+            left = words.copy()
+            for _, first, last in taken:
+                left[first : last + 1] = unlike
+            for low, high in (b for c in chains for b in drifting(c, len(mine))):
+                while more := report(left, low, high):
+                    left[more[1] : more[2] + 1] = unlike
+                    if all(more[2] < f or more[1] > g for _, f, g in taken):
+                        taken.append(more)
         found.extend((template, *r) for r in sorted(taken, key=lambda r: r[1]))
     return best_siblings(index, found)
 
