@@ -20,8 +20,9 @@ from cardledger.plans.batch import BatchResult, run_batch
 from cardledger.plans.increments import NightlyBatch
 from cardledger.plans.resume import run_once
 from cardledger.plans.whole_run import run_all
-from cardledger.schemas import TABLES, TRANSACTIONS, duplicate_keys
+from cardledger.schemas import STREAM_TRANSACTIONS, TABLES, TRANSACTIONS, duplicate_keys
 from cardledger.sources import messages, tables
+from cardledger.sources.bucketed import read_bucketed, save_bucketed
 from cardledger.sources.published import VersionedStore
 from cardledger.sources.scratch import saved, scratch_path
 from cardledger.streaming.table_state import SpeedLayer
@@ -381,6 +382,31 @@ def stream_authorize_running(spark, d):
     return _streamed(spark, d, running_limit=True)
 
 
+def stream_restarted(spark, d):
+    """A stream that is stopped and goes on from its checkpoint: resent refunds are known as copies."""
+    tx, path, work = roles.transactions(spark, d), scratch_path(spark, "messages"), scratch_path(spark, "stream")
+    profiles = saved(card_profiles(roles.cards(spark, d), roles.customers(spark, d)), "profiles")
+    again = tx.filter(F.col("transaction_type") == "refund").withColumn("amount", F.col("amount") - 1)
+    for wave, rows in enumerate((tx, again)):
+        messages.save_messages(rows, path, wave=wave)
+        updates = authorize_stream(messages.read_files(spark, path), profiles, buckets=STREAM_BUCKETS)
+        out = run_available(updates, f"{work}/updates", f"{work}/checkpoint")
+    return out
+
+
+def stream_bucketed(spark, d):
+    """The speed layer with profiles stored in buckets by card, once for all micro-batches."""
+    path, stored = scratch_path(spark, "messages"), scratch_path(spark, "profiles")
+    _send(roles.transactions(spark, d), path)
+    save_bucketed(card_profiles(roles.cards(spark, d), roles.customers(spark, d)), stored, "card_id")
+    layer = SpeedLayer(
+        spark, scratch_path(spark, "speed"), read_bucketed(spark, stored), running_limit=True, id_range=STREAM_ID_RANGE
+    )
+    layer.run(_scattered(spark, path), scratch_path(spark, "checkpoint"))
+    layer.reconcile(messages.n_sent(spark, path))
+    return layer.updates()
+
+
 def stream_out_of_order(spark, d):
     """Messages that come in another order than that of days and ids: verdicts go by arrival."""
     mixed = [F.col("transaction_id") % 7, F.col("transaction_id")]
@@ -531,6 +557,23 @@ def whole_run_customers(spark, d):
     return store.read("customers").select("customer_id", "name", "address", "credit_score")
 
 
+def sorted_results(spark, d):
+    """The result files of a whole run: how many rows, and how many out of the order of their ids."""
+    results = scratch_path(spark, "results")
+    run_all(_store(spark, d), results)
+    written = {
+        "stream_transactions": (STREAM_TRANSACTIONS, "transaction_id"),
+        "batch_transactions": (STREAM_TRANSACTIONS, "transaction_id"),
+        "cards_updated": (TABLES["cards"][0], "card_id"),
+        "customers_updated": (TABLES["customers"][0], "customer_id"),
+    }
+    reports = None
+    for name, (schema, key) in written.items():
+        report = tables.sorted_report(spark, f"{results}/{name}", schema, key).withColumn("result", F.lit(name))
+        reports = report if reports is None else reports.union(report)
+    return reports
+
+
 def published_together(spark, d):
     """Cards with the scores of their customers, from one version of both, published by a run that happens once."""
     store = _fill(VersionedStore(spark, scratch_path(spark, "store")), spark, d)
@@ -553,6 +596,17 @@ def load_and_publish(spark, d):
     return store.read("customers").select("customer_id", "name", "address", "credit_score")
 
 
+def csv_line_breaks(spark, d):
+    """Typed result files whose text holds line breaks and quotes, read back by splits."""
+    path = scratch_path(spark, "csv")
+    broken = F.concat("merchant_name", F.when(F.col("transaction_id") % 5 == 0, '\n"a, b"\n').otherwise(""))
+    rows = _stream(spark, d).select(
+        "transaction_id", "card_id", broken.alias("merchant_name"), "timestamp", "amount", "pending_balance", "status"
+    )
+    tables.save_csv(rows, path)
+    return tables.read_typed_csv(spark, path, rows.schema)
+
+
 def csv_roundtrip(spark, d):
     path = scratch_path(spark, "csv")
     tables.save_csv(roles.customers(spark, d), path)
@@ -637,6 +691,8 @@ QUERIES: dict[str, Query] = {
         stream_authorize,
         stream_authorize_running,
         stream_out_of_order,
+        stream_restarted,
+        stream_bucketed,
         stream_merged,
         stream_quarantine,
         stream_hot_card,
@@ -649,7 +705,9 @@ QUERIES: dict[str, Query] = {
         nightly_cards,
         nightly_customers,
         published_together,
+        sorted_results,
         load_and_publish,
+        csv_line_breaks,
         csv_roundtrip,
         csv_skip_bad_rows,
         csv_skipped_lines,

@@ -374,6 +374,8 @@ ORACLE: dict[str, str] = {
     "stream_out_of_order": _with(
         *_BASE, joined(arrival="t.transaction_id % 7"), RULES, RUNNING, RUNNING_OUT, recursive=True
     ),
+    "stream_restarted": _with(*_UPDATES, _UPDATES_OUT),
+    "stream_bucketed": _RUNNING,
     "stream_merged": _with(*_UPDATES, STREAM, "select * from stream"),
     "stream_hot_card": _with(*_HOT, RUNNING, RUNNING_OUT, recursive=True),
     "stream_table": _with(*_UPDATES, STREAM, "select * from stream"),
@@ -426,6 +428,20 @@ ORACLE: dict[str, str] = {
            name || case when customer_id % 3 = 0 then chr(10) || '"second", line' else '' end as name
            from customers""",
     ),
+    "sorted_results": _with(
+        *_BASE,
+        """select 'stream_transactions' as result, count(*) as n_rows, 0 as n_misplaced from tx
+           union all select 'batch_transactions', count(*), 0 from tx
+           union all select 'cards_updated', count(*), 0 from cards
+           union all select 'customers_updated', count(*), 0 from customers""",
+    ),
+    "csv_line_breaks": _with(
+        *_UPDATES, STREAM,
+        """select s.transaction_id, s.card_id, s.timestamp, s.amount, s.pending_balance, s.status,
+             t.merchant_name || case when t.transaction_id % 5 = 0 then chr(10) || '"a, b"' || chr(10) else '' end
+               as merchant_name
+           from stream s join tx t on s.transaction_id = t.transaction_id""",
+    ),
     "csv_roundtrip": _with(CUSTOMERS, "select *, cast(null as double) as annual_income from customers"),
     "csv_skip_bad_rows": _with(
         TX,

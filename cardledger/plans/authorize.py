@@ -135,7 +135,23 @@ def stream_table(
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """All transactions with their verdict; what `stream_transactions` gives, without a join."""
-    rows = checked(transactions, cards, customers, running_limit, hot_rows, _rest(transactions))
+    rows = checked_whole(transactions, cards, customers, running_limit, hot_rows)
+    return as_stream(rows, transactions.columns)
+
+
+def checked_whole(
+    transactions: DataFrame,
+    cards: DataFrame,
+    customers: DataFrame,
+    running_limit: bool = False,
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """`checked` with all columns of the transactions: saved, it gives `as_stream` and `as_aside`."""
+    return checked(transactions, cards, customers, running_limit, hot_rows, _rest(transactions))
+
+
+def as_stream(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The transactions (their `columns`) with their verdict, out of `checked_whole`."""
     done = rows.withColumns(
         {
             "pending_balance": F.when(F.col("aside").isNull(), F.col("pending_balance")).otherwise(0.0),
@@ -143,7 +159,12 @@ def stream_table(
             "timestamp": result_time(F.col("timestamp")),
         }
     )
-    return done.select(*transactions.columns, "pending_balance", "status")
+    return done.select(*columns, "pending_balance", "status")
+
+
+def as_aside(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The transactions that are not checked, with the cause, out of `checked_whole`."""
+    return rows.filter(F.col("aside").isNotNull()).select(*columns, F.col("aside").alias("cause"))
 
 
 def _rest(transactions: DataFrame) -> list[str]:

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cardledger.operators.ledger import approve_pending
 from cardledger.operators.settle import adjust_limits, rescore_customers, roll_forward_balances
-from cardledger.plans.authorize import set_aside, stream_table
+from cardledger.plans.authorize import as_aside, as_stream, checked_whole
 from cardledger.sources import files
 from cardledger.sources.published import VersionedStore
 from cardledger.sources.tables import load_all, save_csv
@@ -79,8 +79,9 @@ def run_once(
     tables = load_all(begun)
     transactions, cards, customers = (tables[n] for n in ("transactions", "cards", "customers"))
 
-    stream = steps.table("stream", lambda: stream_table(transactions, cards, customers, running_limit))
-    aside = steps.table("aside", lambda: set_aside(transactions, cards, customers))
+    rows = steps.table("stream", lambda: checked_whole(transactions, cards, customers, running_limit))
+    stream = as_stream(rows, transactions.columns)
+    aside = steps.table("aside", lambda: as_aside(rows, transactions.columns))
     approved = approve_pending(stream)
     rolled = steps.table("balances", lambda: roll_forward_balances(cards, approved, compat_float))
     rescored = steps.table("scores", lambda: rescore_customers(rolled, customers))

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from cardledger.operators.ledger import dedupe_first
-from cardledger.plans.authorize import set_aside, stream_table, stream_transactions
+from cardledger.plans.authorize import as_aside, as_stream, checked_whole, set_aside, stream_transactions
 from cardledger.plans.batch import BatchResult, run_batch, sorted_for_output
 from cardledger.sources.messages import replay_order
 from cardledger.sources.scratch import saved
@@ -40,11 +40,11 @@ def run_tables(
     if dedupe:
         transactions = saved(dedupe_first(transactions, "transaction_id", replay_order()), "transactions")
     if updates is None:
-        stream = stream_table(transactions, cards, customers, running_limit)
+        rows = saved(checked_whole(transactions, cards, customers, running_limit), "checked")
+        stream, aside = (part(rows, transactions.columns) for part in (as_stream, as_aside))
     else:
-        stream = stream_transactions(transactions, updates)
-    stream = saved(stream, "stream")
-    aside = saved(set_aside(transactions, cards, customers), "aside")
+        stream = saved(stream_transactions(transactions, updates), "stream")
+        aside = saved(set_aside(transactions, cards, customers), "aside")
     batch = run_batch(stream, cards, customers, compat_float, save_balances=True)
     return WholeRun(stream, batch, aside, aside.count())
 

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from cardledger.functions.text import blank_to_null
 from cardledger.schemas import TABLES, require_primary_key
+from cardledger.sources.csv_records import csv_records
 from cardledger.sources.published import VersionedStore
 from cardledger.sources.scratch import saved
 
@@ -24,6 +25,8 @@ def _read_text_fields(spark: SparkSession, path: str, schema: StructType, multi_
         raise ValueError(f"{path}: no such columns: {sorted(unknown)}")
     # All text, so that only a wrong number of fields makes a line malformed, not a bad value.
     text = StructType([StructField(c, StringType()) for c in [*header, _MALFORMED]])
+    if multi_line:
+        return _parsed(spark, path, header, text, mode="PERMISSIVE", columnNameOfCorruptRecord=_MALFORMED)
     reader = spark.read.options(
         **options,
         mode="PERMISSIVE",
@@ -34,6 +37,23 @@ def _read_text_fields(spark: SparkSession, path: str, schema: StructType, multi_
     return reader.schema(text).csv(path)
 
 
+def _ddl(schema: StructType) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+
+
+def _parsed(spark: SparkSession, path: str, header: list[str] | None, schema: StructType, **options) -> DataFrame:
+    """The fields of all records of the files at `path`, whose header must be `header`, if it is given."""
+    quotes = {"quote": '"', "escape": '"'}
+    is_row = F.when(~F.col("header"), True)
+    if header is not None:
+        names = F.from_csv("record", ", ".join(f"_{i} string" for i in range(len(header))), quotes)
+        found = F.array(*[F.trim(F.replace(names[f"_{i}"], F.lit("\ufeff"), F.lit(""))) for i in range(len(header))])
+        other = F.raise_error(F.concat(F.lit(f"{path}: a file has another header: "), F.col("record")))
+        is_row = is_row.when(found != F.array(*map(F.lit, header)), other.cast("boolean"))
+    rows = csv_records(spark, path).where(is_row.otherwise(False))
+    return rows.select(F.from_csv("record", _ddl(schema), quotes | options).alias("_r")).select("_r.*")
+
+
 def _is_malformed(fields: DataFrame) -> Column:
     # Spark reads no CSV for the malformed lines alone, so the test takes in a field as well.
     other = next(c for c in fields.columns if c != _MALFORMED)
@@ -60,8 +80,8 @@ def read_csv(
 ) -> DataFrame:
     """Read CSV with a header into `schema`, without the lines `skipped_lines` gives.
 
-    Columns are matched by name; those the file lacks are null. Empty text is empty, not null. `multi_line` allows line breaks in
-    quotes, at the price of one task per file.
+    Columns are matched by name; those the file lacks are null. Empty text is empty, not null. `multi_line`
+    allows line breaks in quotes, at the price of reading the files twice; files are split all the same.
     """
     return _typed(_read_text_fields(spark, path, schema, multi_line), schema)
 
@@ -77,22 +97,50 @@ def skipped_lines(
 def read_typed_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Read result files back with their types; a value of another type is an error.
 
-    Line breaks in quotes are kept, so a file is read by one task. CSV has one sign for empty text and
-    for null: it comes back as null, but as empty text in a status. Jobs go on from parquet, not from
-    these files.
+    Line breaks in quotes are kept, and files are split. CSV has one sign for empty text and for null: it
+    comes back as null, but as empty text in a status. Jobs go on from parquet, not from these files.
     """
-    options = {"header": True, "quote": '"', "escape": '"', "multiLine": True, "mode": "FAILFAST"}
-    df = spark.read.options(**options).schema(schema).csv(path)
+    df = _parsed(spark, path, None, schema, mode="FAILFAST")
     return df.fillna("", ["status"]) if "status" in df.columns else df
 
 
 def save_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
-    """Write CSV with a header, over what was there. One file only where the data is small."""
+    """Write CSV with a header, over what was there. One file only where the data is small.
+
+    Text keeps the white space around it.
+    """
     (df.coalesce(1) if single_file else df).write.mode("overwrite").options(
-        header=True, quote='"', escape='"'
+        header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
     ).csv(path)
 
 
+def sorted_report(spark: SparkSession, path: str, schema: StructType, key: str) -> DataFrame:
+    """One row on the result files at `path`: n_rows, and n_misplaced, the rows whose `key` is below that of
+    the row before them, in the order of files by name and of rows within. Values have no line breaks.
+
+    Rows are compared within each file, and files by their first and last keys alone.
+    """
+    rows = spark.read.options(header=True, quote='"', escape='"').schema(schema).csv(path)
+    rows = rows.select(
+        F.col(key).alias("key"),
+        F.col("_metadata.file_name").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("place"),  # within a block, in the order of its rows
+    )
+    before = F.lag("key").over(Window.partitionBy("file").orderBy("block", "place"))
+    per_file = rows.withColumn("falls", F.coalesce(F.col("key") < before, F.lit(False)).cast("long")).groupBy("file").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum("falls").alias("falls"),
+        F.min_by("key", F.struct("block", "place")).alias("first"),
+        F.max_by("key", F.struct("block", "place")).alias("last"),
+        F.lit(path).alias("path"),
+    )
+    earlier = F.lag("last").over(Window.partitionBy("path").orderBy("file"))
+    per_file = per_file.withColumn("falls", F.col("falls") + F.coalesce(F.col("first") < earlier, F.lit(False)).cast("long"))
+    sums = [F.coalesce(F.sum(c), F.lit(0)).alias(name) for c, name in (("n", "n_rows"), ("falls", "n_misplaced"))]
+    return per_file.agg(*sums)
+
+
 def jdbc_options(
     url: str,
     table: str,
@@ -153,8 +201,8 @@ def load_table(store: Store, csv_path: str, name: str, multi_line: bool = True)
     """Load a CSV file over the table `name`: (the table, lines skipped).
 
     The new rows are written aside and their key is checked before the old table is replaced. The
-    skipped lines are counted in the same pass. Quoted text may hold line breaks, at the price of
-    one task per file; without `multi_line` files are split, and a line break ends a row.
+    skipped lines are counted in the same pass. Quoted text may hold line breaks, at the price of one more
+    pass over the files; without `multi_line` a line break ends a row.
     """
     schema, key = TABLES[name]
     seen = Observation()
