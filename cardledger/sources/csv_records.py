@@ -3,7 +3,8 @@
 Spark splits text files between lines, not between records. A line break ends a record only where an even
 number of quotes came before it, so each block's lines are read twice: first to count its quotes (one row
 per block), then, with the parity of the file's earlier blocks, to put lines together. Both are plain scans.
-What a block's end cuts is put together by a small shuffle of those pieces alone, at most two a block.
+A record that is cut by a block's end is put together from its pieces, at most two a block, by a small
+shuffle; this reads the lines once more, of which only those of blocks with such pieces go any further.
 """
 
 from __future__ import annotations
@@ -15,6 +16,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from cardledger.sources.scratch import saved
+
 # Blocks beyond the first of their file that one read may have: what is broadcast is a path and two numbers
 # for each. At 128 MB a block this is 128 TB.
 MOST_BLOCKS = 1_000_000
@@ -31,16 +34,21 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def _open_blocks(lines: DataFrame, most: int) -> DataFrame:
-    """Per block that is not its file's first: does it begin within quotes? The number of quotes before a
-    place depends on the place alone, so it holds however a later scan is split."""
+def _blocks(lines: DataFrame, most: int) -> tuple[DataFrame, bool]:
+    """(file, block, open, cut) of blocks that are not their file's first or have a piece of a record: does
+    it begin within quotes, and has it a piece? And whether any has. The number of quotes before a place
+    depends on the place alone, so it holds however a later scan is split."""
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    blocks = lines.groupBy("file", "block").agg((F.sum(quotes) % 2).alias("odd"))
-    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    found = blocks.select("file", "block", (F.sum("odd").over(earlier) % 2 == 1).alias("open")).where("block > 0")
-    if (n := found.count()) > most:
+    counted = lines.groupBy("file", "block").agg((F.sum(quotes) % 2).alias("odd"))
+    upto = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ends_open = counted.withColumn("ends_open", F.sum("odd").over(upto) % 2 == 1)
+    opened = F.col("ends_open") != (F.col("odd") == 1)
+    found = ends_open.select("file", "block", opened.alias("open"), (opened | F.col("ends_open")).alias("cut"))
+    found = saved(found.where("block > 0 or cut"), "blocks")
+    n, n_cut = found.agg(F.count(F.lit(1)), F.count_if("cut")).first()
+    if n > most:
         raise ValueError(f"{n} blocks, {most} at most: raise spark.sql.files.maxPartitionBytes")
-    return found
+    return found, n_cut > 0
 
 
 def _put_together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -95,26 +103,30 @@ def csv_records(spark: SparkSession, path: str, most_blocks: int = MOST_BLOCKS)
     outside of them. Records of white space alone are left out. A file that ends within quotes is an error.
     """
     lines = _lines(spark, path)
-    blocks = F.broadcast(_open_blocks(lines, most_blocks))
+    blocks, any_cut = _blocks(lines, most_blocks)
     lost = F.raise_error(F.lit("the files have changed while they were read")).cast("boolean")
     begins_open = F.when(F.col("block") == 0, F.lit(False)).otherwise(F.coalesce("open", lost))
-    pieces = (
-        lines.join(blocks, ["file", "block"], "left")
-        .select("value", "file", "block", begins_open.alias("open"))
-        .mapInArrow(_put_together, _PIECES)
-    )
-    whole = pieces.where(F.col("part") == _WHOLE).select("record", "first")
+
+    def pieces(blocks: DataFrame, how: str) -> DataFrame:
+        known = lines.join(F.broadcast(blocks.select("file", "block", "open")), ["file", "block"], how)
+        return known.select("value", "file", "block", begins_open.alias("open")).mapInArrow(_put_together, _PIECES)
+
+    records = pieces(blocks, "left").where(F.col("part") == _WHOLE).select("record", "first")
+    if any_cut:
+        records = records.union(_mended(pieces(blocks.where("cut"), "inner").where(F.col("part") != _WHOLE)))
+    records = records.where(F.col("record").rlike(r"\S"))
+    return records.select(F.rtrim(F.col("record"), F.lit("\r")).alias("record"), F.col("first").alias("header"))
+
+
+def _mended(pieces: DataFrame) -> DataFrame:
+    """(record, first) of the records that lie in more than one block."""
     in_file = Window.partitionBy("file").orderBy("block", F.col("part") == _BEGUN)
-    cut = pieces.where(F.col("part") != _WHOLE).withColumn(
-        "number", F.sum((F.col("part") == _BEGUN).cast("long")).over(in_file)
-    )
-    joined = cut.groupBy("file", "number").agg(
+    numbered = pieces.withColumn("number", F.sum((F.col("part") == _BEGUN).cast("long")).over(in_file))
+    joined = numbered.groupBy("file", "number").agg(
         F.array_sort(F.collect_list(F.struct("block", "part", "record"))).alias("pieces"),
         F.bool_or("first").alias("first"),
         F.bool_or(F.col("part") == _ENDED).alias("ended"),
     )
     text = F.array_join(F.col("pieces.record"), "\n")
     unfinished = F.raise_error(F.concat(F.col("file"), F.lit(" ends within quotes"))).cast("string")
-    mended = joined.select(F.when(F.col("ended"), text).otherwise(unfinished).alias("record"), "first")
-    records = whole.union(mended).where(F.col("record").rlike(r"\S"))
-    return records.select(F.rtrim(F.col("record"), F.lit("\r")).alias("record"), F.col("first").alias("header"))
+    return joined.select(F.when(F.col("ended"), text).otherwise(unfinished).alias("record"), "first")
