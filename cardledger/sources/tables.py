@@ -115,8 +115,9 @@ def save_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
 
 
 def sorted_report(spark: SparkSession, path: str, schema: StructType, key: str) -> DataFrame:
-    """One row on the result files at `path`: n_rows, and n_misplaced, the rows whose `key` is below that of
-    the row before them, in the order of files by name and of rows within. Values have no line breaks.
+    """One row on the result files at `path` (none if they are empty): n_rows, and n_misplaced, the rows whose
+    `key` is below that of the row before them, in the order of files by name and of rows within. Values have
+    no line breaks.
 
     Rows are compared within each file, and files by their first and last keys alone.
     """
@@ -124,21 +125,20 @@ def sorted_report(spark: SparkSession, path: str, schema: StructType, key: str)
     rows = rows.select(
         F.col(key).alias("key"),
         F.col("_metadata.file_name").alias("file"),
+        F.regexp_extract("_metadata.file_path", "^(.*)/", 1).alias("folder"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("place"),  # within a block, in the order of its rows
     )
-    before = F.lag("key").over(Window.partitionBy("file").orderBy("block", "place"))
-    per_file = rows.withColumn("falls", F.coalesce(F.col("key") < before, F.lit(False)).cast("long")).groupBy("file").agg(
+    before = F.lag("key").over(Window.partitionBy("folder", "file").orderBy("block", "place"))
+    per_file = rows.withColumn("falls", F.coalesce(F.col("key") < before, F.lit(False)).cast("long")).groupBy("folder", "file").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("falls").alias("falls"),
         F.min_by("key", F.struct("block", "place")).alias("first"),
         F.max_by("key", F.struct("block", "place")).alias("last"),
-        F.lit(path).alias("path"),
     )
-    earlier = F.lag("last").over(Window.partitionBy("path").orderBy("file"))
+    earlier = F.lag("last").over(Window.partitionBy("folder").orderBy("file"))
     per_file = per_file.withColumn("falls", F.col("falls") + F.coalesce(F.col("first") < earlier, F.lit(False)).cast("long"))
-    sums = [F.coalesce(F.sum(c), F.lit(0)).alias(name) for c, name in (("n", "n_rows"), ("falls", "n_misplaced"))]
-    return per_file.agg(*sums)
+    return per_file.groupBy("folder").agg(F.sum("n").alias("n_rows"), F.sum("falls").alias("n_misplaced")).drop("folder")
 
 
 def jdbc_options(
