@@ -21,7 +21,7 @@ from cardledger.operators.settle import adjust_limits, rescore_customers, roll_f
 from cardledger.plans.batch import BatchResult
 from cardledger.schemas import STREAM_TRANSACTIONS
 from cardledger.sources.files import exists
-from cardledger.sources.scratch import saved
+from cardledger.sources.scratch import COMPRESSION, saved
 from cardledger.sources.versions import Ledger, Merged
 
 PENDING = "card_id long, transaction_id long, pending_balance double"
@@ -75,7 +75,7 @@ class NightlyBatch:
         """May be run again: it writes folders of its own number, and enters itself into the ledger last."""
         counted = Observation()
         approved = approve_pending(rows).observe(counted, F.count(F.lit(1)).alias("rows"))
-        approved.write.mode("overwrite").parquet(f"{self.root}/approved/batch={number}")
+        approved.write.mode("overwrite").parquet(f"{self.root}/approved/batch={number}", compression=COMPRESSION)
         written = self.spark.read.schema(self.schema).parquet(f"{self.root}/approved/batch={number}")
         self.pending.write(written.filter("card_id is not null and transaction_id is not null"), number)
         self.ledger.commit(number, {"rows": counted.get["rows"]})

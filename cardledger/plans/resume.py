@@ -19,6 +19,7 @@ from cardledger.operators.settle import adjust_limits, rescore_customers, roll_f
 from cardledger.plans.authorize import as_aside, as_stream, checked_whole
 from cardledger.sources import files
 from cardledger.sources.published import VersionedStore
+from cardledger.sources.scratch import COMPRESSION
 from cardledger.sources.tables import load_all, save_csv
 
 
@@ -32,7 +33,7 @@ class Steps:
     def table(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
         path = f"{self.root}/{name}"
         if not self.is_done(name):
-            make().write.mode("overwrite").parquet(path)
+            make().write.mode("overwrite").parquet(path, compression=COMPRESSION)
         return self.spark.read.parquet(path)
 
     def csv(self, name: str, path: str, make: Callable[[], DataFrame]) -> None:

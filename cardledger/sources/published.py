@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cardledger.schemas import TABLES, require_primary_key
 from cardledger.sources import files
+from cardledger.sources.scratch import COMPRESSION
 
 
 @dataclass(frozen=True)
@@ -58,7 +59,7 @@ class VersionedStore:
             schema, key = TABLES[name]
             folders[name] = uuid.uuid4().hex
             path = self._folder(name, folders[name])
-            df.select(*schema.names).write.parquet(path)
+            df.select(*schema.names).write.parquet(path, compression=COMPRESSION)
             require_primary_key(self.spark.read.schema(schema).parquet(path), key)
         self._commit(before + 1, {"tables": folders, "run": run})
         return before + 1

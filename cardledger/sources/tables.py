@@ -11,7 +11,7 @@ from cardledger.functions.text import blank_to_null
 from cardledger.schemas import TABLES, require_primary_key
 from cardledger.sources.csv_records import csv_records
 from cardledger.sources.published import VersionedStore
-from cardledger.sources.scratch import saved
+from cardledger.sources.scratch import COMPRESSION, saved
 
 _MALFORMED = "_malformed"
 
@@ -171,7 +171,7 @@ class ParquetStore:
         return self.spark.read.schema(TABLES[name][0]).parquet(f"{self.root}/{name}")
 
     def write(self, df: DataFrame, name: str) -> None:
-        df.write.mode("overwrite").parquet(f"{self.root}/{name}")
+        df.write.mode("overwrite").parquet(f"{self.root}/{name}", compression=COMPRESSION)
 
 
 @dataclass(frozen=True)
