@@ -12,27 +12,33 @@ from pyspark.sql import Column, DataFrame, functions as F
 from cardledger.llm.texts import mix
 from cardledger.sources.scratch import saved
 
-BITS_PER_KEY = 12
-HASHES = 8
-MOST_KEYS = 1 << 26  # of one filter: 96 MB
+BITS_PER_KEY = 16
+BITS = 5  # that a key sets, all in one word
+MOST_KEYS = 3 << 24  # of one filter: 96 MB
 
 
-def _places(keys: np.ndarray, bits: int) -> Iterator[np.ndarray]:
-    for i in range(HASHES):
-        yield (mix(keys + np.uint64(0x9E3779B97F4A7C15 * (i + 1) % (1 << 64))) % np.uint64(bits)).astype(np.int64)
+def _places(keys: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """The word of each key, and the bits it has there."""
+    h = mix(keys + np.uint64(0x9E3779B97F4A7C15))
+    word = ((h >> np.uint64(32)) * np.uint64(words) >> np.uint64(32)).astype(np.int64)
+    bits = np.zeros(len(keys), np.int64)
+    for i in range(BITS):
+        bits |= np.int64(1) << ((h >> np.uint64(6 * i)) & np.uint64(63)).astype(np.int64)
+    return word, bits
 
 
 class Bloom:
-    """A set of keys that knows all its members, and some other keys besides (under 1 in 300)."""
+    """A set of keys that knows all its members, and some other keys besides (under 1 in 150).
+
+    A key's bits are in one word, so that building it moves a row per key, and a look-up reads once.
+    """
 
     def __init__(self, words: np.ndarray):
         self.words = words
 
     def knows(self, keys: np.ndarray) -> np.ndarray:
-        found = np.ones(len(keys), bool)
-        for at in _places(keys.view(np.uint64), len(self.words) * 64):
-            found &= (self.words[at >> 6] >> (at & 63)) & 1 == 1
-        return found
+        word, bits = _places(keys.view(np.uint64), len(self.words))
+        return self.words[word] & bits == bits
 
     def look_up(self, column: Column) -> Column:
         @F.pandas_udf("boolean")
@@ -43,19 +49,19 @@ class Bloom:
 
 
 def _build(keys: DataFrame, n: int, stretch: int | None = None) -> Bloom:
-    bits = 64 * max(1, -(-n * BITS_PER_KEY // 64))
+    size = max(1, -(-n * BITS_PER_KEY // 64))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = batch["key"].to_numpy().view(np.uint64)
-            at = np.unique(np.concatenate(list(_places(values, bits)))) if len(values) else np.zeros(0, np.int64)
-            word, first = np.unique(at >> 6, return_index=True)
-            masks = np.bitwise_or.reduceat(np.int64(1) << (at & 63), first) if len(word) else np.zeros(0, np.int64)
+            at, bits = _places(batch["key"].to_numpy().view(np.uint64), size)
+            order = np.argsort(at)
+            word, first = np.unique(at[order], return_index=True)
+            masks = np.bitwise_or.reduceat(bits[order], first) if len(word) else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(masks)], names=["word", "mask"])
 
     set_bits = keys.select("key").mapInArrow(run, "word long, mask long")
-    merged = set_bits.groupBy("word").agg(F.bit_or("mask").alias("mask"))  # at most bits / 64 rows
-    words = np.zeros(bits // 64, np.int64)
+    merged = set_bits.groupBy("word").agg(F.bit_or("mask").alias("mask"))  # at most `size` rows
+    words = np.zeros(size, np.int64)
     parts = [merged]
     if stretch and stretch < len(words):
         merged = saved(merged, "bits")

@@ -38,9 +38,10 @@ from collections.abc import Iterator
 from functools import cached_property
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StructField, StructType
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import ArrayType, BinaryType, BooleanType, IntegerType, LongType, StructField, StructType
 
 from cardledger.llm.bloom import Bloom, blooms, only_keys
 from cardledger.llm.texts import BASE_INVERSE, Prefix, Words, as_bytes, groups, mix, wrapped
@@ -64,6 +65,15 @@ LINES = StructType(
     ]
 )
 
+KEYED = StructType(
+    [
+        *LINES.fields,
+        StructField("n", IntegerType()),
+        StructField("words", ArrayType(LongType())),
+        StructField("segments", ArrayType(LongType())),
+    ]
+)
+
 # A key of a line, and the line's own hash.
 KEYS = StructType([StructField("key", LongType()), StructField("line", LongType())])
 
@@ -77,7 +87,6 @@ RUNS = StructType(
         StructField("at", IntegerType()),
         StructField("n", IntegerType()),
         StructField("segment", BooleanType()),
-        *LINES.fields[:3],
     ]
 )
 
@@ -98,11 +107,35 @@ class Lines:
         self.first = np.searchsorted(self.words.start, start)
         self.last = np.searchsorted(self.words.start, np.r_[breaks, len(raw)])
         self.count = self.last - self.first
-        self.hash1 = Prefix(self.words.hash)
+        self.hash = self.words.hash
+
+    @classmethod
+    def stored(cls, words: pa.Array, number: pa.Array) -> Lines:
+        """Lines whose words' hashes are in a table, a row per line."""
+        lines = cls.__new__(cls)
+        offsets = words.offsets.to_numpy()
+        lines.first, lines.last = offsets[:-1] - offsets[0], offsets[1:] - offsets[0]
+        lines.count = lines.last - lines.first
+        lines.owner, lines.number = np.arange(len(words)), number.to_numpy()
+        lines.hash = words.flatten().to_numpy().view(np.uint64)
+        return lines
+
+    @cached_property
+    def hash1(self) -> Prefix:
+        return Prefix(self.hash)
 
     @cached_property
     def hash2(self) -> Prefix:
-        return Prefix(mix(self.words.hash ^ _SECOND))
+        return Prefix(mix(self.hash ^ _SECOND))
+
+
+def _lines_of(batch: pa.RecordBatch) -> Iterator[tuple[int, Lines]]:
+    """The lines of a batch of texts, by groups with their first text's index, or those stored by their words."""
+    if "words" in batch.schema.names:
+        yield 0, Lines.stored(batch["words"], batch["line"])
+        return
+    for first, group in groups(as_bytes(batch["text"])):
+        yield first, Lines(group)
 
 
 def _signed(h: np.ndarray) -> np.ndarray:
@@ -127,29 +160,43 @@ def _halves(lines: Lines, pick: np.ndarray) -> list[np.ndarray]:
     return [_half(lines, pick, n - less, kind) for less in (0, 1) for kind in (0, 1)]
 
 
-def line_table(docs: DataFrame) -> DataFrame:
-    """LINES of all documents (columns row, doc_id, text): a line's place and hashes, not its text."""
+def _lists(values: np.ndarray, count: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(count)].astype(np.int32)), pa.array(_signed(values)))
+
+
+def line_table(docs: DataFrame, growing: bool = False) -> DataFrame:
+    """LINES of all documents (columns row, doc_id, text): a line's place and hashes, not its text.
+    With `growing` KEYED: also the words of lines that allow an edit and are not longer than LONG, and the
+    segments of lines from LONG words on."""
+    schema = KEYED if growing else LINES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = batch["row"].to_numpy()
-            for first, group in groups(as_bytes(batch["text"])):
-                lines = Lines(group)
+            for first, lines in _lines_of(batch):
                 pick = np.flatnonzero(lines.count >= MIN_WORDS)
                 owner = lines.owner[pick] + first
-                begin, end = lines.first[pick], lines.last[pick]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(rows[owner]),
-                        pa.array(lines.number[pick].astype(np.int32)),
-                        batch["doc_id"].take(pa.array(owner)),
-                        pa.array(_signed(lines.hash1.hashes(begin, end))),
-                        pa.array(_short(lines.hash2.hashes(begin, end))),
-                    ],
-                    names=LINES.names,
-                )
-
-    return docs.select("row", "doc_id", "text").mapInArrow(run, LINES)
+                begin, end, n = lines.first[pick], lines.last[pick], lines.count[pick]
+                columns = [
+                    pa.array(rows[owner]),
+                    pa.array(lines.number[pick].astype(np.int32)),
+                    batch["doc_id"].take(pa.array(owner)),
+                    pa.array(_signed(lines.hash1.hashes(begin, end))),
+                    pa.array(_short(lines.hash2.hashes(begin, end))),
+                ]
+                if growing:
+                    short = np.where((n >= EDIT_FROM) & (n <= LONG), n, 0)
+                    word = np.repeat(begin - (np.cumsum(short) - short), short) + np.arange(short.sum())
+                    line, at, length = _segments(lines)
+                    at = lines.first[line] + at
+                    columns += [
+                        pa.array(n.astype(np.int32)),
+                        _lists(lines.hash[word], short),
+                        _lists(lines.hash1.hashes(at, at + length), np.where(n >= LONG, n // EDIT_FROM + 1, 0)),
+                    ]
+                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+    return docs.select("row", "doc_id", "text").mapInArrow(run, schema)
 
 
 def half_table(docs: DataFrame) -> DataFrame:
@@ -157,8 +204,7 @@ def half_table(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, group in groups(as_bytes(batch["text"])):
-                lines = Lines(group)
+            for _, lines in _lines_of(batch):
                 pick = np.flatnonzero(lines.count >= EDIT_FROM)
                 itself = lines.hash1.hashes(lines.first[pick], lines.last[pick])
                 yield pa.RecordBatch.from_arrays(
@@ -166,7 +212,7 @@ def half_table(docs: DataFrame) -> DataFrame:
                     names=KEYS.names,
                 )
 
-    return docs.select("text").mapInArrow(run, KEYS)
+    return docs.mapInArrow(run, KEYS)
 
 
 def _deletions(prefix: Prefix, first: np.ndarray, last: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -195,13 +241,12 @@ def variant_keys(docs: DataFrame, like: Bloom) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, group in groups(as_bytes(batch["text"])):
-                lines = Lines(group)
+            for _, lines in _lines_of(batch):
                 line, _, h1 = _variants(lines, like)
                 itself = lines.hash1.hashes(lines.first[line], lines.last[line])
                 yield pa.RecordBatch.from_arrays([pa.array(_signed(h1)), pa.array(_signed(itself))], names=KEYS.names)
 
-    return docs.select("text").mapInArrow(run, KEYS)
+    return docs.mapInArrow(run, KEYS)
 
 
 def variant_table(docs: DataFrame, like: Bloom, shared: Bloom) -> DataFrame:
@@ -210,8 +255,7 @@ def variant_table(docs: DataFrame, like: Bloom, shared: Bloom) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = batch["row"].to_numpy()
-            for first, group in groups(as_bytes(batch["text"])):
-                lines = Lines(group)
+            for first, lines in _lines_of(batch):
                 line, at, h1 = _variants(lines, like)
                 busy = shared.knows(h1)
                 line, at, h1 = line[busy], at[busy], h1[busy]
@@ -232,7 +276,7 @@ def variant_table(docs: DataFrame, like: Bloom, shared: Bloom) -> DataFrame:
                     names=VARIANTS.names,
                 )
 
-    return docs.select("row", "doc_id", "text").mapInArrow(run, VARIANTS)
+    return docs.mapInArrow(run, VARIANTS)
 
 
 def shared_keys(keys: DataFrame) -> list[Bloom]:
@@ -317,36 +361,36 @@ def _other_runs(lines: Lines) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarr
         yield pick[of[~own]], at[~own], np.full((~own).sum(), length)
 
 
-def run_table(docs: DataFrame, like: Bloom | None) -> DataFrame:
-    """RUNS of all long lines: their segments, or (with `like`) other runs that it knows."""
+def segment_table(lines: DataFrame) -> DataFrame:
+    """RUNS: the segments of all long lines of KEYED."""
+    each = lines.select(F.col("h1").alias("of"), "n", F.posexplode("segments").alias("i", "key"))
+    at = F.expr(f"cast(n * i div (n div {EDIT_FROM} + 1) as int)")
+    return each.select("key", "of", at.alias("at"), "n", F.lit(True).alias("segment"))
+
+
+def run_table(docs: DataFrame, like: Bloom) -> DataFrame:
+    """RUNS of all long lines that `like` knows, without their segments."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = batch["row"].to_numpy()
-            for first, group in groups(as_bytes(batch["text"])):
-                lines = Lines(group)
-                for line, at, length in [_segments(lines)] if like is None else _other_runs(lines):
+            for _, lines in _lines_of(batch):
+                for line, at, length in _other_runs(lines):
                     begin = lines.first[line] + at
                     key = lines.hash1.hashes(begin, begin + length)
-                    if like is not None:
-                        known = like.knows(key)
-                        key, line, at = key[known], line[known], at[known]
-                    owner = lines.owner[line] + first
+                    known = like.knows(key)
+                    key, line, at = key[known], line[known], at[known]
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(_signed(key)),
                             pa.array(_signed(lines.hash1.hashes(lines.first[line], lines.last[line]))),
                             pa.array(at.astype(np.int32)),
                             pa.array(lines.count[line].astype(np.int32)),
-                            pa.array(np.full(len(key), like is None)),
-                            pa.array(rows[owner]),
-                            pa.array(lines.number[line].astype(np.int32)),
-                            batch["doc_id"].take(pa.array(owner)),
+                            pa.array(np.zeros(len(key), bool)),
                         ],
                         names=RUNS.names,
                     )
 
-    return docs.select("row", "doc_id", "text").mapInArrow(run, RUNS)
+    return docs.select("text").mapInArrow(run, RUNS)
 
 
 def word_table(docs: DataFrame, asked: Bloom) -> DataFrame:
@@ -354,8 +398,7 @@ def word_table(docs: DataFrame, asked: Bloom) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, group in groups(as_bytes(batch["text"])):
-                lines = Lines(group)
+            for _, lines in _lines_of(batch):
                 pick = np.flatnonzero(lines.count >= LONG)
                 itself = _signed(lines.hash1.hashes(lines.first[pick], lines.last[pick]))
                 known = asked.knows(itself)
@@ -363,20 +406,27 @@ def word_table(docs: DataFrame, asked: Bloom) -> DataFrame:
                 n = lines.count[pick]
                 before = np.cumsum(n) - n
                 word = np.repeat(lines.first[pick] - before, n) + np.arange(n.sum())
-                words = pa.ListArray.from_arrays(
-                    pa.array(np.r_[before, n.sum()].astype(np.int32)), pa.array(_signed(lines.words.hash[word]))
-                )
+                words = _lists(lines.hash[word], n)
                 yield pa.RecordBatch.from_arrays([pa.array(itself), words], names=WORDS.names)
 
     return docs.select("text").mapInArrow(run, WORDS)
 
 
+def _left_over(a: np.ndarray, b: np.ndarray) -> int:
+    """Words of one that the other lacks, whatever their order: a and b are this many edits apart at least."""
+    words, first = np.unique(np.r_[a, b], return_inverse=True)
+    more = np.bincount(first[: len(a)], minlength=len(words)) - np.bincount(first[len(a) :], minlength=len(words))
+    return int(max(more[more > 0].sum(), -more[more < 0].sum()))
+
+
 def within(a: np.ndarray, b: np.ndarray, most: int) -> bool:
     """Are a and b at most `most` edits apart? Furthest places reached per diagonal, edit by edit."""
     if abs(len(a) - len(b)) > most:
         return False
     if len(a) == len(b) and np.count_nonzero(a != b) <= most:
         return True
+    if _left_over(a, b) > most:
+        return False
     a, b = a.tolist(), b.tolist()
     reach = {}  # by diagonal (place in b minus place in a): words of a that are used up
     for edits in range(most + 1):
@@ -396,7 +446,7 @@ def within(a: np.ndarray, b: np.ndarray, most: int) -> bool:
 
 
 def _verified(pairs: DataFrame, words: DataFrame) -> DataFrame:
-    """The pairs (early, late, row, line) whose lines are within the bound: (late, row, line)."""
+    """The later lines of the pairs (early, late) that are within the bound: column `of`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -406,72 +456,106 @@ def _verified(pairs: DataFrame, words: DataFrame) -> DataFrame:
                 flat, offsets = column.values.to_numpy(), column.offsets.to_numpy()
                 sides.append([flat[x:y] for x, y in zip(offsets, offsets[1:])])
             good = [within(a, b, min(len(a), len(b)) // EDIT_FROM) for a, b in zip(*sides)]
-            yield batch.select(["late", "row", "line"]).filter(pa.array(good, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([batch["late"].filter(pa.array(good, pa.bool_()))], names=["of"])
 
     both = pairs.join(words.select(F.col("of").alias("early"), F.col("words").alias("_a")), "early")
     both = both.join(words.select(F.col("of").alias("late"), F.col("words").alias("_b")), "late")
-    return both.select("late", "row", "line", "_a", "_b").mapInArrow(run, "late long, row long, line int")
+    return both.select("late", "_a", "_b").mapInArrow(run, "of long").distinct()
+
+
+def _edits(n) -> Column:
+    return F.floor(n / EDIT_FROM).cast("int")
+
+
+def _stretch(bits) -> Column:
+    """Words of the stretches in which keys are sought in lines of n words, 2 ** (bits - 1) <= n < 2 ** bits:
+    four times the edits that any of them allows, at least."""
+    return F.floor(F.pow(F.lit(2), bits) * 4 / EDIT_FROM).cast("int") + 1
+
+
+def _bits(n) -> Column:
+    return F.length(F.bin(n))
 
 
-def far_lines(docs: DataFrame, gone: DataFrame) -> DataFrame:
+def far_lines(docs: DataFrame, lines: DataFrame) -> DataFrame:
     """(row, line) of long lines that have an earlier line within their bound. First copies only, as
-    the others are exact copies; those in `gone` (row, line) may be left out."""
-    segments = saved(run_table(docs, None), "segments")
+    the others are exact copies. `lines`: KEYED, with their `place`."""
+    segments = segment_table(lines)
     others = saved(_union([run_table(docs, like) for like in blooms(segments.select("key"), stretch=STRETCH)]), "runs")
     ends = segments.groupBy("key").agg(F.min("of").alias("low"), F.max("of").alias("high"))
     wanted = ends.where("low < high").select("key").union(others.select("key").distinct())
     runs = only_keys(segments, "key", saved(wanted, "wanted")).union(others)
-    runs = runs.groupBy("key", "of", "at", "n", "segment").agg(F.min(F.struct(*PLACE)).alias("place"))
-    runs = saved(runs, "places")
-    ends = runs.groupBy("key").agg(
-        F.min(F.struct("place", "of", "n")).alias("first"), F.min("of").alias("low"), F.max("of").alias("high")
+    # Of a line's runs with one key, those in one stretch of the line are one row.
+    runs = runs.withColumn("stretch", F.floor(F.col("at") / _stretch(_bits(F.col("n")))))
+    runs = runs.groupBy("key", "of", "n", "stretch").agg(
+        F.min("at").alias("low_at"), F.max("at").alias("high_at"), F.max("segment").alias("segment")
     )
-    ends = ends.where("low < high").select("key", "first")
-    runs = saved(runs.join(ends, "key"), "shared")
-    words = _union([word_table(docs, asked) for asked in blooms(saved(runs.select(F.col("of").alias("key")).distinct(), "asked"))])
+    runs = saved(runs, "places")
+    ends = runs.groupBy("key").agg(F.min("of").alias("low"), F.max("of").alias("high")).where("low < high")
+    runs = saved(runs.join(ends.select("key"), "key"), "shared")
+    asked = saved(runs.select(F.col("of").alias("key")).distinct(), "asked")
+    words = _union([word_table(docs, some) for some in blooms(asked)])
     words = saved(words.groupBy("of").agg(F.min("words").alias("words")), "words")
-
-    fits = F.abs(F.col("n") - F.col("m")) <= F.floor(F.least("n", "m") / EDIT_FROM)
-    pair = ["early", F.col("of").alias("late"), "place.row", "place.line"]
-    leading = runs.withColumns({"early": F.col("first.of"), "m": F.col("first.n")})
-    leading = leading.where(fits & (F.col("early") != F.col("of"))).select(*pair).distinct()
-    found = saved(_verified(leading, words).distinct(), "found")
-
-    left = runs.join(gone, (F.col("place.row") == gone["row"]) & (F.col("place.line") == gone["line"]), "left_anti")
-    left = left.join(found.select(F.col("late").alias("of")).distinct(), "of", "left_anti")
-    before = runs.where(F.col("first.of") != F.col("of")).select(
+    firsts = lines.join(asked, F.col("h1") == F.col("key")).groupBy(F.col("h1").alias("of"))
+    firsts = firsts.agg(F.min("place").alias("place")).orderBy("place")
+    firsts = saved(firsts.select("of", F.monotonically_increasing_id().alias("rank"), "place.row", "place.line"), "firsts")
+    runs = saved(runs.join(firsts.select("of", "rank"), "of"), "ranked")
+
+    bound = _edits(F.least("n", "m"))
+    fits = (F.abs(F.col("n") - F.col("m")) <= bound) & (F.col("early_rank") < F.col("rank"))
+    first = runs.groupBy("key").agg(
+        F.min("rank").alias("early_rank"), F.min_by("of", "rank").alias("early"), F.min_by("n", "rank").alias("m")
+    )
+    leading = runs.join(first, "key").where(fits).select("early", F.col("of").alias("late")).distinct()
+    found = saved(_verified(leading, words), "found")
+
+    # The lines that stay are compared with all earlier lines that have a key in the same stretch, or within
+    # the bound of it: a line is in the stretches of all lengths that it may be compared with.
+    left = runs.join(found, "of", "left_anti").withColumn("bits", _bits(F.col("n")))
+    m, most = F.col("m"), _edits(F.col("m"))
+    before = runs.select(
         "key",
         F.col("of").alias("early"),
-        F.col("at").alias("early_at"),
         F.col("n").alias("m"),
+        F.col("rank").alias("early_rank"),
+        F.col("low_at").alias("early_low"),
+        F.col("high_at").alias("early_high"),
         F.col("segment").alias("early_segment"),
-        F.col("place").alias("early_place"),
+    ).withColumn("bits", F.explode(F.array_distinct(F.array(_bits(m - most), _bits(m + most)))))
+    size = _stretch(F.col("bits"))
+    reach = F.sequence(F.floor((F.col("early_low") - most) / size), F.floor((F.col("early_high") + most) / size))
+    before = before.withColumn("stretch", F.explode(reach))
+    near = (F.col("low_at") - F.col("early_high") <= bound) & (F.col("early_low") - F.col("high_at") <= bound)
+    pairs = left.join(before, ["key", "bits", "stretch"]).where(
+        fits & near & (F.col("segment") | F.col("early_segment"))
     )
-    near = F.abs(F.col("at") - F.col("early_at")) <= F.floor(F.least("n", "m") / EDIT_FROM)
-    pairs = left.join(before, "key").where(
-        (F.col("early_place") < F.col("place"))
-        & (F.col("early") != F.col("of"))
-        & (F.col("segment") | F.col("early_segment"))
-        & fits
-        & near
-    )
-    rest = _verified(pairs.select(*pair).distinct(), words)
-    return found.union(rest).select("row", "line").distinct()
+    rest = _verified(saved(pairs.select("early", F.col("of").alias("late")).distinct(), "pairs"), words)
+    return firsts.join(found.union(rest), "of", "left_semi").select("row", "line")
 
 
 def removed_lines(docs: DataFrame, growing: bool = False) -> DataFrame:
     """(row, removed): the numbers of the lines to remove, for rows that have any."""
-    lines = saved(line_table(docs), "lines").withColumn("place", F.struct(*PLACE))
+    lines = saved(line_table(docs, growing), "lines").withColumn("place", F.struct(*PLACE))
     first = lines.groupBy("h1", "h2").agg(F.min("place").alias("earliest"))
     copies = lines.join(first, ["h1", "h2"]).where(F.col("earliest") < F.col("place")).select("row", "line")
-    near = near_lines(docs)
     if growing:
-        near = saved(near.distinct(), "near")
-        near = near.union(far_lines(docs, near))
-    every = copies.union(near)
+        short = lines.where(F.col("n").between(EDIT_FROM, LONG)).select("row", "doc_id", "line", "words")
+        every = copies.union(near_lines(short)).union(far_lines(docs, lines))
+    else:
+        every = copies.union(near_lines(docs))
     return every.groupBy(F.col("row").alias("_row")).agg(F.collect_set("line").alias("_removed"))
 
 
+@F.pandas_udf(BinaryType())
+def _without_lines(texts: pd.Series, removed: pd.Series) -> pd.Series:
+    """The texts without the lines of these numbers."""
+
+    def left(text: bytes, gone: set[int]) -> bytes:
+        return b"\n".join(line for i, line in enumerate(text.split(b"\n")) if i not in gone)
+
+    return pd.Series([None if t is None else left(t, set(gone.tolist())) for t, gone in zip(texts, removed)], dtype=object)
+
+
 def dedup_lines(docs: DataFrame, growing: bool = False) -> DataFrame:
     """All rows of `docs`, with their columns, and _n_lines and _n_removed; text without the lines removed.
 
@@ -483,14 +567,13 @@ def dedup_lines(docs: DataFrame, growing: bool = False) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("text").cast("string").alias("text"),
     )
-    joined = wrapped(docs, ROW).join(removed_lines(slim, growing), F.col(ROW) == F.col("_row"), "left")
+    removed = removed_lines(slim, growing).hint("shuffle_hash")  # the texts are moved, but not sorted
+    joined = wrapped(docs, ROW).join(removed, F.col(ROW) == F.col("_row"), "left")
     whole = F.col("_doc.text").cast("string")
-    lines = F.split(whole, "\n", -1)  # only where lines go
     breaks = F.octet_length(whole) - F.octet_length(F.replace(whole, F.lit("\n"), F.lit("")))
-    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_removed"))
-    text = F.when(
-        F.col("_removed").isNotNull(), F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n")
-    ).otherwise(whole)
+    lossy = F.col("_removed").isNotNull()
+    left = _without_lines(F.when(lossy, whole.cast("binary")), "_removed")  # only these go to Python
+    text = F.when(lossy, left.cast("string")).otherwise(whole)
     kept = [c for c in docs.columns if c not in ("_n_lines", "_n_removed")]
     out = joined.select(
         *[text.alias("text") if c == "text" else F.col(f"_doc.`{c}`").alias(c) for c in kept],

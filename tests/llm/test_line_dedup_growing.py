@@ -78,3 +78,28 @@ def test_edit_distance():
         b = edited(rng, a, rng.randint(0, 5), range(4))
         for most in range(5):
             assert op.within(np.array(a), np.array(b), most) == (distance(a, b) <= most)
+
+
+def test_a_phrase_again_and_again_is_a_row_per_stretch(stored, monkeypatch):
+    """Rows that are joined do not grow with the times a line repeats a phrase."""
+    rows, saved = {}, op.saved
+
+    def counted(df, name, *more):
+        out = saved(df, name, *more)
+        rows[name] = out.count()
+        return out
+
+    monkeypatch.setattr(op, "saved", counted)
+    phrase = ["w%d" % i for i in range(9)]
+    line = phrase * 300
+    other = [x if i % 11 else "y%d" % i for i, x in enumerate(line)]  # one word in eleven: within the bound
+    far = [x if i % 9 else "z%d" % i for i, x in enumerate(line)]
+    docs = stored([(i, " ".join(x), 0, "l", "r") for i, x in enumerate((line, other, far))], SCHEMA)
+    assert [r._n_removed for r in op.dedup_lines(docs, growing=True).orderBy("doc_id").collect()] == [0, 1, 0]
+    assert rows["places"] < 1000
+
+
+def test_distance_of_lines_with_other_words_needs_no_search():
+    a, b = np.arange(50_000), np.arange(50_000) + 10_000
+    assert op._left_over(a, b) == 10_000
+    assert not op.within(a, b, 5_000)
