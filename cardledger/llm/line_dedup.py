@@ -525,10 +525,16 @@ def far_lines(docs: DataFrame, lines: DataFrame) -> DataFrame:
     size = _stretch(F.col("bits"))
     reach = F.sequence(F.floor((F.col("early_low") - most) / size), F.floor((F.col("early_high") + most) / size))
     before = before.withColumn("stretch", F.explode(reach))
-    near = (F.col("low_at") - F.col("early_high") <= bound) & (F.col("early_low") - F.col("high_at") <= bound)
-    pairs = left.join(before, ["key", "bits", "stretch"]).where(
-        fits & near & (F.col("segment") | F.col("early_segment"))
+    # Words before an equal run, and those after it, need as many edits as their numbers differ by.
+    longer = F.col("m") - F.col("n")
+    shift = F.greatest(
+        F.lit(0),
+        F.col("early_low") - F.col("high_at") - F.greatest(F.lit(0), longer),
+        F.least(F.lit(0), longer) - (F.col("early_high") - F.col("low_at")),
     )
+    near = F.abs(longer) + 2 * shift <= bound
+    shorter = F.when(F.col("n") < F.col("m"), F.col("segment")).otherwise(F.col("early_segment"))
+    pairs = left.join(before, ["key", "bits", "stretch"]).where(fits & near & shorter)
     rest = _verified(saved(pairs.select("early", F.col("of").alias("late")).distinct(), "pairs"), words)
     return firsts.join(found.union(rest), "of", "left_semi").select("row", "line")
 
