@@ -87,3 +87,14 @@ def test_long_text_in_segments(monkeypatch):
     monkeypatch.setattr(op, "SEGMENT", 300)
     cut = op.anchors_of([text], 40, 16)
     assert all((a == b).all() for a, b in zip(whole, cut))
+
+
+def test_passages_are_told_by_bytes_not_words(stored):
+    """A repeated passage of over 50 words goes from 400 bytes on; n_removed tells, n_bytes is the text's size."""
+    short = " ".join("s%04d" % i for i in range(60))  # 359 bytes
+    long = " ".join("l%06d" % i for i in range(60))  # 479 bytes
+    texts = [f"{a} {passage} {b}" for passage in (short, long) for a, b in (("on", "two"), ("three", "four"))]
+    docs = stored([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r for r in op.without_repeats(docs, digest=True).collect()}
+    assert [got[i].n_bytes for i in range(4)] == [len(t) for t in texts]
+    assert [got[i].n_removed for i in range(4)] == [0, 0, len(long) + 2, len(long) + 2]
