@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cardledger.llm.texts import mix
@@ -15,6 +16,7 @@ from cardledger.sources.scratch import saved
 BITS_PER_KEY = 16
 BITS = 5  # that a key sets, all in one word
 MOST_KEYS = 3 << 24  # of one filter: 96 MB
+STRETCH = 1 << 19  # words of a filter that the driver fetches at a time: 8 MB
 
 
 def _places(keys: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -30,15 +32,21 @@ def _places(keys: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
 class Bloom:
     """A set of keys that knows all its members, and some other keys besides (under 1 in 150).
 
-    A key's bits are in one word, so that building it moves a row per key, and a look-up reads once.
+    A key's bits are in one word, so that building it moves a row per key, and a look-up reads once. The
+    words may be a broadcast variable: then the driver does not hold them, however many filters there are.
     """
 
-    def __init__(self, words: np.ndarray):
-        self.words = words
+    def __init__(self, words: np.ndarray | Broadcast):
+        self._words = words
+
+    @property
+    def words(self) -> np.ndarray:
+        return self._words.value if isinstance(self._words, Broadcast) else self._words
 
     def knows(self, keys: np.ndarray) -> np.ndarray:
-        word, bits = _places(keys.view(np.uint64), len(self.words))
-        return self.words[word] & bits == bits
+        words = self.words
+        word, bits = _places(keys.view(np.uint64), len(words))
+        return words[word] & bits == bits
 
     def look_up(self, column: Column) -> Column:
         @F.pandas_udf("boolean")
@@ -48,7 +56,7 @@ class Bloom:
         return knows(column)
 
 
-def _build(keys: DataFrame, n: int, stretch: int | None = None) -> Bloom:
+def _build(keys: DataFrame, n: int, stretch: int) -> Bloom:
     size = max(1, -(-n * BITS_PER_KEY // 64))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -63,21 +71,21 @@ def _build(keys: DataFrame, n: int, stretch: int | None = None) -> Bloom:
     merged = set_bits.groupBy("word").agg(F.bit_or("mask").alias("mask"))  # at most `size` rows
     words = np.zeros(size, np.int64)
     parts = [merged]
-    if stretch and stretch < len(words):
+    if stretch < size:
         merged = saved(merged, "bits")
-        parts = [merged.where(F.col("word").between(k, k + stretch - 1)) for k in range(0, len(words), stretch)]
+        parts = [merged.where(F.col("word").between(k, k + stretch - 1)) for k in range(0, size, stretch)]
     for part in parts:
-        rows = part.toPandas()
-        words[rows["word"].to_numpy(np.int64)] = rows["mask"].to_numpy(np.int64)
-    return Bloom(words)
+        rows = part.toArrow()  # two arrays; a row of Python objects takes some hundred bytes
+        words[rows["word"].to_numpy()] = rows["mask"].to_numpy()
+    return Bloom(keys.sparkSession.sparkContext.broadcast(words))
 
 
-def blooms(keys: DataFrame, most: int = MOST_KEYS, stretch: int | None = None) -> list[Bloom]:
+def blooms(keys: DataFrame, most: int = MOST_KEYS, stretch: int = STRETCH) -> list[Bloom]:
     """Filters that together know all rows of `keys` (a table with the column key).
 
     One filter holds at most about `most` keys, so its size has a bound. Of more keys each filter has
-    a part, dealt by hash; whoever uses them goes through them one by one. With `stretch`, the driver
-    fetches so many words of a filter at a time.
+    a part, dealt by hash; whoever uses them goes through them one by one. The driver fetches `stretch` words
+    of a filter at a time, and lets go of each filter once it is a broadcast variable.
     """
     n = keys.count()
     parts = max(1, -(-n // most))

@@ -312,7 +312,6 @@ def near_lines(docs: DataFrame) -> DataFrame:
     return _union(found)
 
 
-STRETCH = 1 << 18  # 64-bit words of the segments' filter that the driver fetches at a time
 LONG = 2 * EDIT_FROM  # words from which on a line allows more than one edit
 
 
@@ -481,7 +480,7 @@ def far_lines(docs: DataFrame, lines: DataFrame) -> DataFrame:
     """(row, line) of long lines that have an earlier line within their bound. First copies only, as
     the others are exact copies. `lines`: KEYED, with their `place`."""
     segments = segment_table(lines)
-    others = saved(_union([run_table(docs, like) for like in blooms(segments.select("key"), stretch=STRETCH)]), "runs")
+    others = saved(_union([run_table(docs, like) for like in blooms(segments.select("key"))]), "runs")
     ends = segments.groupBy("key").agg(F.min("of").alias("low"), F.max("of").alias("high"))
     wanted = ends.where("low < high").select("key").union(others.select("key").distinct())
     runs = only_keys(segments, "key", saved(wanted, "wanted")).union(others)
