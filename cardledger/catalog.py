@@ -527,12 +527,12 @@ def nightly_customers(spark, d):
     return _nightly(spark, d).customers
 
 
-def _store(spark, d):
+def _store(spark, d, transactions=roles.transactions):
     """The four tables in a parquet store; columns that the roles lack are null."""
-    return _fill(tables.ParquetStore(spark, scratch_path(spark, "store")), spark, d)
+    return _fill(tables.ParquetStore(spark, scratch_path(spark, "store")), spark, d, transactions)
 
 
-def _fill(store, spark, d):
+def _fill(store, spark, d, transactions=roles.transactions):
     types = roles.table(spark, d, "region").select(
         F.col("r_regionkey").cast("int").alias("card_type_id"), F.col("r_name").alias("name")
     )
@@ -540,7 +540,7 @@ def _fill(store, spark, d):
         "credit_card_types": types,
         "customers": roles.customers(spark, d),
         "cards": roles.cards(spark, d),
-        "transactions": roles.transactions(spark, d),
+        "transactions": transactions(spark, d),
     }
     for name, df in found.items():
         columns = [
@@ -560,9 +560,7 @@ def whole_run_cards(spark, d):
 
 def whole_run_customers(spark, d):
     """The customers as published, after a run with the float cast and copies of transactions."""
-    store = _store(spark, d)
-    copies = saved(roles.with_resent_refunds(store.read("transactions")), "copies")
-    store.write(copies, "transactions")
+    store = _store(spark, d, lambda *a: roles.with_resent_refunds(roles.transactions(*a)))
     run_all(store, scratch_path(spark, "results"), compat_float=True, dedupe=True)
     return store.read("customers").select("customer_id", "name", "address", "credit_score")
 

@@ -10,6 +10,9 @@ from cardledger.functions import fixed
 from cardledger.functions.money import fits, to_micros
 from cardledger.functions.text import same_region, zip_code
 
+# The columns, beside the ids, that `prepare` reads.
+READ = ["timestamp", "amount", "location"]
+
 NARROW = ["transaction_id", "card_id", "arrival_day", "amount_micros"]
 
 

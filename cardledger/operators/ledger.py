@@ -40,8 +40,10 @@ def overlay(base: DataFrame, updates: DataFrame, key: str, columns: list[str]) -
     )
 
 
-def approve_pending(transactions: DataFrame) -> DataFrame:
+def approved_status() -> Column:
     status = F.col("status")
-    return transactions.withColumn(
-        "status", F.when(status == fixed.PENDING, fixed.APPROVED).otherwise(status)
-    )
+    return F.when(status == fixed.PENDING, fixed.APPROVED).otherwise(status)
+
+
+def approve_pending(transactions: DataFrame) -> DataFrame:
+    return transactions.withColumn("status", approved_status())

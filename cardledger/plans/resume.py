@@ -14,13 +14,13 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cardledger.operators.ledger import approve_pending
+from cardledger.operators.ledger import approve_pending, approved_status
 from cardledger.operators.settle import adjust_limits, rescore_customers, roll_forward_balances
 from cardledger.plans.authorize import as_aside, as_stream, checked_whole
 from cardledger.sources import files
 from cardledger.sources.published import VersionedStore
 from cardledger.sources.scratch import COMPRESSION
-from cardledger.sources.tables import load_all, save_csv
+from cardledger.sources.tables import load_all, save_csv, save_sorted
 
 
 @dataclass(frozen=True)
@@ -36,10 +36,13 @@ class Steps:
             make().write.mode("overwrite").parquet(path, compression=COMPRESSION)
         return self.spark.read.parquet(path)
 
-    def csv(self, name: str, path: str, make: Callable[[], DataFrame]) -> None:
-        """Result files at `path`, over what an earlier run or a broken-off one left there."""
+    def csv(self, name: str, path: str, make: Callable[[], DataFrame | None]) -> None:
+        """Result files at `path`, over what an earlier run or a broken-off one left there. A `make` that
+        returns None has written them itself."""
         if not self.is_done(name):
-            save_csv(make(), path)
+            df = make()
+            if df is not None:
+                save_csv(df, path)
             self._mark(name)
 
     def is_done(self, name: str) -> bool:
@@ -66,8 +69,9 @@ def run_once(
     run: str,
     running_limit: bool = False,
     compat_float: bool = False,
+    compression: str | None = "gzip",
 ) -> bool:
-    """Do what is left of the run named `run`; whether anything was.
+    """Do what is left of the run named `run`; whether anything was. `compression`: see `run_all`.
 
     `work` is a folder in the shared space that outlives the driver; the run's steps are in `work`/`run`.
     Where another run has published since this one began, publishing is an error: its tables would be lost.
@@ -89,14 +93,16 @@ def run_once(
     new_cards = steps.table("cards", lambda: adjust_limits(rolled, rescored))
     new_customers = rescored.drop("credit_score_change")
 
-    sorted_results = {
-        "stream_transactions": (stream, "transaction_id"),
-        "batch_transactions": (approved, "transaction_id"),
-        "cards_updated": (new_cards, "card_id"),
-        "customers_updated": (new_customers, "customer_id"),
+    # Both results with a row per transaction are written by the first step, as they are sorted once.
+    both = {"stream_transactions": {}, "batch_transactions": {"status": approved_status()}}
+    make = {
+        "stream_transactions": lambda: save_sorted(stream, "transaction_id", results, both, compression=compression),
+        "batch_transactions": lambda: None,
+        "cards_updated": lambda: new_cards.orderBy("card_id"),
+        "customers_updated": lambda: new_customers.orderBy("customer_id"),
     }
-    for name, (df, key) in sorted_results.items():
-        steps.csv(f"files_{name}", f"{results}/{name}", lambda df=df, key=key: df.orderBy(key))
+    for name, made in make.items():
+        steps.csv(f"files_{name}", f"{results}/{name}", made)
     steps.csv("files_transactions_aside", f"{results}/transactions_aside", lambda: aside)
     begun.publish({"cards": new_cards, "customers": new_customers}, run)
     steps.clear()

@@ -100,7 +100,9 @@ def corporate_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def with_resent_refunds(rows: DataFrame) -> DataFrame:
     """The transactions and, a day later, each refund once more with another amount."""
-    again = rows.filter(F.col("transaction_type") == "refund").withColumns(
-        {"timestamp": F.col("timestamp") + F.expr("interval 1 day"), "amount": F.col("amount") - 1}
-    )
-    return rows.unionByName(again)
+    changed = {"timestamp": F.col("timestamp") + F.expr("interval 1 day"), "amount": F.col("amount") - 1}
+    once = F.struct(*rows.columns)
+    again = F.struct(*[changed.get(c, F.col(c)).alias(c) for c in rows.columns])
+    # Copies of a row are made where it is: the transactions are made once.
+    sent = F.when(F.col("transaction_type") == "refund", F.array(once, again)).otherwise(F.array(once))
+    return rows.select(F.explode(sent).alias("_sent")).select("_sent.*")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F
@@ -9,6 +10,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from cardledger.functions.text import blank_to_null
 from cardledger.schemas import TABLES, require_primary_key
+from cardledger.sources import files
 from cardledger.sources.csv_records import csv_records
 from cardledger.sources.published import VersionedStore
 from cardledger.sources.scratch import COMPRESSION, saved
@@ -104,14 +106,53 @@ def read_typed_csv(spark: SparkSession, path: str, schema: StructType) -> DataFr
     return df.fillna("", ["status"]) if "status" in df.columns else df
 
 
-def save_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
+_WRITTEN = {
+    "header": True,
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
+
+
+def save_csv(df: DataFrame, path: str, single_file: bool = False, compression: str | None = None) -> None:
     """Write CSV with a header, over what was there. One file only where the data is small.
 
-    Text keeps the white space around it.
+    Text keeps the white space around it. `compression`: plain files, or such as gzip, which readers of CSV
+    take as they are, but do not split.
+    """
+    writer = (df.coalesce(1) if single_file else df).write.mode("overwrite").options(**_WRITTEN)
+    writer.csv(path, compression=compression)
+
+
+def save_sorted(
+    df: DataFrame,
+    key: str,
+    folder: str,
+    results: dict[str, dict[str, Column]],
+    single_file: bool = False,
+    compression: str | None = None,
+) -> None:
+    """Write `df` in the order of `key` as several results, over what was there: `folder`/name for each of
+    `results`, which has the columns that are other than in `df`. The rows are dealt and sorted once for all.
     """
-    (df.coalesce(1) if single_file else df).write.mode("overwrite").options(
-        header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
-    ).csv(path)
+    spark, of = df.sparkSession, F.col("_result")
+    rows = df.coalesce(1) if single_file else df.repartitionByRange(key)
+    rows = rows.withColumn("_result", F.explode(F.array(*map(F.lit, results))))
+    for name, others in results.items():
+        rows = rows.withColumns({c: F.when(of == name, new).otherwise(F.col(c)) for c, new in others.items()})
+    aside = f"{folder}/_{uuid.uuid4().hex}"
+    rows = rows.select(*df.columns, "_result").sortWithinPartitions("_result", key)
+    rows.write.options(**_WRITTEN).partitionBy("_result").csv(aside, compression=compression)
+    for name in results:
+        written, path = f"{aside}/_result={name}", f"{folder}/{name}"
+        if files.exists(spark, written):
+            files.remove_folder(spark, path)
+            files.move_folder(spark, written, path)
+            files.write_new(spark, f"{path}/_SUCCESS", "")
+        else:  # no rows: a header alone
+            save_csv(df.limit(0), path, single_file, compression)
+    files.remove_folder(spark, aside)
 
 
 def sorted_report(spark: SparkSession, path: str, schema: StructType, key: str) -> DataFrame:

@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql.classic.dataframe import DataFrame
 
 from cardledger.llm.bloom import Bloom, blooms, only_keys
 
